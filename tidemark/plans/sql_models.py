@@ -7,34 +7,27 @@ replaced by CREATE OR REPLACE.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.operators.history import history_of_every_change
 from tidemark.sources.tables import create_layers, create_view, overwrite_table
 
 
-def _history(source: str, key: str, condition: str) -> str:
-    return f"""
-        WITH cleaned AS (
-            SELECT * FROM {{bronze_{source}}} WHERE {condition}
-        ), followed AS (
-            SELECT *, lead(last_update_time) OVER (PARTITION BY {key} ORDER BY last_update_time) AS next_time
-            FROM cleaned
-        )
-        SELECT * EXCEPT (next_time),
-               last_update_time AS __START_AT,
-               coalesce(next_time, TIMESTAMP'9999-12-31 23:59:59') AS __END_AT,
-               next_time IS NULL AS __is_current
-        FROM followed
-    """
-
-
-# In dependency order: each text may read the tables before it.
-TABLES = {
-    "silver.customers": _history(
-        "customers", "customer_id", "customer_id IS NOT NULL AND age BETWEEN 18 AND 100"
+# Dimension records as SQL; a version per record is made of them by the history operator, because a window
+# in the text would leave all records of one key to one task.
+HISTORIES = {
+    "silver.customers": (
+        "customer_id",
+        "SELECT * FROM {bronze_customers} WHERE customer_id IS NOT NULL AND age BETWEEN 18 AND 100",
     ),
-    "silver.products": _history("products", "product_id", "product_id IS NOT NULL"),
-    "silver.stores": _history("stores", "store_id", "store_id IS NOT NULL"),
+    "silver.products": ("product_id", "SELECT * FROM {bronze_products} WHERE product_id IS NOT NULL"),
+    "silver.stores": ("store_id", "SELECT * FROM {bronze_stores} WHERE store_id IS NOT NULL"),
+}
+# In dependency order: each text may read the histories and the tables before it.
+TABLES = {
     "silver.sales_transactions": """
         SELECT transaction_id, store_id, CAST(event_time AS TIMESTAMP) AS event_time, customer_id, product_id,
                quantity, unit_price, total_amount, payment_method, discount_applied, tax_amount
@@ -79,33 +72,48 @@ TABLES = {
         GROUP BY ALL
     """,
 }
-CURRENT_VIEWS = ("customers", "products", "stores")
-RAW_TABLES = ("sales", *CURRENT_VIEWS)
+RAW_TABLES = ("sales", "customers", "products", "stores")
+
+
+def _names(bronze: str, table: str) -> dict[str, str]:
+    names = {f"bronze_{raw}": bronze.format(raw) for raw in RAW_TABLES}
+    return names | {name.replace(".", "_"): table.format(name) for name in (*HISTORIES, *TABLES)}
+
+
+def _models(spark: SparkSession, names: dict[str, str], store: Callable[[DataFrame, str], DataFrame]):
+    models = {}
+    for name, (key, text) in HISTORIES.items():
+        records = spark.sql(text.format(**names))
+        tied = records.withColumn("__tie", F.xxhash64(*records.columns))
+        versions = history_of_every_change(tied, [key], "last_update_time", ["__tie"]).drop("__tie")
+        models[name] = store(versions, name)
+    for name, text in TABLES.items():
+        models[name] = store(spark.sql(text.format(**names)), name)
+    return models
 
 
 def build(spark: SparkSession, prefix: str = "") -> dict[str, DataFrame]:
     """Write every table and the views of current rows; the bronze tables must be there."""
     create_layers(spark, prefix)
-    names = {f"bronze_{raw}": f"{prefix}bronze.raw_{raw}" for raw in RAW_TABLES}
-    names |= {name.replace(".", "_"): f"{prefix}{name}" for name in TABLES}
-    written = {
-        name: overwrite_table(spark.sql(text.format(**names)), f"{prefix}{name}")
-        for name, text in TABLES.items()
-    }
-    for dimension in CURRENT_VIEWS:
-        name = f"{prefix}silver.{dimension}"
-        create_view(spark, f"{name}_current", f"SELECT * FROM {name} WHERE __is_current = TRUE")
-    return written
+    models = _models(
+        spark,
+        _names(prefix + "bronze.raw_{}", prefix + "{}"),
+        lambda model, name: overwrite_table(model, f"{prefix}{name}"),
+    )
+    for name in HISTORIES:
+        query = f"SELECT * FROM {prefix}{name} WHERE __is_current = TRUE"
+        create_view(spark, f"{prefix}{name}_current", query)
+    return models
 
 
 def as_views(spark: SparkSession, bronze: dict[str, DataFrame], label: str) -> dict[str, DataFrame]:
-    """The same models as temporary views over the given bronze frames; nothing is written."""
-    names = {f"bronze_{raw}": f"{label}_bronze_{raw}" for raw in RAW_TABLES}
-    names |= {name.replace(".", "_"): f"{label}_{name.replace('.', '_')}" for name in TABLES}
+    """The same models as temporary views over the given bronze frames; no table is written."""
+
+    def store(model: DataFrame, name: str) -> DataFrame:
+        model.createOrReplaceTempView(f"{label}_{name.replace('.', '_')}")
+        return model
+
     for raw, frame in bronze.items():
-        frame.createOrReplaceTempView(names[f"bronze_{raw}"])
-    models = {}
-    for name, text in TABLES.items():
-        models[name] = spark.sql(text.format(**names))
-        models[name].createOrReplaceTempView(names[name.replace(".", "_")])
-    return models
+        frame.createOrReplaceTempView(f"{label}_raw_{raw}")
+    names = {key: value.replace(".", "_") for key, value in _names(label + "_raw_{}", label + "_{}").items()}
+    return _models(spark, names, store)
