@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import history as H
+from tidemark.operators import slices
 
 DDL = "k INT, seq TIMESTAMP, tie INT, name STRING, city STRING, points INT"
 EPOCH = datetime(2024, 1, 1)
@@ -90,6 +91,39 @@ def test_fill_forward(spark, rows_per_slice):
     assert sorted([tuple(r) for r in got.collect()], key=repr) == sorted(expected, key=repr)
 
 
+def with_copies():
+    """Half of the records are one and the same record of key 0."""
+    rows = make_log(4, True)
+    return rows + [max(r for r in rows if r[0] == 0 and r[3] and r[4] and r[5])] * 600
+
+
+def test_copies_are_found_and_counted(spark, monkeypatch):
+    monkeypatch.setattr(slices, "_ROWS_PER_COPY_CHUNK", 50)
+    rows = with_copies()
+    log = spark.createDataFrame(rows, DDL)
+    hot = slices.find_hot_keys(log, ["k"], ["seq", "tie"], 20)
+    assert hot.copies
+    assert hot.only(log, ["k"]).groupBy().sum(slices.COPIES).first()[0] == sum(r[0] == 0 for r in rows)
+    for build in (
+        lambda n: H.history_of_every_change(log, ["k"], "seq", ["tie"], sentinel=False, rows_per_slice=n),
+        lambda n: H.history_of_tracked_columns(log, ["k"], "seq", ["city"], ["tie"], rows_per_slice=n),
+        lambda n: H.fill_forward(log, ["k"], "seq", ["tie"], rows_per_slice=n),
+    ):
+        whole, sliced = build(10**9), build(20)
+        assert collect(sliced, whole.columns) == collect(whole, whole.columns)
+
+
+def test_cut_table_stays_under_its_bound(spark, monkeypatch):
+    monkeypatch.setattr(slices, "MAX_CUTS", 16)
+    log = spark.createDataFrame(make_log(6, True), DDL)
+    hot = slices.find_hot_keys(log, ["k"], ["seq", "tie"], 3)
+    assert 1 <= hot.cuts.filter("k = 0").count()
+    assert hot.cuts.selectExpr("sum(size(__cuts))").first()[0] <= 16 + hot.cuts.count()
+    whole = H.history_of_tracked_columns(log, ["k"], "seq", ["city"], ["tie"])
+    sliced = H.history_of_tracked_columns(log, ["k"], "seq", ["city"], ["tie"], rows_per_slice=3)
+    assert collect(sliced, whole.columns) == collect(whole, whole.columns)
+
+
 def test_invariants_and_views(spark):
     log = spark.createDataFrame(make_log(11, True), DDL)
     versions = H.history_of_tracked_columns(log, ["k"], "seq", ["name"], ["tie"])

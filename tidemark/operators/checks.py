@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -78,35 +78,33 @@ def count_of(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)))
 
 
-def _scalar(df: DataFrame, name: str) -> DataFrame:
-    return df.toDF(name).select(F.col(name).cast("bigint"))
-
-
 def reconcile(checks: Sequence[Check]) -> DataFrame:
     """(label, actual, comparison, expected, passed) for every check, exact or lower bound."""
-    compare: dict[str, Column] = {
-        "=": F.col("actual") == F.col("expected"),
-        ">=": F.col("actual") >= F.col("expected"),
-    }
-
-    def outcome(check: Check) -> DataFrame:
-        actual = _scalar(check.actual, "actual")
-        if isinstance(check.expected, DataFrame):
-            # Two one-row frames side by side.
-            both = actual.withColumn("one", F.lit(1)).join(
-                _scalar(check.expected, "expected").withColumn("one", F.lit(1)), "one"
-            )
-        else:
-            both = actual.withColumn("expected", F.lit(check.expected).cast("bigint"))
-        return both.select(
+
+    def tagged(check: Check, side: str, value: DataFrame) -> DataFrame:
+        return value.toDF("value").select(
             F.lit(check.label).alias("label"),
-            "actual",
             F.lit(check.comparison).alias("comparison"),
-            "expected",
-            F.coalesce(compare[check.comparison], F.lit(False)).alias("passed"),
+            F.lit(side).alias("side"),
+            F.col("value").cast("bigint"),
         )
 
-    return _union([outcome(check) for check in checks])
+    sides = []
+    for check in checks:
+        expected = check.expected
+        if not isinstance(expected, DataFrame):
+            expected = check.actual.sparkSession.range(1).select(F.lit(expected))
+        sides += [tagged(check, "actual", check.actual), tagged(check, "expected", expected)]
+    both = _union(sides).groupBy("label", "comparison").agg(
+        *[F.max(F.when(F.col("side") == side, F.col("value"))).alias(side) for side in ("actual", "expected")]
+    )
+    passed = (
+        F.when(F.col("comparison") == "=", F.col("actual") == F.col("expected"))
+        .when(F.col("comparison") == ">=", F.col("actual") >= F.col("expected"))
+    )
+    return both.select(
+        "label", "actual", "comparison", "expected", F.coalesce(passed, F.lit(False)).alias("passed")
+    )
 
 
 def key_inventory(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:

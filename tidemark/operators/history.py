@@ -12,10 +12,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.slices import (
+    COPIES,
     ROWS_PER_SLICE,
     SLICE,
     assign_slices,
-    hot_key_cuts,
+    find_hot_keys,
+    spread_copies,
 )
 from tidemark.session import materialize
 
@@ -48,28 +50,39 @@ def history_of_every_change(
     The open version ends at ``FAR_FUTURE``, or at NULL with ``sentinel=False``.
     """
     keys, order = list(keys), [sequence, *tiebreak]
-    cuts = hot_key_cuts(log, keys, order, rows_per_slice)
-    if cuts is None:
-        following = F.lead(sequence).over(Window.partitionBy(*keys).orderBy(*order))
-        versions = log.withColumn(_NEXT, following)
-    else:
-        hot_log = log.select(*keys, *order).join(F.broadcast(cuts.select(*keys)), keys, "left_semi")
-        # One row per slice of a hot key: no more rows than cuts and hot keys.
-        slice_starts = (
-            assign_slices(hot_log, cuts, keys, order)
-            .groupBy(*keys, SLICE)
-            .agg(F.min(sequence).alias(_FIRST))
-            .withColumn(_FIRST, F.lead(_FIRST).over(Window.partitionBy(*keys).orderBy(SLICE)))
-        )
-        in_slice = Window.partitionBy(*keys, SLICE).orderBy(*order)
-        versions = (
-            assign_slices(log, cuts, keys, order)
-            .withColumn(_NEXT, F.lead(sequence).over(in_slice))
-            .join(F.broadcast(slice_starts), [*keys, SLICE], "left")
-            .withColumn(_NEXT, F.coalesce(_NEXT, _FIRST))
-            .drop(SLICE, _FIRST)
+
+    def follow(records: DataFrame) -> DataFrame:
+        window = Window.partitionBy(*keys).orderBy(*order)
+        return records.withColumns({START: F.col(sequence), _NEXT: F.lead(sequence).over(window)})
+
+    hot = find_hot_keys(log, keys, order, rows_per_slice)
+    if hot is None:
+        return _close(follow(log), _NEXT, sentinel)
+
+    records = assign_slices(hot.only(log, keys), hot, keys, order)
+    # One row per slice of a hot key: no more rows than cuts and hot keys.
+    next_slice = (
+        records.groupBy(*keys, SLICE)
+        .agg(F.min(sequence).alias(_FIRST))
+        .withColumn(_FIRST, F.lead(_FIRST).over(Window.partitionBy(*keys).orderBy(SLICE)))
+    )
+    in_slice = Window.partitionBy(*keys, SLICE).orderBy(*order)
+    followed = (
+        records.withColumns({START: F.col(sequence), _NEXT: F.lead(sequence).over(in_slice)})
+        .join(F.broadcast(next_slice), [*keys, SLICE], "left")
+        .withColumn(_NEXT, F.coalesce(_NEXT, _FIRST))
+        .drop(SLICE, _FIRST)
+    )
+    if hot.copies:
+        # Of identical records, all but one end where they start.
+        earlier = followed.filter(F.col(COPIES) > 1).withColumns(
+            {COPIES: F.col(COPIES) - 1, _NEXT: F.col(sequence)}
         )
-    return _close(versions.withColumn(START, F.col(sequence)), _NEXT, sentinel)
+        followed = followed.drop(COPIES).unionByName(spread_copies(earlier))
+    else:
+        followed = followed.drop(COPIES)
+    versions = follow(hot.without(log, keys)).unionByName(followed)
+    return _close(versions, _NEXT, sentinel)
 
 
 def history_of_tracked_columns(
@@ -93,14 +106,13 @@ def history_of_tracked_columns(
     """
     keys, order = list(keys), [sequence, *tiebreak]
     plan = _TrackedHistory(log, keys, order, list(tracked), list(excluded), ignore_nulls, started_at)
-    cuts = hot_key_cuts(log, keys, order, rows_per_slice)
-    if cuts is None:
+    hot = find_hot_keys(log, keys, order, rows_per_slice)
+    if hot is None:
         versions = plan.whole_keys(log)
     else:
-        hot_keys = F.broadcast(cuts.select(*keys))
-        versions = plan.whole_keys(log.join(hot_keys, keys, "left_anti")).unionByName(
-            plan.sliced_keys(assign_slices(log.join(hot_keys, keys, "left_semi"), cuts, keys, order))
-        )
+        # A record that repeats the one before it changes nothing, so its copies need not be kept.
+        records = assign_slices(hot.only(log, keys).drop(COPIES), hot, keys, order)
+        versions = plan.whole_keys(hot.without(log, keys)).unionByName(plan.sliced_keys(records))
     return _close(versions.drop(*[c for c in excluded if c not in keys]), _NEXT, sentinel)
 
 
@@ -255,18 +267,18 @@ def fill_forward(
     """Every change record with its NULLs replaced by the last known value of the key."""
     keys, order = list(keys), [sequence, *tiebreak]
     columns = [c for c in log.columns if c not in {*keys, *order}]
-    cuts = hot_key_cuts(log, keys, order, rows_per_slice)
-    if cuts is None:
-        return _fill(log, Window.partitionBy(*keys).orderBy(*order), columns)
-    hot_keys = F.broadcast(cuts.select(*keys))
-    hot = assign_slices(log.join(hot_keys, keys, "left_semi"), cuts, keys, order)
-    carried = _state_before_slices(hot, keys, order, [], columns)
+    whole = Window.partitionBy(*keys).orderBy(*order)
+    hot = find_hot_keys(log, keys, order, rows_per_slice)
+    if hot is None:
+        return _fill(log, whole, columns)
     place = [*keys, SLICE]
-    filled = _fill(
-        hot.join(carried, place, "left"), Window.partitionBy(*place).orderBy(*order), columns, _CARRIED
-    ).select(*log.columns)
-    cold = log.join(hot_keys, keys, "left_anti")
-    return _fill(cold, Window.partitionBy(*keys).orderBy(*order), columns).unionByName(filled)
+    records = assign_slices(hot.only(log, keys), hot, keys, order)
+    carried = _state_before_slices(records, keys, order, [], columns)
+    in_slice = Window.partitionBy(*place).orderBy(*order)
+    filled = _fill(records.join(carried, place, "left"), in_slice, columns, _CARRIED)
+    filled = filled.select(*log.columns, COPIES)
+    filled = spread_copies(filled) if hot.copies else filled.drop(COPIES)
+    return _fill(hot.without(log, keys), whole, columns).unionByName(filled)
 
 
 def current(history: DataFrame) -> DataFrame:

@@ -60,21 +60,28 @@ def enforce(df: DataFrame, rules: Sequence[Rule], observe: str | Observation | N
 
 
 def rule_metrics(df: DataFrame, dataset: str, rules: Sequence[Rule]) -> DataFrame:
-    """One row per rule with its violation count, from a single pass over ``df``."""
-    totals = df.agg(*_counters(rules))
-    per_rule = F.array(
-        *[
-            F.struct(
-                F.lit(dataset).alias("dataset"),
-                F.lit(rule.name).alias("rule"),
-                F.lit(rule.action).alias("action"),
-                F.col("n_rows"),
-                F.col(rule.name).alias("n_violations"),
+    """One row per rule with its violation count."""
+    return rule_metrics_of(df, {dataset: ("TRUE", rules)})
+
+
+def rule_metrics_of(df: DataFrame, datasets: Mapping[str, tuple[str, Sequence[Rule]]]) -> DataFrame:
+    """:func:`rule_metrics` for several datasets that are conditions on one frame, in a single pass."""
+    counters, lines = [], []
+    for i, (dataset, (condition, rules)) in enumerate(datasets.items()):
+        within = F.coalesce(F.expr(condition), F.lit(False))
+        counters.append(F.count_if(within).alias(f"rows{i}"))
+        for j, rule in enumerate(rules):
+            counters.append(F.count_if(within & ~rule.holds()).alias(f"violations{i}_{j}"))
+            lines.append(
+                F.struct(
+                    F.lit(dataset).alias("dataset"),
+                    F.lit(rule.name).alias("rule"),
+                    F.lit(rule.action).alias("action"),
+                    F.col(f"rows{i}").alias("n_rows"),
+                    F.col(f"violations{i}_{j}").alias("n_violations"),
+                )
             )
-            for rule in rules
-        ]
-    )
-    return totals.select(F.inline(per_rule))
+    return df.agg(*counters).select(F.inline(F.array(*lines)))
 
 
 def metrics_frame(

@@ -8,6 +8,7 @@ summary from slice to slice. Where the cuts fall changes only how the work is sp
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.session import materialize
 
 SLICE = "__slice"
+COPIES = "__copies"
 COLD = -1
 _CUTS = "__cuts"
 
@@ -22,40 +24,82 @@ _CUTS = "__cuts"
 MAX_CUTS = 65_536
 ROWS_PER_SLICE = 2_000_000
 _MIN_CUTS_PER_KEY = 3
+_SEED = 20_240_101
+_ROWS_PER_COPY_CHUNK = 100_000
 
 
-def hot_key_cuts(
+@dataclass(frozen=True)
+class HotKeys:
+    """Cut points of hot keys, and whether masses of identical records (which no cut separates) were seen."""
+
+    cuts: DataFrame
+    copies: bool
+
+    def only(self, log: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """The records of hot keys; identical ones as one record with a count, if there are masses."""
+        rows = log.join(F.broadcast(self.cuts.select(*keys)), list(keys), "left_semi")
+        if not self.copies:
+            return rows.withColumn(COPIES, F.lit(1).cast("long"))
+        # Combined on the map side: a million copies leave a task as one row.
+        return rows.groupBy(*log.columns).agg(F.count(F.lit(1)).alias(COPIES))
+
+    def without(self, log: DataFrame, keys: Sequence[str]) -> DataFrame:
+        return log.join(F.broadcast(self.cuts.select(*keys)), list(keys), "left_anti")
+
+
+def find_hot_keys(
     log: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     rows_per_slice: int = ROWS_PER_SLICE,
-) -> DataFrame | None:
+) -> HotKeys | None:
     """Cut points for every key with many more than ``rows_per_slice`` records, or None without such a key.
 
-    About one record in ``rows_per_slice`` is a candidate cut, chosen by a hash of its key and order
-    columns, so that a retried task chooses the same. Only key and order columns are scanned, and only
-    candidates are shuffled.
+    About one record in ``rows_per_slice`` becomes a candidate cut. Only key and order columns are scanned,
+    only candidates are shuffled, and they are written down, so later steps all see the same cuts.
     """
-    picked = F.xxhash64(*keys, *order)
-    candidates = log.select(*keys, *order)
-    hot = (
-        candidates.filter(F.pmod(picked, F.lit(rows_per_slice)) == 0)
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"))
+    keys, order = list(keys), list(order)
+    candidates = materialize(
+        log.select(*keys, *order)
+        .filter(F.rand(_SEED) < 1.0 / rows_per_slice)
+        .groupBy(*keys, *order)
+        .agg(F.count(F.lit(1)).alias("n")),
+        "cut-candidates",
+    )
+    per_key = (
+        candidates.groupBy(*keys)
+        .agg(F.sum("n").alias("n"), F.max("n").alias("same"), F.count(F.lit(1)).alias("cuts"))
         .filter(F.col("n") >= _MIN_CUTS_PER_KEY)
     )
-    n_cuts = hot.agg(F.sum("n")).first()[0]
-    if not n_cuts:
+    found = per_key.agg(F.sum("cuts").alias("cuts"), F.max("same").alias("same")).first()
+    if found["cuts"] is None:
         return None
-    # Keep the table under its bound by thinning the candidates: longer slices, same results.
-    stride = rows_per_slice * (1 + 2 * n_cuts // MAX_CUTS)
+    # Keep the table under its bound by thinning the candidates: longer slices, same results. The first cut
+    # of a key always stays, so that a hot key is never mistaken for an ordinary one.
+    stride = 1 + 2 * found["cuts"] // MAX_CUTS
+    place = F.struct(*order)
+    cut = F.when(F.pmod(F.xxhash64(*keys, *order), F.lit(stride)) == 0, place)
     cuts = (
-        candidates.filter(F.pmod(picked, F.lit(stride)) == 0)
+        candidates.join(per_key.select(*keys), keys, "left_semi")
         .groupBy(*keys)
-        .agg(F.sort_array(F.collect_set(F.struct(*order))).alias(_CUTS))
-        .filter(F.size(_CUTS) >= (_MIN_CUTS_PER_KEY if stride == rows_per_slice else 1))
+        .agg(F.sort_array(F.collect_set(cut)).alias(_CUTS), F.min(place).alias("first"))
+        .withColumn(_CUTS, F.when(F.size(_CUTS) > 0, F.col(_CUTS)).otherwise(F.array("first")))
+        .drop("first")
+    )
+    return HotKeys(materialize(cuts, "hot-key-cuts"), found["same"] >= _MIN_CUTS_PER_KEY)
+
+
+def spread_copies(df: DataFrame) -> DataFrame:
+    """Repeat every record as often as it was counted, in chunks that are dealt out over all tasks."""
+    last_chunk = F.expr(f"({COPIES} - 1) div {_ROWS_PER_COPY_CHUNK}")
+    chunked = df.withColumn("__chunk", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)))
+    left = F.col(COPIES) - F.col("__chunk") * _ROWS_PER_COPY_CHUNK
+    in_chunk = F.sequence(F.lit(1).cast("long"), F.least(left, F.lit(_ROWS_PER_COPY_CHUNK)))
+    return (
+        chunked.hint("rebalance")
+        .withColumn("__copy", F.explode(in_chunk))
+        .drop("__chunk", "__copy", COPIES)
     )
-    return materialize(cuts, "hot-key-cuts")
 
 
 def _slice_number(order: Sequence[str]) -> Column:
@@ -69,8 +113,8 @@ def _slice_number(order: Sequence[str]) -> Column:
     )
 
 
-def assign_slices(log: DataFrame, cuts: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def assign_slices(log: DataFrame, hot: HotKeys, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Add the slice number of every record; records of ordinary keys get ``COLD``."""
-    sliced = log.join(F.broadcast(cuts), list(keys), "left")
+    sliced = log.join(F.broadcast(hot.cuts), list(keys), "left")
     number = F.when(F.col(_CUTS).isNull(), F.lit(COLD)).otherwise(_slice_number(order))
     return sliced.withColumn(SLICE, number).drop(_CUTS)

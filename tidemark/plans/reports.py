@@ -17,7 +17,7 @@ from tidemark.model import (
     TRANSACTION_RULES,
 )
 from tidemark.operators import checks, history
-from tidemark.operators.quality import drop, enforce, rule_metrics
+from tidemark.operators.quality import drop, enforce, rule_metrics, rule_metrics_of
 from tidemark.operators.sales import (
     enrich,
     returns_transactions,
@@ -64,8 +64,7 @@ def report(build: Callable[[Star], DataFrame]) -> Callable[[Star], DataFrame]:
 
 @report
 def typed_sales(star: Star) -> DataFrame:
-    raw = star.sales()
-    return typed(raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns]), SALES_DDL)
+    return typed(star.sales(), SALES_DDL)
 
 
 @report
@@ -120,16 +119,18 @@ def rule_null_semantics(star: Star) -> DataFrame:
 
 @report
 def metrics_per_rule(star: Star) -> DataFrame:
-    cleaned = {
+    small = {
         "customers": star.customers(),
         "products": star.products(),
         "stores": with_known_manager(star.stores()),
-        "sales": star.sales(),
     }
-    reports = [rule_metrics(df, f"{name}_cleaned", CLEANED_RULES[name]) for name, df in cleaned.items()]
-    for name, condition in (("sales", "quantity > 0"), ("returns", "quantity < 0")):
-        reports.append(rule_metrics(cleaned["sales"].filter(condition), name, TRANSACTION_RULES))
-    return reduce(DataFrame.unionByName, reports)
+    reports = [rule_metrics(df, f"{name}_cleaned", CLEANED_RULES[name]) for name, df in small.items()]
+    per_sale = {
+        "sales_cleaned": ("TRUE", CLEANED_RULES["sales"]),
+        "sales": ("quantity > 0", TRANSACTION_RULES),
+        "returns": ("quantity < 0", TRANSACTION_RULES),
+    }
+    return reduce(DataFrame.unionByName, [*reports, rule_metrics_of(star.sales(), per_sale)])
 
 
 # --- history ---------------------------------------------------------------------------------------

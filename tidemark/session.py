@@ -14,6 +14,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join also where that costs the group-by above it a shuffle of its own.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 _local_dirs: dict[str, str] = {}
