@@ -55,22 +55,26 @@ def find_hot_keys(
 ) -> HotKeys | None:
     """Cut points for every key with many more than ``rows_per_slice`` records, or None without such a key.
 
-    About one record in ``rows_per_slice`` becomes a candidate cut. Only key and order columns are scanned,
-    only candidates are shuffled, and they are written down, so later steps all see the same cuts.
+    About one record in ``rows_per_slice`` becomes a candidate cut. Only key and order columns are scanned
+    and only candidates are shuffled: one short job when there is no hot key. Otherwise the cuts are written
+    down, so that all later steps see the same ones.
     """
     keys, order = list(keys), list(order)
-    candidates = materialize(
+    candidates = (
         log.select(*keys, *order)
         .filter(F.rand(_SEED) < 1.0 / rows_per_slice)
         .groupBy(*keys, *order)
-        .agg(F.count(F.lit(1)).alias("n")),
-        "cut-candidates",
-    )
-    per_key = (
-        candidates.groupBy(*keys)
-        .agg(F.sum("n").alias("n"), F.max("n").alias("same"), F.count(F.lit(1)).alias("cuts"))
-        .filter(F.col("n") >= _MIN_CUTS_PER_KEY)
+        .agg(F.count(F.lit(1)).alias("n"))
     )
+
+    def hot(candidates: DataFrame) -> DataFrame:
+        counts = F.sum("n").alias("n"), F.max("n").alias("same"), F.count(F.lit(1)).alias("cuts")
+        return candidates.groupBy(*keys).agg(*counts).filter(F.col("n") >= _MIN_CUTS_PER_KEY)
+
+    if hot(candidates).isEmpty():
+        return None
+    candidates = materialize(candidates, "cut-candidates")
+    per_key = hot(candidates)
     found = per_key.agg(F.sum("cuts").alias("cuts"), F.max("same").alias("same")).first()
     if found["cuts"] is None:
         return None

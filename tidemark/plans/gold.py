@@ -1,4 +1,8 @@
-"""Business aggregates over enriched sales facts.
+"""Business aggregates over sales facts.
+
+Facts either carry the names of stores, customers and products, or the current dimension is passed along.
+Then only keys are shuffled, and the names are looked up for the finished rows; the result is the same, as a
+dimension has one row per key.
 
 All group-bys combine on the map side. Spark shuffles the one exact distinct count of a query by (group,
 counted value), so a store or customer with a third of all sales is still spread over many tasks.
@@ -13,40 +17,47 @@ from tidemark.functions.days import day_by_cast, day_by_truncation, day_window
 from tidemark.functions.money import exact_amount, rounded, rounded_avg, rounded_sum
 
 
-def _store_totals() -> list[Column]:
-    return [
+def _with_names(totals: DataFrame, dimension: DataFrame | None, key: str, **names: str) -> DataFrame:
+    """Look up ``names`` (new column = dimension column) by ``key``; without a dimension they are there."""
+    if dimension is None:
+        return totals
+    columns = [F.col(old).alias(new) for new, old in names.items()]
+    rest = [c for c in totals.columns if c != key]
+    return totals.join(dimension.select(key, *columns), key, "left").select(
+        *[c for c in rest if c == "sale_date"], key, *names, *[c for c in rest if c != "sale_date"]
+    )
+
+
+def _group(keys: list[str], names: list[str], dimension: DataFrame | None) -> list[str]:
+    return keys if dimension is not None else [*keys, *names]
+
+
+def _daily(facts: DataFrame, day: Column, stores: DataFrame | None) -> DataFrame:
+    totals = facts.groupBy(day, *_group(["store_id"], ["store_name"], stores)).agg(
         rounded_sum("total_amount").alias("total_revenue"),
         F.count("transaction_id").alias("total_transactions"),
         F.sum("quantity").alias("total_items_sold"),
         F.count_distinct("customer_id").alias("unique_customers"),
-    ]
+    )
+    if "sale_window" in totals.columns:
+        start = F.col("sale_window.start").cast("date").alias("sale_date")
+        totals = totals.select(start, *[c for c in totals.columns if c != "sale_window"])
+    return _with_names(totals, stores, "store_id", store_name="name")
 
 
-def daily_store_sales(facts: DataFrame) -> DataFrame:
+def daily_store_sales(facts: DataFrame, stores: DataFrame | None = None) -> DataFrame:
     """Revenue, transactions, items and distinct customers per day and store."""
-    return facts.groupBy(
-        day_by_cast().alias("sale_date"), "store_id", "store_name"
-    ).agg(*_store_totals())
+    return _daily(facts, day_by_cast().alias("sale_date"), stores)
 
 
-def daily_store_sales_by_window(facts: DataFrame) -> DataFrame:
+def daily_store_sales_by_window(facts: DataFrame, stores: DataFrame | None = None) -> DataFrame:
     """The same through a tumbling event-time window."""
-    return (
-        facts.groupBy(day_window().alias("sale_window"), "store_id", "store_name")
-        .agg(*_store_totals())
-        .withColumn("sale_date", F.col("sale_window.start").cast("date"))
-        .select(
-            "sale_date", "store_id", "store_name",
-            "total_revenue", "total_transactions", "total_items_sold", "unique_customers",
-        )
-    )
+    return _daily(facts, day_window().alias("sale_window"), stores)
 
 
-def daily_store_sales_by_truncation(facts: DataFrame) -> DataFrame:
+def daily_store_sales_by_truncation(facts: DataFrame, stores: DataFrame | None = None) -> DataFrame:
     """The same with the day as a timestamp."""
-    return facts.groupBy(
-        day_by_truncation().alias("sale_date"), "store_id", "store_name"
-    ).agg(*_store_totals())
+    return _daily(facts, day_by_truncation().alias("sale_date"), stores)
 
 
 def product_day_totals(facts: DataFrame) -> DataFrame:
@@ -64,13 +75,15 @@ def _product_sums() -> list[Column]:
     ]
 
 
-def product_performance(facts: DataFrame) -> DataFrame:
+def product_performance(facts: DataFrame, products: DataFrame | None = None) -> DataFrame:
     """Revenue, quantity and order lines per product, name and category."""
-    return facts.groupBy("product_id", "product_name", "product_category").agg(
+    names = ["product_name", "product_category"]
+    totals = facts.groupBy(*_group(["product_id"], names, products)).agg(
         rounded_sum("total_amount").alias("total_revenue"),
         F.round(F.sum("quantity"), 2).alias("total_quantity_sold"),
         F.count("transaction_id").alias("total_orders"),
     )
+    return _with_names(totals, products, "product_id", product_name="name", product_category="category")
 
 
 def product_performance_from(totals: DataFrame) -> DataFrame:
@@ -96,15 +109,16 @@ def product_performance_max_category(facts: DataFrame) -> DataFrame:
     )
 
 
-def customer_value(facts: DataFrame) -> DataFrame:
+def customer_value(facts: DataFrame, customers: DataFrame | None = None) -> DataFrame:
     """Lifetime value per customer: spend, distinct orders, first and last purchase, average order line."""
-    return facts.groupBy("customer_id", "customer_name").agg(
+    totals = facts.groupBy(*_group(["customer_id"], ["customer_name"], customers)).agg(
         rounded_sum("total_amount").alias("total_spend"),
         F.count_distinct("transaction_id").alias("total_orders"),
         F.min("event_time").cast("date").alias("first_purchase_date"),
         F.max("event_time").cast("date").alias("last_purchase_date"),
         rounded_avg("total_amount").alias("avg_order_value"),
     )
+    return _with_names(totals, customers, "customer_id", customer_name="name")
 
 
 def customer_day_totals(facts: DataFrame) -> DataFrame:

@@ -208,22 +208,22 @@ def enriched_facts(star: Star) -> DataFrame:
 
 @report
 def daily_store_sales(star: Star) -> DataFrame:
-    return gold.daily_store_sales(enrich(_sales(star), stores=star.stores()))
+    return gold.daily_store_sales(_sales(star), star.stores())
 
 
 @report
 def daily_store_sales_window(star: Star) -> DataFrame:
-    return gold.daily_store_sales_by_window(enrich(_sales(star), stores=star.stores()))
+    return gold.daily_store_sales_by_window(_sales(star), star.stores())
 
 
 @report
 def daily_store_sales_trunc(star: Star) -> DataFrame:
-    return gold.daily_store_sales_by_truncation(enrich(_sales(star), stores=star.stores()))
+    return gold.daily_store_sales_by_truncation(_sales(star), star.stores())
 
 
 @report
 def product_performance(star: Star) -> DataFrame:
-    return gold.product_performance(enrich(_sales(star), products=star.products()))
+    return gold.product_performance(_sales(star), star.products())
 
 
 @report
@@ -233,7 +233,7 @@ def product_performance_maxcat(star: Star) -> DataFrame:
 
 @report
 def customer_value(star: Star) -> DataFrame:
-    return gold.customer_value(enrich(_sales(star), customers=star.customers()))
+    return gold.customer_value(_sales(star), star.customers())
 
 
 def _sql_models(star: Star) -> dict[str, DataFrame]:

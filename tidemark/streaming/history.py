@@ -5,7 +5,8 @@ touches, and replaces what was there. That makes a repeated batch harmless and h
 
 To keep the recomputed part small, ``seal`` freezes what has been closed so far. From then on a bucket is
 recomputed from the versions open at the seal and the records after it. A record from before the seal makes
-its bucket start over from the whole log, so the result is exact however late it is.
+its bucket start over from the whole log, so the result is exact however late it is. The tables of a touched
+bucket are replaced one after the other: read them between micro-batches, or after a failed one is repeated.
 
 Tables under ``root``::
 
@@ -34,6 +35,7 @@ from tidemark.operators.history import (
     history_of_tracked_columns,
 )
 from tidemark.operators.slices import ROWS_PER_SLICE
+from tidemark.session import materialize
 from tidemark.sources.tables import append, overwrite_partitions, write_batch
 from tidemark.streaming.queries import for_each_batch
 
@@ -151,21 +153,26 @@ class HistoryTable:
             self._write(self._history(self._from_log(new).unionByName(seeds)), "live", seal)
 
     def _start_over(self, buckets: list[int], seal: int, through: datetime) -> None:
-        """Recompute whole buckets from the log, all into ``live``, and their open versions at the seal."""
+        """Recompute whole buckets from the log, and the frozen part of them as of the seal."""
         log = self._from_log(self._log().filter(F.col("bucket").isin(buckets)))
-        self._write(self._history(log), "live", seal)
         if seal == 0:
+            self._write(self._history(log), "live", seal)
             return
-        before = self._history(log.filter(F.col(self.sequence) <= through))
-        self._write(before.filter(CURRENT), "base", seal)
-        # Replace the frozen versions of these buckets, now part of live, by one empty row each.
+        versions = materialize(self._history(log), "started-over")
+        before_seal = F.coalesce(F.col(END) <= F.lit(through), F.lit(False))
+        # A partition without versions is not replaced, so every frozen one gets an empty row as well.
         blanks = self.spark.createDataFrame(
             [(s, b) for s in range(1, seal + 1) for b in buckets], "seal INT, bucket INT"
         )
         empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.version_schema[:-2]]
+        frozen = versions.filter(before_seal).withColumn("seal", F.lit(seal))
         overwrite_partitions(
-            blanks.select(*empty, "seal", "bucket"), f"{self.root}/closed", ["seal", "bucket"]
+            blanks.select(*empty, "seal", "bucket").unionByName(frozen),
+            f"{self.root}/closed",
+            ["seal", "bucket"],
         )
+        self._write(self._history(log.filter(F.col(self.sequence) <= through)).filter(CURRENT), "base", seal)
+        self._write(versions.filter(~before_seal), "live", seal)
 
     def seal(self) -> None:
         """Freeze the closed versions. Run between micro-batches, for instance once a day."""
@@ -188,5 +195,11 @@ class HistoryTable:
         )
         return live.unionByName(frozen).drop("seal", "bucket", *self.excluded)
 
+    def current(self) -> DataFrame:
+        """Open versions only. They are never frozen, so closed history is not even listed."""
+        seal, _ = self._last_seal()
+        live = self._versions_in("live").filter((F.col("seal") == seal) & F.col(CURRENT))
+        return live.drop("seal", "bucket", *self.excluded)
+
     def follow(self, stream: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
         return for_each_batch(stream, self.apply, checkpoint, trigger)

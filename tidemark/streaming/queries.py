@@ -5,11 +5,13 @@ Interval triggers differ in nothing but the trigger, so callers that want a resi
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.operators.quality import Rule, metrics_frame
+
 PENDING = {"availableNow": True}
 
 
@@ -39,3 +41,18 @@ def for_each_batch(
         .trigger(**(trigger or PENDING))
         .start()
     )
+
+
+def observed_metrics(
+    query: StreamingQuery, metric: str, dataset: str, rules: Sequence[Rule]
+) -> DataFrame | None:
+    """Violations per rule over the reported micro-batches of a query that ran with ``observe=metric``.
+
+    Spark reports the last ``spark.sql.streaming.numRecentProgressUpdates`` micro-batches, 100 by default.
+    """
+    counted = [p.observedMetrics[metric] for p in query.recentProgress if metric in p.observedMetrics]
+    if not counted:
+        return None
+    names = ["n_rows", *[rule.name for rule in rules]]
+    totals = {name: sum(row[name] for row in counted) for name in names}
+    return metrics_frame(SparkSession.active(), dataset, rules, totals)

@@ -43,7 +43,9 @@ class FreshTable:
 
         Progress is recorded last: a refresh that dies half-way is repeated with the same result.
         """
-        facts = self.spark.read.parquet(self.facts)
+        facts = _read_if_written(self.spark, self.facts)
+        if facts is None:
+            return []
         unseen = facts.filter(F.col("batch_id") > self._refreshed_through())
         # Reads no column but the partition values, and leaves one row per touched day.
         touched = unseen.groupBy("sale_date").agg(F.max("batch_id").alias("batch_id")).collect()
