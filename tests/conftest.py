@@ -12,7 +12,8 @@ def spark(tmp_path_factory):
         **{
             "spark.checkpoint.dir": str(base / "shared"),
             "spark.sql.warehouse.dir": str(base / "warehouse"),
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
+            "spark.default.parallelism": "2",
         },
     )
     yield session

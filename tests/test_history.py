@@ -50,18 +50,24 @@ def collect(df, columns=("k", "name", "city", "points", H.START, H.END, H.CURREN
     return sorted([tuple(r) for r in df.select(*columns).collect()], key=repr)
 
 
-@pytest.mark.parametrize("hot", [False, True])
-@pytest.mark.parametrize("rows_per_slice", [10**6, 20, 3])
-@pytest.mark.parametrize("ignore_nulls", [True, False])
-def test_tracked_history_equals_replay(spark, hot, rows_per_slice, ignore_nulls):
+@pytest.mark.parametrize(
+    "hot, rows_per_slice, ignore_nulls, tracked",
+    [
+        (False, 10**6, True, ["city"]),
+        (True, 10**6, False, ["name", "city"]),
+        (True, 20, True, ["city"]),
+        (True, 20, False, ["name", "city"]),
+        (True, 3, True, ["name", "city"]),
+        (True, 3, False, ["city"]),
+    ],
+)
+def test_tracked_history_equals_replay(spark, hot, rows_per_slice, ignore_nulls, tracked):
     rows = make_log(7 if hot else 8, hot)
-    log = spark.createDataFrame(rows, DDL)
-    for tracked in (["city"], ["name", "city"]):
-        got = H.history_of_tracked_columns(
-            log, ["k"], "seq", tracked, ["tie"],
-            excluded=["tie", "seq"], ignore_nulls=ignore_nulls, rows_per_slice=rows_per_slice,
-        )
-        assert collect(got) == replay(rows, tracked, ignore_nulls)
+    got = H.history_of_tracked_columns(
+        spark.createDataFrame(rows, DDL), ["k"], "seq", tracked, ["tie"],
+        excluded=["tie", "seq"], ignore_nulls=ignore_nulls, rows_per_slice=rows_per_slice,
+    )
+    assert collect(got) == replay(rows, tracked, ignore_nulls)
 
 
 @pytest.mark.parametrize("rows_per_slice", [10**6, 20, 2])
@@ -103,7 +109,8 @@ def test_copies_are_found_and_counted(spark, monkeypatch):
     log = spark.createDataFrame(rows, DDL)
     hot = slices.find_hot_keys(log, ["k"], ["seq", "tie"], 20)
     assert hot.copies
-    assert hot.only(log, ["k"]).groupBy().sum(slices.COPIES).first()[0] == sum(r[0] == 0 for r in rows)
+    counted = hot.only(log, ["k"]).filter("k = 0").groupBy().sum(slices.COPIES).first()[0]
+    assert counted == sum(r[0] == 0 for r in rows)
     for build in (
         lambda n: H.history_of_every_change(log, ["k"], "seq", ["tie"], sentinel=False, rows_per_slice=n),
         lambda n: H.history_of_tracked_columns(log, ["k"], "seq", ["city"], ["tie"], rows_per_slice=n),
