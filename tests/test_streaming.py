@@ -17,7 +17,7 @@ from tidemark.sources.files import CORRUPT, bronze, read_csv, stream_parquet, ty
 from tidemark.sources.tables import append, write_batch
 from tidemark.streaming import refresh
 from tidemark.streaming.facts import daily_totals, enrich_stream, split_stream
-from tidemark.streaming.ingest import ingest_csv, ingest_with_rules
+from tidemark.streaming.ingest import ingest_csv, ingest_with_rules, ingested, quarantined
 from tidemark.streaming.queries import append_stream, for_each_batch
 
 T0 = datetime(2024, 3, 1, 10)
@@ -42,7 +42,7 @@ def test_csv_files_are_ingested_once_and_bad_lines_kept(spark, tmp_path):
 
     def ingest():
         ingest_csv(
-            spark, str(landing), SALES_FILE_DDL, f"{tmp_path}/bronze", f"{tmp_path}/bad", f"{tmp_path}/c",
+            spark, str(landing), SALES_FILE_DDL, f"{tmp_path}/bronze", f"{tmp_path}/c",
             purge=True, max_files_per_trigger=1,
         ).awaitTermination()
 
@@ -51,11 +51,11 @@ def test_csv_files_are_ingested_once_and_bad_lines_kept(spark, tmp_path):
     (landing / "c.csv").write_text(HEADER + "3,1,2024-03-01 12:00:00,1,,1,5.0,10.0,Cash,,0.8\n")
     ingest()
     ingest()
-    good = spark.read.parquet(f"{tmp_path}/bronze")
+    good = ingested(spark, f"{tmp_path}/bronze")
     assert sorted(r["transaction_id"] for r in good.collect()) == [1, 3]
     assert {os.path.basename(r["source_file_path"]) for r in good.collect()} == {"a.csv", "c.csv"}
     assert good.filter("ingest_timestamp IS NULL").count() == 0
-    bad = [r[0] for r in spark.read.parquet(f"{tmp_path}/bad").select(CORRUPT).collect()]
+    bad = [r[0] for r in quarantined(spark, f"{tmp_path}/bronze").select(CORRUPT).collect()]
     assert sorted(line.split(",")[0] for line in bad) == ["2", "what"]
     # A file goes away when a later batch commits; the last one may still lie there.
     assert "a.csv" not in os.listdir(landing)

@@ -1,5 +1,6 @@
 """Incremental history must equal the history of the whole log, however its records arrive."""
 
+import os
 import random
 from datetime import datetime, timedelta
 
@@ -7,7 +8,7 @@ import pytest
 
 from tests.test_history import DDL, collect, make_log
 from tidemark.operators import history as H
-from tidemark.session import new_dir
+from tidemark.session import new_dir, shared_dir
 from tidemark.sources.files import stream_parquet
 from tidemark.streaming.history import HistoryTable
 
@@ -34,25 +35,26 @@ def check(spark, history, rows, tracked):
     assert collect(history.current(), COLUMNS) == [r for r in expected if r[-1]]
 
 
-@pytest.mark.parametrize("tracked", [None, ["city"]])
-@pytest.mark.parametrize("arrival", ["in order", "shuffled"])
+@pytest.mark.parametrize(
+    "tracked, arrival", [(None, "shuffled"), (["city"], "in order"), (["city"], "shuffled")]
+)
 def test_batches_with_seals_and_replays(spark, tracked, arrival):
     rows = make_log(21, True)[:300]
     if arrival == "in order":
         rows.sort(key=lambda r: r[1:3])
     history = table(spark, tracked, rows_per_slice=40)
-    parts = [rows[:90], rows[90:170], rows[170:290], rows[290:]]
     seen = []
-    for batch_id, part in enumerate(parts):
+    for batch_id, part in enumerate((rows[:110], rows[110:200], rows[200:])):
         batch = spark.createDataFrame(part, DDL)
         history.apply(batch, batch_id)
-        if batch_id == 1:
-            history.apply(batch, batch_id)
         seen += part
-        if batch_id in (0, 2):
+        if batch_id == 0:
             history.seal()
             history.seal()
-        check(spark, history, seen, tracked)
+        if batch_id == 1:
+            history.apply(batch, batch_id)
+            check(spark, history, seen, tracked)
+    check(spark, history, rows, tracked)
 
 
 def test_record_older_than_two_seals(spark):
@@ -93,6 +95,15 @@ def test_on_time_batches_do_not_rewrite_frozen_versions(spark):
         batch = [(k, start + timedelta(days=day), day, "n", "x", day) for k in range(5)]
         history.apply(spark.createDataFrame(batch, DDL), day)
         history.seal()
-    live = history._versions_in("live").filter(f"seal = {history._last_seal()[0]}")
+    live = history._versions_in("live").filter(f"seal = {history._last_seal().number}")
     assert live.count() == 5
     assert history._versions_in("closed").count() == 15
+
+
+def test_scratch_tables_are_gone_and_null_sequence_is_refused(spark):
+    history = table(spark, ["city"], rows_per_slice=20)
+    before = set(os.listdir(shared_dir(spark)))
+    history.apply(spark.createDataFrame(make_log(3, True), DDL), 0)
+    assert {d for d in set(os.listdir(shared_dir(spark))) - before if not d.startswith("history")} == set()
+    with pytest.raises(Exception, match="known_sequence"):
+        history.apply(spark.createDataFrame([(1, None, 1, "a", "x", 1)], DDL), 1)

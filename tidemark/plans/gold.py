@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.days import day_by_cast, day_by_truncation, day_window
-from tidemark.functions.money import exact_amount, rounded, rounded_avg, rounded_sum
+from tidemark.functions.money import rounded, rounded_avg, rounded_sum, total
 
 
 def _with_names(totals: DataFrame, dimension: DataFrame | None, key: str, **names: str) -> DataFrame:
@@ -69,7 +69,7 @@ def product_day_totals(facts: DataFrame) -> DataFrame:
 
 def _product_sums() -> list[Column]:
     return [
-        F.sum(exact_amount("total_amount")).alias("revenue"),
+        total("total_amount").alias("revenue"),
         F.sum("quantity").alias("quantity"),
         F.count("transaction_id").alias("orders"),
     ]
@@ -126,7 +126,7 @@ def customer_day_totals(facts: DataFrame) -> DataFrame:
     return facts.groupBy(
         day_by_cast().alias("sale_date"), "customer_id", "customer_name", "transaction_id"
     ).agg(
-        F.sum(exact_amount("total_amount")).alias("spend"),
+        total("total_amount").alias("spend"),
         F.count("total_amount").alias("lines"),
         F.min("event_time").alias("first_event"),
         F.max("event_time").alias("last_event"),

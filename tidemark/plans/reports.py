@@ -33,7 +33,7 @@ from tidemark.sources.tables import write_batch
 from tidemark.streaming import refresh
 from tidemark.streaming.facts import daily_totals, enrich_stream, split_stream
 from tidemark.streaming.history import HistoryTable
-from tidemark.streaming.ingest import ingest_csv, ingest_with_rules
+from tidemark.streaming.ingest import ingest_csv, ingest_with_rules, ingested, quarantined
 from tidemark.streaming.queries import append_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -457,14 +457,13 @@ def csv_ingest(star: Star) -> DataFrame:
         f"{root}/landing"
     )
     ingest_csv(
-        star.spark, f"{root}/landing", SALES_FILE_DDL,
-        f"{root}/bronze", f"{root}/quarantine", f"{root}/checkpoint", purge=True,
+        star.spark, f"{root}/landing", SALES_FILE_DDL, f"{root}/bronze", f"{root}/checkpoint", purge=True
     ).awaitTermination()
-    good = star.spark.read.parquet(f"{root}/bronze").select(
+    good = ingested(star.spark, f"{root}/bronze").select(
         F.lit("good").alias("line"), "transaction_id", F.col("event_time").cast("timestamp").alias("event_time"),
         "customer_id", "quantity", "total_amount", "payment_method",
     )
-    bad = star.spark.read.parquet(f"{root}/quarantine").select(
+    bad = quarantined(star.spark, f"{root}/bronze").select(
         F.lit("malformed").alias("line"),
         F.split(CORRUPT, ",")[0].cast("bigint").alias("transaction_id"),
         *[F.lit(None).cast(good.schema[c].dataType).alias(c) for c in good.columns[2:]],

@@ -1,7 +1,7 @@
 """The batch pipeline as plain Spark SQL over the bronze tables, for SQL-first users.
 
 The texts name tables by layer, as in ``{silver_stores}``, so that they run over stored tables or over
-temporary views. Tables are written by overwriting, since Parquet tables in the session catalog cannot be
+temporary views; ``{total_amount_sum}`` stands for the exact rounded sum. Tables are written by overwriting, since Parquet tables in the session catalog cannot be
 replaced by CREATE OR REPLACE.
 """
 
@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.money import rounded_avg_sql, rounded_sum_sql
 from tidemark.operators.history import history_of_every_change
 from tidemark.sources.tables import create_layers, create_view, overwrite_table
 
@@ -46,7 +47,7 @@ TABLES = {
     """,
     "gold.daily_sales_by_store": """
         SELECT CAST(date_trunc('DAY', event_time) AS DATE) AS sale_date, store_id, store_name,
-               CAST(round(sum(CAST(total_amount AS DECIMAL(20, 4))), 2) AS DOUBLE) AS total_revenue,
+               {total_amount_sum} AS total_revenue,
                count(transaction_id) AS total_transactions,
                sum(quantity) AS total_items_sold,
                count(DISTINCT customer_id) AS unique_customers
@@ -55,7 +56,7 @@ TABLES = {
     """,
     "gold.product_performance": """
         SELECT product_id, product_name, product_category,
-               CAST(round(sum(CAST(total_amount AS DECIMAL(20, 4))), 2) AS DOUBLE) AS total_revenue,
+               {total_amount_sum} AS total_revenue,
                round(sum(quantity), 2) AS total_quantity_sold,
                count(transaction_id) AS total_orders
         FROM {gold_sales_facts}
@@ -63,11 +64,11 @@ TABLES = {
     """,
     "gold.customer_lifetime_value": """
         SELECT customer_id, customer_name,
-               CAST(round(sum(CAST(total_amount AS DECIMAL(20, 4))), 2) AS DOUBLE) AS total_spend,
+               {total_amount_sum} AS total_spend,
                count(DISTINCT transaction_id) AS total_orders,
                CAST(min(event_time) AS DATE) AS first_purchase_date,
                CAST(max(event_time) AS DATE) AS last_purchase_date,
-               CAST(round(avg(CAST(total_amount AS DECIMAL(20, 4))), 2) AS DOUBLE) AS avg_order_value
+               {total_amount_avg} AS avg_order_value
         FROM {gold_sales_facts}
         GROUP BY ALL
     """,
@@ -76,7 +77,11 @@ RAW_TABLES = ("sales", "customers", "products", "stores")
 
 
 def _names(bronze: str, table: str) -> dict[str, str]:
-    names = {f"bronze_{raw}": bronze.format(raw) for raw in RAW_TABLES}
+    names = {
+        "total_amount_sum": rounded_sum_sql("total_amount"),
+        "total_amount_avg": rounded_avg_sql("total_amount"),
+    }
+    names |= {f"bronze_{raw}": bronze.format(raw) for raw in RAW_TABLES}
     return names | {name.replace(".", "_"): table.format(name) for name in (*HISTORIES, *TABLES)}
 
 
@@ -115,5 +120,7 @@ def as_views(spark: SparkSession, bronze: dict[str, DataFrame], label: str) -> d
 
     for raw, frame in bronze.items():
         frame.createOrReplaceTempView(f"{label}_raw_{raw}")
-    names = {key: value.replace(".", "_") for key, value in _names(label + "_raw_{}", label + "_{}").items()}
+    names = _names(label + "_raw_{}", label + "_{}")
+    for name in (*HISTORIES, *TABLES):
+        names[name.replace(".", "_")] = names[name.replace(".", "_")].replace(".", "_")
     return _models(spark, names, store)

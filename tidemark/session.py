@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,6 +67,9 @@ def new_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+_scratch = threading.local()
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -72,4 +78,32 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """
     path = new_dir(df.sparkSession, label)
     df.write.parquet(path)
+    for paths in getattr(_scratch, "open", []):
+        paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete what :func:`materialize` wrote inside the block, for steps that store their own result."""
+    paths: list[str] = []
+    stack = _scratch.__dict__.setdefault("open", [])
+    stack.append(paths)
+    try:
+        yield
+    finally:
+        stack.remove(paths)
+        for path in paths:
+            files, location = file_system(spark, path)
+            files.delete(location, True)
+
+
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path in its terms."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, location = file_system(spark, path)
+    return files.exists(location)

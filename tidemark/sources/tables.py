@@ -57,9 +57,11 @@ def overwrite_partitions(df: DataFrame, path: str, partitions: Sequence[str]) ->
     _write_partitions(df.hint("rebalance", *partitions), path, partitions)
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, partitions: Sequence[str] = ()) -> None:
+def write_batch(
+    df: DataFrame, path: str, batch_id: int, partitions: Sequence[str] = (), rebalance: bool = True
+) -> None:
     """Append a micro-batch under its own number; a repeated batch replaces its first attempt."""
-    spread = df.hint("rebalance", *partitions) if partitions else df
+    spread = df.hint("rebalance", *partitions) if partitions and rebalance else df
     numbered = spread.withColumn("batch_id", F.lit(batch_id).cast("long"))
     _write_partitions(numbered, path, [*partitions, "batch_id"])
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.days import day_by_cast, day_window
+from tidemark.functions.money import total
 from tidemark.model import EVENT_TIME_WATERMARK
 from tidemark.operators.sales import enrich, returns_transactions, sales_transactions
 from tidemark.sources.tables import write_batch
@@ -48,10 +49,9 @@ def enrich_stream(
 def daily_totals(stream: DataFrame, time: str, value: str, *keys: str) -> DataFrame:
     """Count and sum per tumbling day and keys. On a stream, rows later than the watermark are not counted
     and a day appears once the watermark has passed its end."""
-    amounts = F.sum(F.col(value).cast("decimal(20,4)"))
     return (
         stream.withWatermark(time, EVENT_TIME_WATERMARK)
         .groupBy(day_window(time).alias("day_window"), *keys)
-        .agg(F.count(F.lit(1)).alias("n"), amounts.cast("double").alias("total"))
+        .agg(F.count(F.lit(1)).alias("n"), total(value).cast("double").alias("total"))
         .select(F.col("day_window.start").cast("date").alias("day"), *keys, "n", "total")
     )

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,15 +35,24 @@ from tidemark.operators.history import (
     history_of_every_change,
     history_of_tracked_columns,
 )
+from tidemark.operators.quality import enforce, fail
 from tidemark.operators.slices import ROWS_PER_SLICE
-from tidemark.session import materialize
+from tidemark.session import exists, file_system, materialize, scratch_tables
 from tidemark.sources.tables import append, overwrite_partitions, write_batch
 from tidemark.streaming.queries import for_each_batch
 
-_SEALS = "seal INT, through TIMESTAMP"
+_SEALS = "seal INT, through TIMESTAMP, batch_id BIGINT"
 _BEGINNING = datetime(1, 1, 2)
 
 
+class _Seal(NamedTuple):
+    """The last finished seal: the greatest sequence value and batch it covers."""
+
+    number: int
+    through: datetime
+    batch_id: int
+
+
 class HistoryTable:
     """``tracked`` as in :func:`history_of_tracked_columns`, or None for a version per change record.
 
@@ -84,13 +94,22 @@ class HistoryTable:
 
     def _read(self, table: str, schema: T.StructType) -> DataFrame:
         path = f"{self.root}/{table}"
-        java_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        if not java_path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(java_path):
+        if not exists(self.spark, path):
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(path)
 
-    def _log(self) -> DataFrame:
-        return self._read("log", self.log_schema)
+    def _log(self, after: int = -1) -> DataFrame:
+        """Records of the batches after a number; only the directories of those are listed."""
+        path = f"{self.root}/log"
+        if after < 0 or not exists(self.spark, path):
+            return self._read("log", self.log_schema)
+        files, location = file_system(self.spark, path)
+        names = [status.getPath().getName() for status in files.listStatus(location)]
+        wanted = [n for n in names if n.startswith("batch_id=") and int(n.removeprefix("batch_id=")) > after]
+        if not wanted:
+            return self.spark.createDataFrame([], self.log_schema)
+        reader = self.spark.read.schema(self.log_schema).option("basePath", path)
+        return reader.parquet(*[f"{path}/{name}" for name in wanted])
 
     def _versions_in(self, table: str) -> DataFrame:
         return self._read(table, self.version_schema)
@@ -101,11 +120,10 @@ class HistoryTable:
             numbered.select(*self.version_schema.names), f"{self.root}/{table}", ["seal", "bucket"]
         )
 
-    def _last_seal(self) -> tuple[int, datetime]:
-        """Number of the last finished seal, and the greatest sequence value it covers."""
+    def _last_seal(self) -> _Seal:
         seals = self._read("seals", T.StructType.fromDDL(_SEALS))
-        last = seals.agg(F.max(F.struct("seal", "through")).alias("last")).first()["last"]
-        return (0, _BEGINNING) if last is None else (last["seal"], last["through"])
+        last = seals.agg(F.max(F.struct("seal", "through", "batch_id")).alias("last")).first()["last"]
+        return _Seal(0, _BEGINNING, -1) if last is None else _Seal(*last)
 
     def _history(self, records: DataFrame) -> DataFrame:
         """Versions of log records, or of log records on top of open versions (which have a start)."""
@@ -131,64 +149,78 @@ class HistoryTable:
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         """Take in one micro-batch of change records; the handler for ``for_each_batch``."""
         bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
-        records = batch.select(*self.records.names).withColumn("bucket", bucket)
+        # Without a sequence value a record has no place in the history, and must not vanish either.
+        known = fail("known_sequence", f"{self.sequence} IS NOT NULL")
+        records = enforce(batch.select(*self.records.names), [known]).withColumn("bucket", bucket)
         # Sorted by bucket, so that a scan for some buckets skips the rest of a file.
         by_bucket = records.hint("rebalance", "bucket").sortWithinPartitions("bucket")
         write_batch(by_bucket, f"{self.root}/log", batch_id)
 
-        seal, through = self._last_seal()
-        arrived = self._log().filter(F.col("batch_id") == batch_id)
+        seal = self._last_seal()
+        arrived = self._log(after=batch_id - 1).filter(F.col("batch_id") == batch_id)
         # One row per touched bucket.
         touched = arrived.groupBy("bucket").agg(F.min(self.sequence).alias("first")).collect()
-        on_time = [row["bucket"] for row in touched if row["first"] > through]
-        late = [row["bucket"] for row in touched if row["first"] <= through]
-        if late:
-            self._start_over(late, seal, through)
-        if on_time:
-            new = self._log().filter(F.col("bucket").isin(on_time) & (F.col(self.sequence) > through))
-            base = self._versions_in("base").filter(
-                (F.col("seal") == seal) & F.col("bucket").isin(on_time)
-            )
-            seeds = base.select(*self.records.names, "bucket", START)
-            self._write(self._history(self._from_log(new).unionByName(seeds)), "live", seal)
+        on_time = [row["bucket"] for row in touched if row["first"] > seal.through]
+        late = [row["bucket"] for row in touched if row["first"] <= seal.through]
+        with scratch_tables(self.spark):
+            if late:
+                self._start_over(late, seal)
+            if on_time:
+                self._continue(on_time, seal)
+
+    def _continue(self, buckets: list[int], seal: _Seal) -> None:
+        """Recompute what happened since the seal; records after it are in batches after it."""
+        since = self._log(after=seal.batch_id).filter(
+            F.col("bucket").isin(buckets) & (F.col(self.sequence) > F.lit(seal.through))
+        )
+        base = self._versions_in("base").filter(
+            (F.col("seal") == seal.number) & F.col("bucket").isin(buckets)
+        )
+        seeds = base.select(*self.records.names, "bucket", START)
+        self._write(self._history(self._from_log(since).unionByName(seeds)), "live", seal.number)
 
-    def _start_over(self, buckets: list[int], seal: int, through: datetime) -> None:
+    def _start_over(self, buckets: list[int], seal: _Seal) -> None:
         """Recompute whole buckets from the log, and the frozen part of them as of the seal."""
         log = self._from_log(self._log().filter(F.col("bucket").isin(buckets)))
-        if seal == 0:
-            self._write(self._history(log), "live", seal)
+        if seal.number == 0:
+            self._write(self._history(log), "live", 0)
             return
         versions = materialize(self._history(log), "started-over")
-        before_seal = F.coalesce(F.col(END) <= F.lit(through), F.lit(False))
+        before_seal = F.coalesce(F.col(END) <= F.lit(seal.through), F.lit(False))
         # A partition without versions is not replaced, so every frozen one gets an empty row as well.
         blanks = self.spark.createDataFrame(
-            [(s, b) for s in range(1, seal + 1) for b in buckets], "seal INT, bucket INT"
+            [(s, b) for s in range(1, seal.number + 1) for b in buckets], "seal INT, bucket INT"
         )
         empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.version_schema[:-2]]
-        frozen = versions.filter(before_seal).withColumn("seal", F.lit(seal))
+        frozen = versions.filter(before_seal).withColumn("seal", F.lit(seal.number))
         overwrite_partitions(
             blanks.select(*empty, "seal", "bucket").unionByName(frozen),
             f"{self.root}/closed",
             ["seal", "bucket"],
         )
-        self._write(self._history(log.filter(F.col(self.sequence) <= through)).filter(CURRENT), "base", seal)
-        self._write(versions.filter(~before_seal), "live", seal)
+        open_then = self._history(log.filter(F.col(self.sequence) <= F.lit(seal.through))).filter(CURRENT)
+        self._write(open_then, "base", seal.number)
+        self._write(versions.filter(~before_seal), "live", seal.number)
 
     def seal(self) -> None:
         """Freeze the closed versions. Run between micro-batches, for instance once a day."""
-        seal, before = self._last_seal()
-        newest = self._log().agg(F.max(self.sequence)).first()[0]
-        if newest is None or newest <= before:
+        last = self._last_seal()
+        newest = self._log(after=last.batch_id).agg(
+            F.max(self.sequence).alias("through"), F.max("batch_id").alias("batch_id")
+        ).first()
+        if newest["through"] is None or newest["through"] <= last.through:
             return
-        live = self._versions_in("live").filter(F.col("seal") == seal)
-        self._write(live.filter(~F.col(CURRENT)), "closed", seal + 1)
-        self._write(live.filter(CURRENT), "base", seal + 1)
-        self._write(live.filter(CURRENT), "live", seal + 1)
-        append(self.spark.createDataFrame([(seal + 1, newest)], _SEALS), f"{self.root}/seals")
+        number = last.number + 1
+        live = self._versions_in("live").filter(F.col("seal") == last.number)
+        self._write(live.filter(~F.col(CURRENT)), "closed", number)
+        self._write(live.filter(CURRENT), "base", number)
+        self._write(live.filter(CURRENT), "live", number)
+        done = [(number, newest["through"], newest["batch_id"])]
+        append(self.spark.createDataFrame(done, _SEALS), f"{self.root}/seals")
 
     def read(self) -> DataFrame:
         """The whole history, without the excluded columns."""
-        seal, _ = self._last_seal()
+        seal = self._last_seal().number
         live = self._versions_in("live").filter(F.col("seal") == seal)
         frozen = self._versions_in("closed").filter(
             (F.col("seal") <= seal) & F.col(self.sequence).isNotNull()
@@ -197,7 +229,7 @@ class HistoryTable:
 
     def current(self) -> DataFrame:
         """Open versions only. They are never frozen, so closed history is not even listed."""
-        seal, _ = self._last_seal()
+        seal = self._last_seal().number
         live = self._versions_in("live").filter((F.col("seal") == seal) & F.col(CURRENT))
         return live.drop("seal", "bucket", *self.excluded)
 

@@ -13,35 +13,45 @@ from tidemark.sources.files import CORRUPT, LINEAGE, stream_csv, with_lineage
 from tidemark.sources.tables import write_batch
 from tidemark.streaming.queries import for_each_batch
 
+_MALFORMED = "malformed"
+
 
 def ingest_csv(
     spark: SparkSession,
     landing: str,
     ddl: str,
     target: str,
-    quarantine: str,
     checkpoint: str,
     *,
     purge: bool = False,
     max_files_per_trigger: int | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Ingest new CSV files: good lines to ``target``, malformed ones to ``quarantine``, none lost.
+    """Ingest new CSV files in one pass, malformed lines into a partition of their own; none are lost.
 
     Without a trigger this is the on-demand form: take what is pending and stop.
     """
     lines = with_lineage(
         stream_csv(spark, landing, ddl, purge=purge, max_files_per_trigger=max_files_per_trigger)
-    )
+    ).withColumn(_MALFORMED, F.col(CORRUPT).isNotNull())
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        malformed = F.col(CORRUPT).isNotNull()
-        write_batch(batch.filter(malformed).select(CORRUPT, *LINEAGE), quarantine, batch_id)
-        write_batch(batch.filter(~malformed).drop(CORRUPT), target, batch_id)
+        write_batch(batch, target, batch_id, [_MALFORMED], rebalance=False)
 
     return for_each_batch(lines, store, checkpoint, trigger)
 
 
+def ingested(spark: SparkSession, target: str) -> DataFrame:
+    """The well-formed lines that :func:`ingest_csv` has stored."""
+    stored = spark.read.parquet(target)
+    return stored.filter(f"{_MALFORMED} = 'false'").drop(_MALFORMED, CORRUPT, "batch_id")
+
+
+def quarantined(spark: SparkSession, target: str) -> DataFrame:
+    """The malformed lines as text, with their lineage."""
+    return spark.read.parquet(target).filter(f"{_MALFORMED} = 'true'").select(CORRUPT, *LINEAGE)
+
+
 def ingest_with_rules(
     stream: DataFrame,
     dataset: str,

@@ -9,15 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.plans import gold
+from tidemark.session import exists
 from tidemark.sources.tables import append, overwrite_partitions
 
 Transform = Callable[[DataFrame], DataFrame]
 
 
 def _read_if_written(spark: SparkSession, path: str) -> DataFrame | None:
-    java_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = java_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return spark.read.parquet(path) if files.exists(java_path) else None
+    return spark.read.parquet(path) if exists(spark, path) else None
 
 
 class FreshTable:
