@@ -59,7 +59,7 @@ def history_of_every_change(
     if hot is None:
         return _close(follow(log), _NEXT, sentinel)
 
-    records = assign_slices(hot.only(log, keys), hot, keys, order)
+    records = assign_slices(hot.only(log, keys), hot, keys)
     # One row per slice of a hot key: no more rows than cuts and hot keys.
     next_slice = (
         records.groupBy(*keys, SLICE)
@@ -111,7 +111,7 @@ def history_of_tracked_columns(
         versions = plan.whole_keys(log)
     else:
         # A record that repeats the one before it changes nothing, so its copies need not be kept.
-        records = assign_slices(hot.only(log, keys).drop(COPIES), hot, keys, order)
+        records = assign_slices(hot.only(log, keys).drop(COPIES), hot, keys)
         versions = plan.whole_keys(hot.without(log, keys)).unionByName(plan.sliced_keys(records))
     return _close(versions.drop(*[c for c in excluded if c not in keys]), _NEXT, sentinel)
 
@@ -272,7 +272,7 @@ def fill_forward(
     if hot is None:
         return _fill(log, whole, columns)
     place = [*keys, SLICE]
-    records = assign_slices(hot.only(log, keys), hot, keys, order)
+    records = assign_slices(hot.only(log, keys), hot, keys)
     carried = _state_before_slices(records, keys, order, [], columns)
     in_slice = Window.partitionBy(*place).orderBy(*order)
     filled = _fill(records.join(carried, place, "left"), in_slice, columns, _CARRIED)

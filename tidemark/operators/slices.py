@@ -18,21 +18,27 @@ from tidemark.session import materialize
 SLICE = "__slice"
 COPIES = "__copies"
 COLD = -1
-_CUTS = "__cuts"
+_CUTS, _STEPS = "__cuts", "__steps"
 
 # Upper bound for the cut table, and by that for everything broadcast here: 2**16 short rows.
 MAX_CUTS = 65_536
 ROWS_PER_SLICE = 2_000_000
-_MIN_CUTS_PER_KEY = 3
+# Every eighth of the sampled records becomes a cut, which makes the slices much the same size.
+_SAMPLES_PER_SLICE = 8
+_SAMPLES_OF_HOT_KEY = 2 * _SAMPLES_PER_SLICE
 _SEED = 20_240_101
 _ROWS_PER_COPY_CHUNK = 100_000
 
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Cut points of hot keys, and whether masses of identical records (which no cut separates) were seen."""
+    """Sorted cut points of hot keys over the order columns in ``place``.
+
+    ``copies`` tells whether masses of identical records were seen, which no cut can separate.
+    """
 
     cuts: DataFrame
+    place: tuple[str, ...]
     copies: bool
 
     def only(self, log: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -55,42 +61,49 @@ def find_hot_keys(
 ) -> HotKeys | None:
     """Cut points for every key with many more than ``rows_per_slice`` records, or None without such a key.
 
-    About one record in ``rows_per_slice`` becomes a candidate cut. Only key and order columns are scanned
-    and only candidates are shuffled: one short job when there is no hot key. Otherwise the cuts are written
-    down, so that all later steps see the same ones.
+    A few records per slice are sampled. Only key and order columns are scanned and only samples are
+    shuffled: one short job when there is no hot key. Otherwise the cuts are written down, so that all
+    later steps see the same ones.
     """
     keys, order = list(keys), list(order)
-    candidates = (
+    samples = (
         log.select(*keys, *order)
-        .filter(F.rand(_SEED) < 1.0 / rows_per_slice)
+        .filter(F.rand(_SEED) < _SAMPLES_PER_SLICE / rows_per_slice)
         .groupBy(*keys, *order)
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
-    def hot(candidates: DataFrame) -> DataFrame:
-        counts = F.sum("n").alias("n"), F.max("n").alias("same"), F.count(F.lit(1)).alias("cuts")
-        return candidates.groupBy(*keys).agg(*counts).filter(F.col("n") >= _MIN_CUTS_PER_KEY)
+    def hot(samples: DataFrame) -> DataFrame:
+        per_key = samples.groupBy(*keys).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("places"))
+        return per_key.filter(F.col("n") >= _SAMPLES_OF_HOT_KEY)
 
-    if hot(candidates).isEmpty():
+    if hot(samples).isEmpty():
         return None
-    candidates = materialize(candidates, "cut-candidates")
-    per_key = hot(candidates)
-    found = per_key.agg(F.sum("cuts").alias("cuts"), F.max("same").alias("same")).first()
-    if found["cuts"] is None:
+    samples = materialize(samples, "cut-samples")
+    hot_keys = materialize(hot(samples), "hot-keys")
+    samples = samples.join(hot_keys.select(*keys), keys, "left_semi")
+    heaviest = samples.agg(F.max("n")).first()[0]
+    if heaviest is None:
         return None
-    # Keep the table under its bound by thinning the candidates: longer slices, same results. The first cut
-    # of a key always stays, so that a hot key is never mistaken for an ordinary one.
-    stride = 1 + 2 * found["cuts"] // MAX_CUTS
-    place = F.struct(*order)
-    cut = F.when(F.pmod(F.xxhash64(*keys, *order), F.lit(stride)) == 0, place)
-    cuts = (
-        candidates.join(per_key.select(*keys), keys, "left_semi")
-        .groupBy(*keys)
-        .agg(F.sort_array(F.collect_set(cut)).alias(_CUTS), F.min(place).alias("first"))
-        .withColumn(_CUTS, F.when(F.size(_CUTS) > 0, F.col(_CUTS)).otherwise(F.array("first")))
-        .drop("first")
-    )
-    return HotKeys(materialize(cuts, "hot-key-cuts"), found["same"] >= _MIN_CUTS_PER_KEY)
+    copies = heaviest >= _SAMPLES_OF_HOT_KEY
+    # Comparing the sequence alone is cheap; the whole order is needed only for masses of equal sequences.
+    at_once = samples.groupBy(*keys, order[0]).agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0]
+    place = order if at_once >= _SAMPLES_OF_HOT_KEY else order[:1]
+
+    # Keep the table under its bound by thinning the samples: longer slices, same results.
+    stride = 1 + 2 * hot_keys.agg(F.sum("places")).first()[0] // (MAX_CUTS * _SAMPLES_PER_SLICE)
+    kept = samples.filter(F.pmod(F.xxhash64(*keys, *order), F.lit(stride)) == 0)
+    points = F.sort_array(F.collect_set(_at(place)))
+    every = F.filter(points, lambda _, i: F.pmod(i + 1, F.lit(_SAMPLES_PER_SLICE)) == 0)
+    # A search of n cuts takes the powers of two up to n, greatest first.
+    powers = F.array(*[F.lit(1 << bit) for bit in range(MAX_CUTS.bit_length(), -1, -1)])
+    steps = F.filter(powers, lambda step: step <= F.size(_CUTS))
+    cuts = kept.groupBy(*keys).agg(every.alias(_CUTS)).withColumn(_STEPS, steps)
+    return HotKeys(materialize(cuts, "hot-key-cuts"), tuple(place), copies)
+
+
+def _at(place: Sequence[str]) -> Column:
+    return F.col(place[0]) if len(place) == 1 else F.struct(*place)
 
 
 def spread_copies(df: DataFrame) -> DataFrame:
@@ -106,19 +119,16 @@ def spread_copies(df: DataFrame) -> DataFrame:
     )
 
 
-def _slice_number(order: Sequence[str]) -> Column:
-    """How many cuts are at or before the row, by binary search in the sorted cut array."""
-    row = F.struct(*order)
-    steps = [1 << bit for bit in range(MAX_CUTS.bit_length(), -1, -1)]
-    return F.aggregate(
-        F.array(*[F.lit(step) for step in steps]),
+def assign_slices(log: DataFrame, hot: HotKeys, keys: Sequence[str]) -> DataFrame:
+    """Add the slice number of every record, the number of cuts at or before it, found by binary search.
+
+    Records of ordinary keys get ``COLD``.
+    """
+    row = _at(hot.place)
+    number = F.aggregate(
+        _STEPS,
         F.lit(0),
         lambda at, step: F.when(F.get(F.col(_CUTS), at + step - 1) <= row, at + step).otherwise(at),
     )
-
-
-def assign_slices(log: DataFrame, hot: HotKeys, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Add the slice number of every record; records of ordinary keys get ``COLD``."""
     sliced = log.join(F.broadcast(hot.cuts), list(keys), "left")
-    number = F.when(F.col(_CUTS).isNull(), F.lit(COLD)).otherwise(_slice_number(order))
-    return sliced.withColumn(SLICE, number).drop(_CUTS)
+    return sliced.withColumn(SLICE, F.coalesce(number, F.lit(COLD))).drop(_CUTS, _STEPS)
