@@ -104,7 +104,7 @@ def with_copies():
 
 
 def test_copies_are_found_and_counted(spark, monkeypatch):
-    monkeypatch.setattr(slices, "_ROWS_PER_COPY_CHUNK", 50)
+    monkeypatch.setattr(slices, "_ROWS_PER_COPY_CHUNK", 250)
     rows = with_copies()
     log = spark.createDataFrame(rows, DDL)
     hot = slices.find_hot_keys(log, ["k"], ["seq", "tie"], 20)

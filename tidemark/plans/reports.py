@@ -272,15 +272,16 @@ def sql_customer_value(star: Star) -> DataFrame:
 
 @report
 def missing_foreign_keys(star: Star) -> DataFrame:
-    sales = star.sales().select("transaction_id", "store_id", "customer_id", "product_id")
+    # Only the customer of a sale is found on its order.
+    lines = star.sales(with_order=False)
     missing = [
-        checks.rows_without_match(sales, dimension, key).select(
+        checks.rows_without_match(sales.select("transaction_id", key), dimension, key).select(
             F.lit(key).alias("missing_key"), "transaction_id"
         )
-        for key, dimension in (
-            ("customer_id", star.customers()),
-            ("product_id", star.products()),
-            ("store_id", star.stores()),
+        for key, sales, dimension in (
+            ("customer_id", star.sales(), star.customers()),
+            ("product_id", lines, star.products()),
+            ("store_id", lines, star.stores()),
         )
     ]
     return reduce(DataFrame.unionByName, missing)
