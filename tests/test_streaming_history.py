@@ -49,8 +49,8 @@ def test_batches_with_seals_and_replays(spark, tracked, arrival):
         history.apply(batch, batch_id)
         seen += part
         if batch_id == 0:
-            history.seal()
-            history.seal()
+            history.seal(timedelta(minutes=60))
+            history.seal(timedelta(minutes=30))
         if batch_id == 1:
             history.apply(batch, batch_id)
             check(spark, history, seen, tracked)
@@ -94,7 +94,7 @@ def test_on_time_batches_do_not_rewrite_frozen_versions(spark):
     for day in range(4):
         batch = [(k, start + timedelta(days=day), day, "n", "x", day) for k in range(5)]
         history.apply(spark.createDataFrame(batch, DDL), day)
-        history.seal()
+        history.seal(timedelta(0))
     live = history._versions_in("live").filter(f"seal = {history._last_seal().number}")
     assert live.count() == 5
     assert history._versions_in("closed").count() == 15
@@ -107,3 +107,19 @@ def test_scratch_tables_are_gone_and_null_sequence_is_refused(spark):
     assert {d for d in set(os.listdir(shared_dir(spark))) - before if not d.startswith("history")} == set()
     with pytest.raises(Exception, match="known_sequence"):
         history.apply(spark.createDataFrame([(1, None, 1, "a", "x", 1)], DDL), 1)
+
+
+def test_slightly_late_record_does_not_reach_behind_the_seal(spark, monkeypatch):
+    start = datetime(2024, 5, 1)
+    history = table(spark, ["name"])
+    rows = [(1, start + timedelta(minutes=m), m, name, "x", m) for m, name in
+            ((0, "a"), (30, "b"), (52, None), (58, "c"), (60, "d"))]
+    history.apply(spark.createDataFrame(rows, DDL), 0)
+    history.seal()
+    assert history._last_seal().through == start + timedelta(minutes=50)
+    monkeypatch.setattr(history, "_start_over", lambda *_: pytest.fail("recomputed from the whole log"))
+    late = [(1, start + timedelta(minutes=55), 9, "late", "y", None)]
+    history.apply(spark.createDataFrame(late, DDL), 1)
+    check(spark, history, rows + late, ["name"])
+    history.seal(timedelta(0))
+    check(spark, history, rows + late, ["name"])

@@ -3,7 +3,7 @@
 The change log is the truth; history is recomputed from it for the buckets of keys that a micro-batch
 touches, and replaces what was there. That makes a repeated batch harmless and handles late records.
 
-To keep the recomputed part small, ``seal`` freezes what has been closed so far. From then on a bucket is
+To keep the recomputed part small, ``seal`` freezes what was closed some time ago. From then on a bucket is
 recomputed from the versions open at the seal and the records after it. A record from before the seal makes
 its bucket start over from the whole log, so the result is exact however late it is. The tables of a touched
 bucket are replaced one after the other: read them between micro-batches, or after a failed one is repeated.
@@ -20,7 +20,7 @@ Tables under ``root``::
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timedelta
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,6 +43,7 @@ from tidemark.streaming.queries import for_each_batch
 
 _SEALS = "seal INT, through TIMESTAMP, batch_id BIGINT"
 _BEGINNING = datetime(1, 1, 2)
+LATENESS = timedelta(minutes=10)
 
 
 class _Seal(NamedTuple):
@@ -173,12 +174,14 @@ class HistoryTable:
         since = self._log(after=seal.batch_id).filter(
             F.col("bucket").isin(buckets) & (F.col(self.sequence) > F.lit(seal.through))
         )
-        base = self._versions_in("base").filter(
-            (F.col("seal") == seal.number) & F.col("bucket").isin(buckets)
-        )
-        seeds = base.select(*self.records.names, "bucket", START)
+        seeds = self._seeds(seal).filter(F.col("bucket").isin(buckets))
         self._write(self._history(self._from_log(since).unionByName(seeds)), "live", seal.number)
 
+    def _seeds(self, seal: _Seal) -> DataFrame:
+        """Versions open at a seal, as records to continue from."""
+        base = self._versions_in("base").filter(F.col("seal") == seal.number)
+        return base.select(*self.records.names, "bucket", START)
+
     def _start_over(self, buckets: list[int], seal: _Seal) -> None:
         """Recompute whole buckets from the log, and the frozen part of them as of the seal."""
         log = self._from_log(self._log().filter(F.col("bucket").isin(buckets)))
@@ -202,20 +205,30 @@ class HistoryTable:
         self._write(open_then, "base", seal.number)
         self._write(versions.filter(~before_seal), "live", seal.number)
 
-    def seal(self) -> None:
-        """Freeze the closed versions. Run between micro-batches, for instance once a day."""
+    def seal(self, lag: timedelta = LATENESS) -> None:
+        """Freeze the versions closed until ``lag`` before the newest record, so that records which are late
+        by less do not reach back behind the seal. Run between micro-batches, for instance once a day.
+        """
         last = self._last_seal()
-        newest = self._log(after=last.batch_id).agg(
-            F.max(self.sequence).alias("through"), F.max("batch_id").alias("batch_id")
-        ).first()
-        if newest["through"] is None or newest["through"] <= last.through:
+        log = self._log(after=last.batch_id)
+        newest = log.agg(F.max(self.sequence)).first()[0]
+        if newest is None or newest - lag <= last.through:
             return
-        number = last.number + 1
+        number, through = last.number + 1, F.lit(newest - lag)
+        # Everything after the new seal is in this batch or in later ones.
+        first_after = log.filter(F.col(self.sequence) > through).agg(F.min("batch_id")).first()[0]
+        if first_after is None:
+            first_after = log.agg(F.max("batch_id")).first()[0] + 1
         live = self._versions_in("live").filter(F.col("seal") == last.number)
-        self._write(live.filter(~F.col(CURRENT)), "closed", number)
-        self._write(live.filter(CURRENT), "base", number)
-        self._write(live.filter(CURRENT), "live", number)
-        done = [(number, newest["through"], newest["batch_id"])]
+        before = F.coalesce(F.col(END) <= through, F.lit(False))
+        since = log.filter(F.col(self.sequence) > F.lit(last.through))
+        with scratch_tables(self.spark):
+            # The state at the seal: attributes updated in place after it must not be in the base.
+            seeds = self._seeds(last).unionByName(self._from_log(since.filter(F.col(self.sequence) <= through)))
+            self._write(self._history(seeds).filter(CURRENT), "base", number)
+            self._write(live.filter(before), "closed", number)
+            self._write(live.filter(~before), "live", number)
+        done = [(number, newest - lag, first_after - 1)]
         append(self.spark.createDataFrame(done, _SEALS), f"{self.root}/seals")
 
     def read(self) -> DataFrame:
