@@ -77,7 +77,7 @@ def find_hot_keys(
         per_key = samples.groupBy(*keys).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("places"))
         return per_key.filter(F.col("n") >= _SAMPLES_OF_HOT_KEY)
 
-    if hot(samples).isEmpty():
+    if hot(samples).agg(F.count(F.lit(1))).first()[0] == 0:
         return None
     samples = materialize(samples, "cut-samples")
     hot_keys = materialize(hot(samples), "hot-keys")

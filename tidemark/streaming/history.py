@@ -122,9 +122,10 @@ class HistoryTable:
         )
 
     def _last_seal(self) -> _Seal:
+        if not exists(self.spark, f"{self.root}/seals"):
+            return _Seal(0, _BEGINNING, -1)
         seals = self._read("seals", T.StructType.fromDDL(_SEALS))
-        last = seals.agg(F.max(F.struct("seal", "through", "batch_id")).alias("last")).first()["last"]
-        return _Seal(0, _BEGINNING, -1) if last is None else _Seal(*last)
+        return _Seal(*seals.agg(F.max(F.struct("seal", "through", "batch_id"))).first()[0])
 
     def _history(self, records: DataFrame) -> DataFrame:
         """Versions of log records, or of log records on top of open versions (which have a start)."""
