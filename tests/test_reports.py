@@ -5,9 +5,10 @@ import os
 import pytest
 
 import __spark_entry__ as driver
+from tidemark.plans import oracles, reports
 from tests.oracle import connect, duck_rows, spark_rows
 
-QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLES = reports.QUERIES, oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
