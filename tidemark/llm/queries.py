@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, langid, packing, secret_scan, url_filter
+from tidemark.llm import bpe, chat, embedding_dedup, langid, minhash, nearest, packing, secret_scan, url_filter
 from tidemark.llm.rows import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -27,6 +27,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digest(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     added = spark.sql(f"SELECT * FROM {ADDED_TURNS} AS t(conv_id, turn, role, text)")
@@ -41,10 +45,18 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan_secrets(table(spark, sf_dir, "documents")))
 
 
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = langid.train(documents.where(~langid.held_out()))
@@ -54,10 +66,13 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_bpe": op2_bpe,
+    "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op4_chat_format": op4_chat_format,
     "op5_packing": op5_packing,
     "op6_url_filter": op6_url_filter,
+    "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_secret_scan": op8_secret_scan,
+    "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_language_id": op10_language_id,
 }
 
