@@ -6,8 +6,8 @@ times its probability in the next shorter context, among the bytes not seen here
 distribution, and the bits of a text are an exact code length. Statistics are frozen after training; the language with the
 shortest code wins, ties go to the name that sorts first.
 
-Training takes a bounded sample: of each language the ``max_documents`` documents whose hashed id is smallest, whole
-texts. Prediction reads whole texts of all rows, and nothing but the text.
+Training takes a bounded sample: of each language about ``max_documents`` documents, those whose hashed id is below a
+bound that follows from their number; whole texts. Prediction reads whole texts of all rows, and nothing but the text.
 
 NULL text, and text without a letter, is ``und`` with score 0, as is everything if there is nothing to learn from.
 Rows with a NULL id, text or language are not learned from. Repeated rows get the same prediction; a very long text
@@ -17,22 +17,23 @@ is scored in slices, so memory stays bounded; an empty table gives an empty resu
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.rows import ship, utf8
+from tidemark.llm.rows import carried, schema_with, ship, utf8
 
 UNDETERMINED = "und"
 ORDER = 3
 #: Contexts of full length that were seen less often are left to the shorter ones.
 LEAST_SEEN = 4
+#: Range of hashed ids that a sample is a share of.
+HASHES = 1 << 31
 #: Positions scored at once.
 SLICE = 1 << 19
 _LETTER = regex.compile(r"\p{L}")
@@ -159,7 +160,7 @@ def train(
     lang_col: str = "lang",
     max_documents: int = 600,
 ) -> Model:
-    """Learn from the ``max_documents`` documents of each language whose hashed id is smallest.
+    """Learn from about ``max_documents`` documents of each language, or all if there are fewer.
 
     What reaches the driver are counts of the sample, bounded by its size and not by the table's.
     """
@@ -169,17 +170,13 @@ def train(
         F.col(lang_col).cast("string").alias("lang"),
         F.xxhash64(F.col(id_col).cast("string")).alias("order"),
     ).where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-    rank = F.row_number().over(W.partitionBy("lang").orderBy("order"))
-    last = (
-        rows.select("lang", "order").withColumn("rank", rank).where(F.col("rank") <= max_documents)
-        .groupBy("lang").agg(F.max("order").alias("last")).collect()
-    )
-    languages = sorted(r["lang"] for r in last)
-    if not languages:
-        return Model([], [], [])
+    totals = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     sample = F.lit(False)
-    for r in last:
-        sample |= (F.col("lang") == r["lang"]) & (F.col("order") <= r["last"])
+    for lang, total in totals.items():
+        bound = int(min(1.0, max_documents / total) * HASHES)
+        sample |= (F.col("lang") == lang) & (F.pmod(F.col("order"), F.lit(HASHES)) < bound)
+    if not totals:
+        return Model([], [], [])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -200,7 +197,7 @@ def train(
         rows.where(sample).mapInArrow(count, "lang string, gram long, n long")
         .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
     )
-    languages = [x for x in languages if (found["lang"] == x).any()]
+    languages = sorted(found["lang"].unique())
     of = {lang: found[found["lang"] == lang] for lang in languages}
     return Model(
         languages,
@@ -209,9 +206,11 @@ def train(
     )
 
 
-def predict(documents: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def predict(
+    documents: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = ()
+) -> DataFrame:
     """One row per document: its id, ``lang_pred``, and ``score``, the probability of that language if all languages
-    are equally likely beforehand."""
+    are equally likely beforehand. Columns in ``carry`` come along as the struct ``carried``."""
     spark = documents.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(model)  # bounded by the training sample
@@ -228,14 +227,16 @@ def predict(documents: DataFrame, model: Model, *, id_col: str = "doc_id", text_
                 share = 1 / np.exp2(np.maximum(bits.min(axis=1, keepdims=True) - bits, -1000)).sum(axis=1)
                 for i, b, s in zip(known, best, share, strict=True):
                     names[i], scores[i] = scorer.languages[b], float(s)
+            arrays = [batch["id"], pa.array(names, pa.string()), pa.array(scores, pa.float64())]
+            more = [batch["carried"]] if carry else []
             yield pa.RecordBatch.from_arrays(
-                [batch["id"], pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                names=["id", "lang_pred", "score"],
+                arrays + more, names=["id", "lang_pred", "score"] + ["carried"] * len(more)
             )
 
-    rows = documents.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-    out = rows.mapInArrow(score, f"id {kind}, lang_pred string, score double")
+    rows = documents.select(
+        F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), *carried(carry)
+    )
+    out = rows.mapInArrow(score, schema_with(rows, "lang_pred string, score double"))
     return out.withColumnRenamed("id", id_col)
 
 

@@ -61,10 +61,11 @@ def _learn_rotation(x: np.ndarray, rng: np.random.Generator, rounds: int = 12) -
 
 
 def fit(vectors: DataFrame, *, bits: int = 256, recall: float = 0.97, k: int = 5, sample: int = SAMPLE) -> Codes:
-    """Learn from the ``sample`` rows whose hashed id is smallest; of those the first 256 are tried as queries."""
-    rows = (
-        vectors.where("ok").select("id", "vector").orderBy(F.xxhash64("id"), "id").limit(sample).collect()
-    )  # bounded by the sample
+    """Learn from about ``sample`` rows, those whose hashed id is below a bound; the first 256 are tried as queries."""
+    usable = vectors.where("ok").select("id", "vector")
+    bound = int(min(1.0, sample / max(usable.count(), 1)) * (1 << 31))
+    hashed = F.pmod(F.xxhash64("id"), F.lit(1 << 31))
+    rows = sorted(usable.where(hashed < bound).collect(), key=lambda r: r["id"])  # bounded by the sample
     by_length: dict[int, list] = {}
     for row in rows:
         by_length.setdefault(len(row["vector"]), []).append(row["vector"])

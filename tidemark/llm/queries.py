@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, embedding_dedup, langid, minhash, nearest, packing, secret_scan, url_filter
+from tidemark.llm import (
+    bpe,
+    chat,
+    embedding_dedup,
+    langid,
+    minhash,
+    nearest,
+    packing,
+    secret_scan,
+    suffix_dedup,
+    url_filter,
+)
 from tidemark.llm.rows import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -23,6 +34,11 @@ URL_RULES = (
 ADDED_TURNS = "VALUES (-1L, 0L, 'user', '</s>[INST] ok [/INST]'), (-1L, 1L, 'assistant', '</s>[INST] ok [/INST]')"
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digest(table(spark, sf_dir, "documents"), VOCABULARY)
 
@@ -65,6 +81,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_bpe": op2_bpe,
     "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op4_chat_format": op4_chat_format,

@@ -6,11 +6,13 @@ import atexit
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
@@ -22,6 +24,17 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [b"" if v is None else v for v in column.cast(pa.large_binary()).to_pylist()]
 
 
+def carried(columns: Sequence[str]) -> list[Column]:
+    """Columns of the caller that pass through an operator untouched, as one struct; their names can't clash."""
+    return [F.struct(*columns).alias("carried")] if columns else []
+
+
+def schema_with(rows: DataFrame, spec: str) -> T.StructType:
+    """The ``id`` of the rows, the columns of ``spec``, and ``carried`` if the rows have it."""
+    schema = T.StructType([rows.schema["id"], *T.StructType.fromDDL(spec)])
+    return schema.add(rows.schema["carried"]) if "carried" in rows.columns else schema
+
+
 def longs(column: pa.Array, null: int = 0) -> np.ndarray:
     """An integer column as int64, NULL as ``null``."""
     return column.cast(pa.int64()).fill_null(null).to_numpy(zero_copy_only=False)

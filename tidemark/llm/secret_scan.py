@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.automaton import Automaton, Rule
-from tidemark.llm.rows import ship, utf8
+from tidemark.llm.rows import carried, schema_with, ship, utf8
 
 # The base rules, in the order in which kinds are listed.
 BASE_RULES = (
@@ -51,9 +51,15 @@ def find_spans(automaton: Automaton, data: bytes) -> list[tuple[str, int, int]]:
 
 
 def scan_secrets(
-    documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rules: Sequence[Rule] = RULES
+    documents: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    rules: Sequence[Rule] = RULES,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per document: its id, the text, and ``spans``, an array of (kind, start, end)."""
+    """One row per document: its id, the text, and ``spans``, an array of (kind, start, end). Columns in ``carry``
+    come along as the struct ``carried``."""
     automaton = Automaton(rules)  # a few hundred rows of 256 entries, by the rules alone
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -63,15 +69,18 @@ def scan_secrets(
                 [{"kind": k, "start": s, "end": e} for k, s, e in find_spans(automaton, data)]
                 for data in utf8(batch["text"])
             ]
+            more = ["carried"] if carry else []
             yield pa.RecordBatch.from_arrays(
-                [batch["id"], batch["text"], pa.array(spans, kind)], names=["id", "text", "spans"]
+                [batch["id"], batch["text"], pa.array(spans, kind), *(batch[c] for c in more)],
+                names=["id", "text", "spans", *more],
             )
 
     ship(documents.sparkSession)
-    rows = documents.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-    found = rows.mapInArrow(scan, f"id {kind}, text string, spans array<{SPAN}>")
-    return found.select(F.col("id").alias(id_col), F.col("text").alias(text_col), "spans")
+    rows = documents.select(
+        F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), *carried(carry)
+    )
+    found = rows.mapInArrow(scan, schema_with(rows, f"text string, spans array<{SPAN}>"))
+    return found.withColumnsRenamed({"id": id_col, "text": text_col})
 
 
 def redact(scanned: DataFrame, *, text_col: str = "text", mask: str = "[secret]") -> DataFrame:
