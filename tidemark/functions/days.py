@@ -18,3 +18,8 @@ def day_by_truncation(event_time: str = "event_time") -> Column:
 def day_window(event_time: str = "event_time") -> Column:
     """A tumbling one-day window, a struct of start and end."""
     return F.window(event_time, "1 day")
+
+
+def day_by_window(event_time: str = "event_time") -> Column:
+    """The day as the start of its window."""
+    return day_window(event_time)["start"].cast("date")

@@ -2,8 +2,12 @@
 
 Summing doubles gives a result that depends on the order of the rows, so it changes from run to run on a
 cluster. Summing them as decimals is exact but several times slower, as Spark then computes with objects.
-Here whole units and ten-thousandths are summed as two 64-bit integers, which is exact and as fast as the
-sum of doubles; amounts finer than that are rounded to it. A total beyond 64 bits raises an error.
+Here whole units, ten-thousandths, and hundred-millionths of what is left are summed as three 64-bit integers,
+which is exact and about as fast as the sum of doubles. An amount is rounded to a hundred-millionth, far finer
+than prices, so that the noise of a double does not decide how a total is rounded.
+
+Amounts without such a form (NaN, infinities, beyond 10^15) make a rounded total or average that of the plain
+doubles.
 """
 
 from __future__ import annotations
@@ -11,20 +15,37 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+_LARGEST = "1e15D"
+
+
+def _parts(amount: str) -> tuple[str, str, str]:
+    fine = f"({amount} - floor({amount})) * 10000"
+    return f"floor({amount})", f"rint({fine})", f"rint(({fine} - rint({fine})) * 10000)"
+
+
+def total_sql(amount: str) -> str:
+    """The exact sum of DOUBLE amounts, as DECIMAL with eight digits after the point."""
+    whole, coarse, fine = (f"CAST(sum(CAST({part} AS BIGINT)) AS DECIMAL(20, 0))" for part in _parts(amount))
+    return f"(CAST({whole} AS DECIMAL(28, 8)) + {coarse} * 0.0001BD + {fine} * 0.00000001BD)"
+
+
+def _or_plain(column: str, exact: str, plain: str) -> str:
+    """``exact`` over the amounts that have a decimal form, unless there is one that has none."""
+    odd = f"count_if(isnan({column}) OR abs({column}) > {_LARGEST}) > 0"
+    return f"CASE WHEN {odd} THEN {plain} ELSE CAST({exact} AS DOUBLE) END"
+
 
-def total_sql(column: str) -> str:
-    """The exact sum of a DOUBLE column, as DECIMAL with four digits after the point."""
-    whole = f"CAST(sum(floor({column})) AS DECIMAL(20, 0))"
-    rest = f"CAST(sum(CAST(rint(({column} - floor({column})) * 10000) AS BIGINT)) AS DECIMAL(20, 0))"
-    return f"(({whole} * 10000 + {rest}) * 0.0001)"
+def _usual(column: str) -> str:
+    return f"(CASE WHEN abs({column}) <= {_LARGEST} THEN {column} END)"
 
 
 def rounded_sum_sql(column: str) -> str:
-    return f"CAST(round({total_sql(column)}, 2) AS DOUBLE)"
+    return _or_plain(column, f"round({total_sql(_usual(column))}, 2)", f"round(sum({column}), 2)")
 
 
 def rounded_avg_sql(column: str) -> str:
-    return f"CAST(round({total_sql(column)} / count({column}), 2) AS DOUBLE)"
+    mean = f"round({total_sql(_usual(column))} / count({column}), 2)"
+    return _or_plain(column, mean, f"round(avg({column}), 2)")
 
 
 def total(column: str) -> Column:

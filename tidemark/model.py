@@ -7,23 +7,25 @@ from dataclasses import dataclass
 from tidemark.operators.quality import Rule, drop, fail, warn
 
 # --- fixed values: input schemas -----------------------------------------------------------------------
+# Ids and quantities are 64-bit: order lines alone pass 2^31.
 SALES_DDL = """
-    transaction_id INT, store_id INT, event_time TIMESTAMP, customer_id INT, product_id INT, quantity INT,
-    unit_price DOUBLE, total_amount DOUBLE, payment_method STRING, discount_applied DOUBLE, tax_amount DOUBLE
+    transaction_id BIGINT, store_id BIGINT, event_time TIMESTAMP, customer_id BIGINT, product_id BIGINT,
+    quantity BIGINT, unit_price DOUBLE, total_amount DOUBLE, payment_method STRING, discount_applied DOUBLE,
+    tax_amount DOUBLE
 """
 CUSTOMERS_DDL = """
-    customer_id INT, name STRING, email STRING, address STRING, join_date TIMESTAMP, loyalty_points INT,
+    customer_id BIGINT, name STRING, email STRING, address STRING, join_date TIMESTAMP, loyalty_points INT,
     phone_number STRING, age INT, gender STRING, last_update_time TIMESTAMP
 """
 PRODUCTS_DDL = """
-    product_id INT, name STRING, category STRING, brand STRING, price DOUBLE, stock_quantity INT,
+    product_id BIGINT, name STRING, category STRING, brand STRING, price DOUBLE, stock_quantity INT,
     size STRING, color STRING, description STRING, last_update_time TIMESTAMP
 """
 STORES_DDL = """
-    store_id INT, name STRING, address STRING, manager STRING, open_date TIMESTAMP, status STRING,
+    store_id BIGINT, name STRING, address STRING, manager STRING, open_date TIMESTAMP, status STRING,
     phone_number STRING, last_update_time TIMESTAMP
 """
-# Continuous file ingest keeps wide ids and a text event time, cast when the sales layer is built.
+# Continuous file ingest keeps a text event time, cast when the sales layer is built.
 SALES_FILE_DDL = """
     transaction_id BIGINT, store_id BIGINT, event_time STRING, customer_id BIGINT, product_id BIGINT,
     quantity BIGINT, unit_price DOUBLE, total_amount DOUBLE, payment_method STRING, discount_applied DOUBLE,
@@ -99,16 +101,13 @@ BATCH_RULES: dict[str, tuple[Rule, ...]] = {
         drop("valid_quantity", "quantity > 0"),
     ),
 }
-# Rules in front of the customer history differ between the batch and the SQL pipeline.
+# The rules in front of the customer history of the batch pipeline.
 ADULT_CUSTOMERS = (
     drop("valid_customer_id", "customer_id IS NOT NULL"),
     drop("adult", "age >= 18"),
 )
-REALISTIC_CUSTOMERS = (
-    drop("valid_customer_id", "customer_id IS NOT NULL"),
-    drop("realistic_age", "age >= 18 AND age <= 100"),
-)
 
+# --- fixed values: watermark, default manager, lineage columns -------------------------------------------
 # Event times may arrive this late; windows over the cleaned sales stream wait as long.
 EVENT_TIME_WATERMARK = "10 minutes"
 UNKNOWN_MANAGER = "Unknown"
@@ -158,6 +157,7 @@ DIMENSIONS = {
     ),
 }
 
+# --- fixed values: columns of an enriched sale, and where the looked-up ones come from --------------------
 FACT_COLUMNS = (
     "transaction_id",
     "event_time",
@@ -175,3 +175,10 @@ FACT_COLUMNS = (
     "discount_applied",
     "tax_amount",
 )
+LOOKUPS = {
+    "stores": ("store_id", {"store_name": "name"}),
+    "customers": ("customer_id", {"customer_name": "name"}),
+    "products": ("product_id", {"product_name": "name", "product_category": "category"}),
+}
+# What a return reports instead of a measure of the sale, as its magnitude.
+RETURN_MEASURES = {"returned_quantity": "quantity", "returned_amount": "total_amount"}

@@ -25,15 +25,19 @@ START, END, CURRENT = "__START_AT", "__END_AT", "__is_current"
 FAR_FUTURE = "9999-12-31 23:59:59"
 
 _STARTED, _CHANGED, _FIRST, _CARRIED = "__started", "__changed", "__first", "__carried"
-_NEXT, _NEXT_CHANGED = "__next", "__next_changed"
+_NEXT, _NEXT_CHANGED, _LAST = "__next", "__next_changed", "__last"
 
 
 def _close(versions: DataFrame, next_start: str, sentinel: bool) -> DataFrame:
-    """Turn the start of the following version into the end and current columns."""
+    """Turn the start of the following version into the end and current columns.
+
+    A version is current if no record follows it. A following record without a sequence value does follow; then
+    the end is not known.
+    """
     end = F.col(next_start)
     if sentinel:
-        end = F.coalesce(end, F.lit(FAR_FUTURE).cast("timestamp"))
-    return versions.withColumns({END: end, CURRENT: F.col(next_start).isNull()}).drop(next_start)
+        end = F.when(F.col(_LAST), F.lit(FAR_FUTURE).cast("timestamp")).otherwise(end)
+    return versions.withColumns({END: end, CURRENT: F.col(_LAST)}).drop(next_start, _LAST)
 
 
 def history_of_every_change(
@@ -53,7 +57,7 @@ def history_of_every_change(
 
     def follow(records: DataFrame) -> DataFrame:
         window = Window.partitionBy(*keys).orderBy(*order)
-        return records.withColumns({START: F.col(sequence), _NEXT: F.lead(sequence).over(window)})
+        return records.withColumns(_followed(sequence, window))
 
     hot = find_hot_keys(log, keys, order, rows_per_slice)
     if hot is None:
@@ -63,20 +67,25 @@ def history_of_every_change(
     # One row per slice of a hot key: no more rows than cuts and hot keys.
     next_slice = (
         records.groupBy(*keys, SLICE)
-        .agg(F.min(sequence).alias(_FIRST))
+        .agg(F.min_by(F.struct(sequence), F.struct(*order)).alias(_FIRST))
         .withColumn(_FIRST, F.lead(_FIRST).over(Window.partitionBy(*keys).orderBy(SLICE)))
     )
     in_slice = Window.partitionBy(*keys, SLICE).orderBy(*order)
     followed = (
-        records.withColumns({START: F.col(sequence), _NEXT: F.lead(sequence).over(in_slice)})
+        records.withColumns(_followed(sequence, in_slice))
         .join(F.broadcast(next_slice), [*keys, SLICE], "left")
-        .withColumn(_NEXT, F.coalesce(_NEXT, _FIRST))
+        .withColumns(
+            {
+                _NEXT: F.when(F.col(_LAST), F.col(_FIRST)[sequence]).otherwise(F.col(_NEXT)),
+                _LAST: F.col(_LAST) & F.col(_FIRST).isNull(),
+            }
+        )
         .drop(SLICE, _FIRST)
     )
     if hot.copies:
         # Of identical records, all but one end where they start.
         earlier = followed.filter(F.col(COPIES) > 1).withColumns(
-            {COPIES: F.col(COPIES) - 1, _NEXT: F.col(sequence)}
+            {COPIES: F.col(COPIES) - 1, _NEXT: F.col(sequence), _LAST: F.lit(False)}
         )
         followed = followed.drop(COPIES).unionByName(spread_copies(earlier))
     else:
@@ -85,6 +94,15 @@ def history_of_every_change(
     return _close(versions, _NEXT, sentinel)
 
 
+def _followed(sequence: str, window) -> dict[str, Column]:
+    """The start of each record, the start of the next one, and whether there is none."""
+    return {
+        START: F.col(sequence),
+        _NEXT: F.lead(sequence).over(window),
+        _LAST: F.lead(F.lit(True)).over(window).isNull(),
+    }
+
+
 def history_of_tracked_columns(
     log: DataFrame,
     keys: Sequence[str],
@@ -202,7 +220,8 @@ class _TrackedHistory:
 
     def _versions(self, followed: DataFrame) -> DataFrame:
         last = F.coalesce(F.col(_NEXT_CHANGED), F.lit(True))
-        return followed.filter(last).select(*self.output, F.col(_STARTED).alias(START), _NEXT)
+        alone = F.col(_NEXT_CHANGED).isNull().alias(_LAST)
+        return followed.filter(last).select(*self.output, F.col(_STARTED).alias(START), _NEXT, alone)
 
     def whole_keys(self, log: DataFrame) -> DataFrame:
         window = Window.partitionBy(*self.keys).orderBy(*self.order)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.days import day_by_cast, day_by_truncation, day_window
+from tidemark.functions.days import day_by_cast, day_by_truncation, day_by_window
 from tidemark.functions.money import rounded, rounded_avg, rounded_sum, total
 
 
@@ -39,9 +39,6 @@ def _daily(facts: DataFrame, day: Column, stores: DataFrame | None) -> DataFrame
         F.sum("quantity").alias("total_items_sold"),
         F.count_distinct("customer_id").alias("unique_customers"),
     )
-    if "sale_window" in totals.columns:
-        start = F.col("sale_window.start").cast("date").alias("sale_date")
-        totals = totals.select(start, *[c for c in totals.columns if c != "sale_window"])
     return _with_names(totals, stores, "store_id", store_name="name")
 
 
@@ -52,7 +49,7 @@ def daily_store_sales(facts: DataFrame, stores: DataFrame | None = None) -> Data
 
 def daily_store_sales_by_window(facts: DataFrame, stores: DataFrame | None = None) -> DataFrame:
     """The same through a tumbling event-time window."""
-    return _daily(facts, day_window().alias("sale_window"), stores)
+    return _daily(facts, day_by_window().alias("sale_date"), stores)
 
 
 def daily_store_sales_by_truncation(facts: DataFrame, stores: DataFrame | None = None) -> DataFrame:

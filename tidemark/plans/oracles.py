@@ -6,7 +6,7 @@ from tidemark.model import BATCH_RULES, CLEANED_RULES, SALES_DDL, TRANSACTION_RU
 from tidemark.plans.star import sql_views
 
 _BIG = "CAST({} AS BIGINT)"
-_MONEY = "CAST(ROUND(SUM(CAST({} AS DECIMAL(20, 4))), 2) AS DOUBLE)"
+_MONEY = "CAST(ROUND(SUM(CAST({} AS DECIMAL(28, 8))), 2) AS DOUBLE)"
 # Exact average of positive cents, half up.
 _MONEY_AVG = (
     "((2 * CAST(SUM(CAST({0} AS DECIMAL(20, 2))) * 100 AS HUGEINT) + COUNT({0})) // (2 * COUNT({0}))) / 100.0"
@@ -112,6 +112,13 @@ def _every_change(source: str, key: str, tie: str, sentinel: bool, seq: str = "c
     )
 
 
+# Change records of which some have no time; those come first.
+_NO_TIMES = (
+    "(SELECT * REPLACE (CASE WHEN last_total IS NULL THEN NULL ELSE changed_at END AS changed_at)"
+    " FROM customer_changes)"
+)
+_NULLS_FIRST = "PARTITION BY customer_id ORDER BY changed_at NULLS FIRST, change_id"
+_LAST_RECORD = f"lead(change_id) OVER ({_NULLS_FIRST}) IS NULL"
 _EVERY = _every_change("customer_changes", "customer_id", "change_id", True)
 _TRACKED = _tracked("customer_changes", "customer_id", "change_id", "status", ["last_total"], [])
 _SALES_TYPES = {
@@ -145,7 +152,26 @@ def oracle_sql() -> dict[str, str]:
             + _metrics("sales", "(SELECT * FROM raw_sales WHERE quantity > 0)", TRANSACTION_RULES)
             + _metrics("returns", "(SELECT * FROM raw_sales WHERE quantity < 0)", TRANSACTION_RULES)
         ),
+        "typed_wide_ids": "SELECT "
+        + ", ".join(
+            f"CAST({c} + 3000000000 AS BIGINT) AS {c}" if c.endswith("_id") else f"CAST({c} AS {t}) AS {c}"
+            for c, t in _SALES_TYPES.items()
+        )
+        + " FROM raw_sales",
+        "cast_failures": "SELECT c.name AS column, (SELECT count(*) FROM raw_sales) AS n_rows,"
+        " CASE WHEN c.name = 'quantity' THEN (SELECT count(*) FROM raw_sales WHERE discount_applied < 0)"
+        f" ELSE 0 END AS n_failed FROM (SELECT unnest({list(_SALES_TYPES)}) AS name) c",
+        "sum_fine_amounts": f"SELECT store_id, {_MONEY.format('unit_price')} AS total FROM line_sales GROUP BY 1",
         "scd2_every_change": _EVERY,
+        "scd2_null_sequence": f"SELECT *, changed_at AS __START_AT, CASE WHEN {_LAST_RECORD} THEN {_FAR_FUTURE}"
+        f" ELSE lead(changed_at) OVER ({_NULLS_FIRST}) END AS __END_AT, {_LAST_RECORD} AS __is_current"
+        f" FROM {_NO_TIMES}",
+        "scd2_tracked_null_sequence": "SELECT customer_id, CAST(sum(changed) AS BIGINT) AS n_versions,"
+        " CAST(1 AS BIGINT) AS n_current FROM (SELECT customer_id, CASE WHEN"
+        f" row_number() OVER ({_NULLS_FIRST}) = 1 OR status IS DISTINCT FROM lag(status) OVER ({_NULLS_FIRST})"
+        " THEN 1 ELSE 0 END AS changed FROM (SELECT customer_id, changed_at, change_id,"
+        f" last_value(status IGNORE NULLS) OVER ({_NULLS_FIRST} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+        f" AS status FROM {_NO_TIMES})) GROUP BY 1",
         "scd2_tracked": _TRACKED,
         "scd2_keep_nulls": "SELECT * REPLACE (coalesce(__END_AT, " + _FAR_FUTURE + ") AS __END_AT) FROM ("
         + _tracked("customer_changes", "customer_id", "change_id", "status", ["last_total"],
@@ -229,8 +255,8 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT '{label}' AS label, CAST(({actual}) AS BIGINT) AS actual, '{op}' AS comparison,"
             f" CAST(({expected}) AS BIGINT) AS expected, ({actual}) {op} ({expected}) AS passed"
             for label, actual, op, expected in (
-                ("total_revenue", "SELECT ROUND(SUM(CAST(total_amount AS DECIMAL(20, 4)))) FROM facts", "=",
-                 "SELECT ROUND(SUM(CAST(total_amount AS DECIMAL(20, 4)))) FROM sales"),
+                ("total_revenue", "SELECT ROUND(SUM(CAST(total_amount AS DECIMAL(28, 8)))) FROM facts", "=",
+                 "SELECT ROUND(SUM(CAST(total_amount AS DECIMAL(28, 8)))) FROM sales"),
                 ("customers_with_sales", "SELECT COUNT(DISTINCT customer_id) FROM facts", "=",
                  "SELECT COUNT(DISTINCT customer_id) FROM sales"),
                 ("history_rows", f"SELECT COUNT(*) FROM ({_TRACKED}) WHERE NOT __is_current", ">=", "SELECT 1"),
@@ -243,7 +269,7 @@ def oracle_sql() -> dict[str, str]:
         "high_water_mark": "SELECT CAST(coalesce(MAX(l_orderkey), 0) AS BIGINT) AS high_water_mark FROM lineitem",
         # A day is complete once an event ten minutes past its end has been seen.
         "stream_daily_events": "SELECT CAST(ts AS DATE) AS day, event_type, COUNT(*) AS n,"
-        " CAST(SUM(CAST(value AS DECIMAL(20, 4))) AS DOUBLE) AS total FROM events GROUP BY 1, 2"
+        " CAST(SUM(CAST(value AS DECIMAL(28, 8))) AS DOUBLE) AS total FROM events GROUP BY 1, 2"
         " HAVING CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY"
         " <= (SELECT MAX(ts) FROM events) - INTERVAL 10 MINUTE",
         "stream_scd2": _tracked("user_changes", "user_id", "event_id", "event_type", ["value"], ["changed_at"]),
@@ -254,6 +280,9 @@ def oracle_sql() -> dict[str, str]:
         f" FROM web_sales WHERE quantity <> 0 AND {_VALID}",
         "stream_enriched_facts": "SELECT *, CAST(event_time AS DATE) AS sale_date FROM web_facts",
         "stream_rule_metrics": " UNION ALL ".join(_metrics("web_sales", "web_sales", TRANSACTION_RULES)),
+        "stream_rule_metrics_many_batches": " UNION ALL ".join(
+            _metrics("web_sales", "web_sales", TRANSACTION_RULES)
+        ),
         "csv_ingest": "SELECT 'good' AS line, transaction_id, event_time, customer_id,"
         " CAST(quantity AS BIGINT) AS quantity, total_amount, payment_method FROM raw_sales"
         " WHERE NOT coalesce(discount_applied < 0, FALSE)"
@@ -261,6 +290,9 @@ def oracle_sql() -> dict[str, str]:
         " WHERE discount_applied < 0",
         "refresh_daily": f"SELECT CAST(event_time AS DATE) AS sale_date, store_id, store_name,"
         f" {_STORE_TOTALS} FROM web_facts GROUP BY 1, 2, 3",
+        "refresh_null_day": f"SELECT CAST(event_time AS DATE) AS sale_date, store_id, store_name, {_STORE_TOTALS}"
+        " FROM (SELECT * REPLACE (CASE WHEN unit_price < 20 THEN NULL ELSE event_time END AS event_time)"
+        " FROM web_facts) GROUP BY 1, 2, 3",
         "refresh_products": "SELECT product_id, product_name, product_category,"
         f" {_PRODUCT_TOTALS} FROM web_facts GROUP BY 1, 2, 3",
         "refresh_customers": f"SELECT customer_id, customer_name, {_CUSTOMER_TOTALS} FROM web_facts"

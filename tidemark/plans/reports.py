@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.money import rounded_sum
 from tidemark.model import (
     BATCH_RULES,
     CLEANED_RULES,
@@ -28,13 +29,14 @@ from tidemark.operators.sales import (
 from tidemark.plans import gold, sql_models
 from tidemark.plans.star import Star
 from tidemark.session import new_dir
+from tidemark.sources import files
 from tidemark.sources.files import CORRUPT, stream_parquet, typed
 from tidemark.sources.tables import write_batch
 from tidemark.streaming import refresh
 from tidemark.streaming.facts import daily_totals, enrich_stream, split_stream
 from tidemark.streaming.history import HistoryTable
 from tidemark.streaming.ingest import ingest_csv, ingest_with_rules, ingested, quarantined
-from tidemark.streaming.queries import append_stream
+from tidemark.streaming.queries import append_stream, store_metrics, total_metrics
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -67,6 +69,31 @@ def typed_sales(star: Star) -> DataFrame:
     return typed(star.sales(), SALES_DDL)
 
 
+@report
+def typed_wide_ids(star: Star) -> DataFrame:
+    """Ids past 2^31 stay what they are."""
+    sales = star.sales()
+    wide = {c: F.col(c) + 3_000_000_000 for c in sales.columns if c.endswith("_id")}
+    return typed(sales.withColumns(wide), SALES_DDL)
+
+
+def _with_words(sales: DataFrame) -> DataFrame:
+    """Sales with a word for some quantities."""
+    several = F.when(F.col("discount_applied") < 0, F.lit("several"))
+    return sales.withColumn("quantity", F.coalesce(several, F.col("quantity").cast("string")))
+
+
+@report
+def cast_failures(star: Star) -> DataFrame:
+    return files.cast_failures(_with_words(star.sales()), SALES_DDL)
+
+
+@report
+def sum_fine_amounts(star: Star) -> DataFrame:
+    """Totals of amounts with many digits."""
+    return star.sales(with_order=False).groupBy("store_id").agg(rounded_sum("unit_price").alias("total"))
+
+
 @report
 def customers_cleaned(star: Star) -> DataFrame:
     return enforce(star.customers(), CLEANED_RULES["customers"])
@@ -143,6 +170,28 @@ def scd2_every_change(star: Star) -> DataFrame:
     )
 
 
+def _without_times(star: Star) -> DataFrame:
+    """Change records of which some have no time."""
+    return star.customer_changes().withColumn("changed_at", F.when(F.col("last_total").isNotNull(), F.col("changed_at")))
+
+
+@report
+def scd2_null_sequence(star: Star) -> DataFrame:
+    """One current version per key, also where records have no time."""
+    return history.history_of_every_change(_without_times(star), ["customer_id"], "changed_at", ["change_id"])
+
+
+@report
+def scd2_tracked_null_sequence(star: Star) -> DataFrame:
+    versions = history.history_of_tracked_columns(
+        _without_times(star), ["customer_id"], "changed_at", ["status"], ["change_id"],
+        excluded=["change_id"], sentinel=True,
+    )
+    return versions.groupBy("customer_id").agg(
+        F.count(F.lit(1)).alias("n_versions"), F.count_if(F.col(history.CURRENT)).alias("n_current")
+    )
+
+
 def _tracked(star: Star) -> DataFrame:
     return history.history_of_tracked_columns(
         star.customer_changes(), ["customer_id"], "changed_at", ["status"], ["change_id"],
@@ -352,12 +401,12 @@ def high_water_mark(star: Star) -> DataFrame:
 class _Arrivals:
     """A frame laid out as landing files and read back as a stream of several micro-batches."""
 
-    def __init__(self, star: Star, df: DataFrame, label: str):
+    def __init__(self, star: Star, df: DataFrame, label: str, batches: int = 4):
         self.spark, self.root, self.ddl = star.spark, new_dir(star.spark, label), df.schema.toDDL()
-        files = max(4, star.spark.sparkContext.defaultParallelism)
+        n_files = max(batches, star.spark.sparkContext.defaultParallelism)
         # Rows are dealt out by their hash, so every batch has late and out-of-order ones.
-        df.repartition(files, F.xxhash64(*df.columns)).write.parquet(self.dir("landing"))
-        self.files_per_batch = max(1, files // 4)
+        df.repartition(n_files, F.xxhash64(*df.columns)).write.parquet(self.dir("landing"))
+        self.files_per_batch = max(1, n_files // batches)
 
     def dir(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -440,11 +489,17 @@ def stream_rule_metrics(star: Star) -> DataFrame:
         arrivals.stream(), "web_sales", TRANSACTION_RULES,
         arrivals.dir("kept"), arrivals.dir("metrics"), arrivals.dir("checkpoint"),
     ).awaitTermination()
-    return (
-        arrivals.written("metrics")
-        .groupBy("dataset", "rule", "action")
-        .agg(F.sum("n_rows").alias("n_rows"), F.sum("n_violations").alias("n_violations"))
-    )
+    return total_metrics(star.spark, arrivals.dir("metrics"))
+
+
+@report
+def stream_rule_metrics_many_batches(star: Star) -> DataFrame:
+    """More micro-batches than a query reports at once."""
+    arrivals = _Arrivals(star, star.web_sales(), "many-batches", batches=110)
+    kept = enforce(arrivals.stream(), TRANSACTION_RULES, "web_sales")
+    query = append_stream(kept, arrivals.dir("kept"), arrivals.dir("checkpoint"))
+    store_metrics(query, arrivals.dir("metrics"), {"web_sales": ("web_sales", TRANSACTION_RULES)})
+    return total_metrics(star.spark, arrivals.dir("metrics"))
 
 
 @report
@@ -452,9 +507,7 @@ def csv_ingest(star: Star) -> DataFrame:
     """Sales as CSV text, some with a word for a quantity; ingested good lines and quarantined bad ones."""
     root = new_dir(star.spark, "csv")
     fields = [name for name in T.StructType.fromDDL(SALES_FILE_DDL).names]
-    unreadable = F.when(F.col("discount_applied") < 0, F.lit("several"))
-    lines = star.sales().withColumn("quantity", F.coalesce(unreadable, F.col("quantity").cast("string")))
-    lines.select(*[F.col(c).cast("string").alias(c) for c in fields]).write.option("header", True).csv(
+    _with_words(star.sales()).select(*[F.col(c).cast("string").alias(c) for c in fields]).write.option("header", True).csv(
         f"{root}/landing"
     )
     ingest_csv(
@@ -472,14 +525,18 @@ def csv_ingest(star: Star) -> DataFrame:
     return good.unionByName(bad)
 
 
-def _refreshed(star: Star, table: Callable[[SparkSession, str, str], refresh.FreshTable]) -> DataFrame:
-    """Facts that arrive in two batches over the same days, with a refresh after each."""
+def _refreshed(
+    star: Star,
+    table: Callable[[SparkSession, str, str], refresh.FreshTable],
+    event_time: str = "event_time",
+    parts: Sequence[str] = ("unit_price < 50", "unit_price >= 50"),
+) -> DataFrame:
+    """Facts that arrive in several batches over the same days, with a refresh after each."""
     root = new_dir(star.spark, "refresh")
-    facts = enrich(
-        sales_transactions(star.web_sales()), star.stores(), star.customers(), star.products()
-    ).withColumn("sale_date", F.to_date("event_time"))
+    facts = enrich(sales_transactions(star.web_sales()), star.stores(), star.customers(), star.products())
+    facts = facts.withColumn("event_time", F.expr(event_time)).withColumn("sale_date", F.to_date("event_time"))
     fresh = table(star.spark, f"{root}/facts", f"{root}/gold")
-    for batch_id, part in enumerate(("unit_price < 50", "unit_price >= 50")):
+    for batch_id, part in enumerate(parts):
         write_batch(facts.filter(part), f"{root}/facts", batch_id, ["sale_date"])
         fresh.refresh()
     return fresh.read()
@@ -490,6 +547,15 @@ def refresh_daily(star: Star) -> DataFrame:
     return _refreshed(star, refresh.daily_store_sales)
 
 
+@report
+def refresh_null_day(star: Star) -> DataFrame:
+    """Facts without a time count as well: alone in a batch, and along with others."""
+    return _refreshed(
+        star, refresh.daily_store_sales, "CASE WHEN unit_price >= 20 THEN event_time END",
+        ("unit_price < 10", "unit_price BETWEEN 10 AND 50", "unit_price > 50"),
+    )
+
+
 @report
 def refresh_products(star: Star) -> DataFrame:
     return _refreshed(star, refresh.product_performance)

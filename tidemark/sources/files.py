@@ -21,6 +21,18 @@ def typed(df: DataFrame, ddl: str, keep: tuple[str, ...] = ()) -> DataFrame:
     return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema], *keep)
 
 
+def cast_failures(df: DataFrame, ddl: str) -> DataFrame:
+    """(column, n_rows, n_failed): values that :func:`typed` turns into NULL, in one pass."""
+    schema = T.StructType.fromDDL(ddl)
+    failed = [F.count_if(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()) for f in schema]
+    counts = df.agg(F.count(F.lit(1)).alias("rows"), F.array(*failed).alias("failed"))
+    names = F.array(*[F.lit(f.name) for f in schema])
+    lines = counts.select("rows", F.explode(F.arrays_zip(names.alias("name"), "failed")).alias("line"))
+    return lines.select(
+        F.col("line.name").alias("column"), F.col("rows").alias("n_rows"), F.col("line.failed").alias("n_failed")
+    )
+
+
 def with_lineage(df: DataFrame) -> DataFrame:
     """Add the ingest time, fixed per query or micro-batch, and the file each row came from."""
     return df.withColumns(

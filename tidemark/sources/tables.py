@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import file_system
+
 LAYERS = ("bronze", "silver", "gold")
 
 
@@ -60,11 +62,33 @@ def overwrite_partitions(df: DataFrame, path: str, partitions: Sequence[str]) ->
 def write_batch(
     df: DataFrame, path: str, batch_id: int, partitions: Sequence[str] = (), rebalance: bool = True
 ) -> None:
-    """Append a micro-batch under its own number; a repeated batch replaces its first attempt."""
+    """Append a micro-batch under its own number; a repeated batch replaces its first attempt.
+
+    Numbers belong to one checkpoint. Within a stream the table is claimed for its checkpoint, and a stream
+    with another one is refused, as its numbers would replace rows of the first.
+    """
+    claim(df.sparkSession, path)
     spread = df.hint("rebalance", *partitions) if partitions and rebalance else df
     numbered = spread.withColumn("batch_id", F.lit(batch_id).cast("long"))
     _write_partitions(numbered, path, [*partitions, "batch_id"])
 
 
+def claim(spark: SparkSession, path: str) -> None:
+    """Let only the running stream's checkpoint write to ``path``. Outside of a stream nothing is claimed."""
+    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not query:
+        return
+    files, owner = file_system(spark, f"{path}/_owner")
+    if not files.exists(owner):
+        out = files.create(owner, False)
+        out.write(bytearray(query.encode()))
+        out.close()
+    stored = files.open(owner)
+    known = spark._jvm.org.apache.commons.io.IOUtils.toString(stored, "UTF-8")
+    stored.close()
+    if known != query:
+        raise RuntimeError(f"{path} is written by the stream {known}; a new checkpoint needs a table of its own")
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -28,11 +28,10 @@ from tidemark.operators.sales import (
     with_sale_day,
 )
 from tidemark.sources.files import bronze, stream_parquet
-from tidemark.sources.tables import append
 from tidemark.streaming import refresh
 from tidemark.streaming.facts import enrich_stream
 from tidemark.streaming.history import HistoryTable
-from tidemark.streaming.queries import append_stream, observed_metrics
+from tidemark.streaming.queries import append_stream, store_metrics, total_metrics
 
 _LINEAGE_DDL = "ingest_timestamp TIMESTAMP, source_file_path STRING"
 
@@ -96,11 +95,10 @@ class StreamingPipeline:
     def _bronze_stream(self, source: str) -> DataFrame:
         return self._stream_of(f"bronze/{source}", f"{SCHEMAS[source]}, {_LINEAGE_DDL}")
 
-    def _finish(self, query: StreamingQuery, dataset: str, rules) -> None:
-        query.awaitTermination()
-        metrics = observed_metrics(query, dataset, dataset, rules)
-        if metrics is not None:
-            append(metrics.withColumn("measured_at", F.current_timestamp()), self.path("metrics"))
+    def _finish(self, query: StreamingQuery, **rules) -> None:
+        """Wait for the query; ``rules`` are those of each dataset that it observes under its name."""
+        metrics = {dataset: (dataset, of_dataset) for dataset, of_dataset in rules.items()}
+        store_metrics(query, self.path("metrics"), metrics)
 
     def ingest(self, source: str) -> None:
         """Typed rows with lineage; a row without its key stops the query."""
@@ -110,7 +108,7 @@ class StreamingPipeline:
         rules, dataset = BRONZE_RULES[source], f"bronze_{source}"
         rows = enforce(bronze(landed, SCHEMAS[source]), rules, dataset)
         query = append_stream(rows, self.path(f"bronze/{source}"), self._checkpoint(dataset))
-        self._finish(query, dataset, rules)
+        self._finish(query, **{dataset: rules})
 
     def maintain_history(self, name: str) -> None:
         changes = self._bronze_stream(name)
@@ -121,7 +119,7 @@ class StreamingPipeline:
         content = [c for c in changes.columns if c not in LINEAGE_COLUMNS]
         cleaned = enforce(changes, rules, dataset).withColumn("record_hash", F.xxhash64(*content))
         query = self.histories[name].follow(cleaned, self._checkpoint(f"silver_{name}"))
-        self._finish(query, dataset, rules)
+        self._finish(query, **{dataset: rules})
 
     def split_sales(self) -> None:
         """Sales and returns as two queries over one cleaned stream."""
@@ -134,9 +132,9 @@ class StreamingPipeline:
             query = append_stream(
                 rows, self.path(f"silver/{dataset}"), self._checkpoint(f"silver_{kind}")
             )
-            self._finish(query, dataset, TRANSACTION_RULES)
-            if kind == "sales":
-                self._finish(query, "sales_cleaned", CLEANED_RULES["sales"])
+            # Both queries see the cleaned rows; they are counted once.
+            cleaned_rules = {"sales_cleaned": CLEANED_RULES["sales"]} if kind == "sales" else {}
+            self._finish(query, **{dataset: TRANSACTION_RULES}, **cleaned_rules)
 
     def current(self, name: str) -> DataFrame:
         return self.histories[name].current()
@@ -162,8 +160,4 @@ class StreamingPipeline:
 
     def quality_report(self) -> DataFrame:
         """Rows and violations per rule so far."""
-        return (
-            self.spark.read.parquet(self.path("metrics"))
-            .groupBy("dataset", "rule", "action")
-            .agg(F.sum("n_rows").alias("n_rows"), F.sum("n_violations").alias("n_violations"))
-        )
+        return total_metrics(self.spark, self.path("metrics"))

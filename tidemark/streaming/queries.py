@@ -5,12 +5,14 @@ Interval triggers differ in nothing but the trigger, so callers that want a resi
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.quality import Rule, metrics_frame
+from tidemark.operators.quality import METRICS_DDL, Rule
+from tidemark.sources.tables import overwrite_partitions
 
 PENDING = {"availableNow": True}
 
@@ -43,16 +45,40 @@ def for_each_batch(
     )
 
 
-def observed_metrics(
-    query: StreamingQuery, metric: str, dataset: str, rules: Sequence[Rule]
-) -> DataFrame | None:
-    """Violations per rule over the reported micro-batches of a query that ran with ``observe=metric``.
+def store_metrics(
+    query: StreamingQuery, path: str, metrics: Mapping[str, tuple[str, Sequence[Rule]]]
+) -> None:
+    """Wait for a query that runs with ``observe``, and store violations per rule and micro-batch.
 
-    Spark reports the last ``spark.sql.streaming.numRecentProgressUpdates`` micro-batches, 100 by default.
+    ``metrics`` maps the observed names to (dataset, rules). Spark reports the last hundred micro-batches only, so
+    they are read while the query runs. Rows are stored under the query and the number of the micro-batch, so a
+    repeated one replaces its first count; a query that fails leaves the counts of its finished batches.
     """
-    counted = [p.observedMetrics[metric] for p in query.recentProgress if metric in p.observedMetrics]
-    if not counted:
-        return None
-    names = ["n_rows", *[rule.name for rule in rules]]
-    totals = {name: sum(row[name] for row in counted) for name in names}
-    return metrics_frame(SparkSession.active(), dataset, rules, totals)
+    counted: dict[tuple[str, int], Mapping[str, int]] = {}
+
+    def read() -> None:
+        for progress in query.recentProgress:
+            for name in metrics:
+                if name in progress.observedMetrics:
+                    counted[name, progress.batchId] = progress.observedMetrics[name].asDict()
+
+    try:
+        while not query.awaitTermination(1):
+            read()
+    finally:
+        read()
+        rows = [
+            (query.id, batch, dataset, rule.name, rule.action, counts["n_rows"], counts[rule.name])
+            for (name, batch), counts in counted.items()
+            for dataset, rules in [metrics[name]]
+            for rule in rules
+        ]
+        if rows:
+            frame = SparkSession.active().createDataFrame(rows, f"query_id STRING, batch_id BIGINT, {METRICS_DDL}")
+            overwrite_partitions(frame, path, ["query_id", "batch_id"])
+
+
+def total_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """Rows and violations per rule over all micro-batches."""
+    totals = [F.sum(c).alias(c) for c in ("n_rows", "n_violations")]
+    return spark.read.parquet(path).groupBy("dataset", "rule", "action").agg(*totals)

@@ -37,8 +37,8 @@ class FreshTable:
         progress = _read_if_written(self.spark, self.progress_path)
         return -1 if progress is None else progress.agg(F.max("batch_id")).first()[0]
 
-    def refresh(self) -> list[date]:
-        """Bring the table up to date and return the days that were recomputed.
+    def refresh(self) -> list[date | None]:
+        """Bring the table up to date and return the days that were recomputed, None for facts without a day.
 
         Progress is recorded last: a refresh that dies half-way is repeated with the same result.
         """
@@ -50,9 +50,12 @@ class FreshTable:
         touched = unseen.groupBy("sale_date").agg(F.max("batch_id").alias("batch_id")).collect()
         if not touched:
             return []
-        days = sorted(row["sale_date"] for row in touched)
+        days = sorted((row["sale_date"] for row in touched), key=lambda day: (day is not None, day))
         # Event time decides the day again; the stored partition column only prunes the scan.
-        stale = facts.filter(F.col("sale_date").isin(days)).drop("sale_date", "batch_id")
+        stale = F.col("sale_date").isin([day for day in days if day is not None])
+        if None in days:
+            stale = F.coalesce(stale, F.lit(True))
+        stale = facts.filter(stale).drop("sale_date", "batch_id")
         overwrite_partitions(self.by_day(stale), self.days_path, ["sale_date"])
         if self.overall is not None:
             totals = self.overall(self.spark.read.parquet(self.days_path))
