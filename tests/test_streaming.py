@@ -65,7 +65,7 @@ def test_batch_csv_is_typed(spark, tmp_path):
     (tmp_path / "s.csv").write_text(HEADER + "1,1,2024-03-01 10:00:00,1,1,2,5.0,10.0,Cash,0.0,0.8\n")
     rows = read_csv(spark, str(tmp_path / "s.csv"), SALES_DDL)
     assert rows.first()["event_time"] == T0
-    assert [f.simpleString() for f in rows.schema][0] == "transaction_id:int"
+    assert [f.simpleString() for f in rows.schema][0] == "transaction_id:bigint"
 
 
 def test_typed_turns_misfits_into_null(spark):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import threading
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -70,19 +70,47 @@ def new_dir(spark: SparkSession, label: str) -> str:
 _scratch = threading.local()
 
 
+# Shuffle files of a query go as soon as it has ended, where Spark knows the setting.
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _write_once(df: DataFrame, label: str) -> str:
+    spark, path = df.sparkSession, new_dir(df.sparkSession, label)
+    before = spark.conf.get(_CLEAN_UP, None)
+    # The rows are in the table then, so nothing needs the shuffle files that made them any more.
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEAN_UP)
+        else:
+            spark.conf.set(_CLEAN_UP, before)
+    return path
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage, survives lost executors, and makes later passes over the same rows read columns
     instead of repeating the plan.
     """
-    path = new_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    path = _write_once(df, label)
     for paths in getattr(_scratch, "open", []):
         paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settle(spark: SparkSession, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """Like :func:`materialize` for a frame whose plan needs tables of its own: those are deleted afterwards."""
+    with scratch_tables(spark):
+        df = build()
+        path = _write_once(df, label)
+    for paths in getattr(_scratch, "open", []):
+        paths.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def scratch_tables(spark: SparkSession) -> Iterator[None]:
     """Delete what :func:`materialize` wrote inside the block, for steps that store their own result."""
@@ -92,7 +120,7 @@ def scratch_tables(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        stack.remove(paths)
+        stack.pop()
         for path in paths:
             files, location = file_system(spark, path)
             files.delete(location, True)

@@ -63,7 +63,7 @@ def store_metrics(
                     counted[name, progress.batchId] = progress.observedMetrics[name].asDict()
 
     try:
-        while not query.awaitTermination(1):
+        while not query.awaitTermination(0.3):
             read()
     finally:
         read()
