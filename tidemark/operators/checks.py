@@ -41,27 +41,49 @@ def missing_key_count(facts: DataFrame, dimension: DataFrame, key: str) -> DataF
     return missing.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("record_count"))
 
 
+# The labels of the health check, and the key that each dimension is looked up by.
+HEALTH_COUNTS = {"customers": "customers_count", "products": "items_count", "stores": "stores_count"}
+HEALTH_MISSING = {"customers": "missing_customers", "products": "missing_products", "stores": "missing_stores"}
+HEALTH_KEYS = {"customers": "customer_id", "products": "product_id", "stores": "store_id"}
+
+
+def key_matches(facts: DataFrame, dimensions: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """(name, n_rows, n_missing) for every dimension, given as (frame, key), in one pass over the facts.
+
+    Facts are counted per key before the join, so a frequent key, or a mass of NULL keys, is one row there. A
+    NULL key counts as missing.
+    """
+
+    def named(name: str, key: str) -> list:
+        return [F.lit(name).alias("name"), F.col(key).cast("string").alias("key")]
+
+    keys = F.array(*[F.struct(*named(name, key)) for name, (_, key) in dimensions.items()])
+    per_key = facts.select(F.explode(keys).alias("k")).groupBy("k.name", "k.key").agg(F.count(F.lit(1)).alias("n"))
+    known = _union([df.select(*named(name, key)) for name, (df, key) in dimensions.items()])
+    found = per_key.join(known.distinct().withColumn("found", F.lit(True)), ["name", "key"], "left")
+    missing = F.coalesce(F.sum(F.when(F.col("found").isNull(), F.col("n"))), F.lit(0))
+    return found.groupBy("name").agg(F.sum("n").alias("n_rows"), missing.alias("n_missing"))
+
+
 def health_check(
     sales: DataFrame, customers: DataFrame, products: DataFrame, stores: DataFrame
 ) -> DataFrame:
     """Four table counts and three counts of sales with a dangling key, as distinct labelled rows."""
-    counts = row_counts(
-        {
-            "sales_count": sales,
-            "customers_count": customers,
-            "items_count": products,
-            "stores_count": stores,
-        }
-    )
-    dangling = [
-        missing_key_count(sales, dimension, key).select(F.lit(label).alias("table_name"), "record_count")
-        for label, dimension, key in (
-            ("missing_customers", customers, "customer_id"),
-            ("missing_products", products, "product_id"),
-            ("missing_stores", stores, "store_id"),
+    dimensions = {"customers": customers, "products": products, "stores": stores}
+    counts = row_counts({HEALTH_COUNTS[name]: df for name, df in dimensions.items()})
+    matches = key_matches(sales, {name: (df, HEALTH_KEYS[name]) for name, df in dimensions.items()})
+    # Every fact is counted once for each dimension; a table without facts has no row there at all.
+    lines = [F.struct(F.lit("sales_count").alias("table_name"), F.max("n_rows").alias("record_count"))]
+    lines += [
+        F.struct(
+            F.lit(label).alias("table_name"),
+            F.sum(F.when(F.col("name") == name, F.col("n_missing"))).alias("record_count"),
         )
+        for name, label in HEALTH_MISSING.items()
     ]
-    return _union([counts, *dangling]).distinct()
+    of_sales = matches.agg(F.array(*lines).alias("lines")).select(F.inline("lines"))
+    of_sales = of_sales.select("table_name", F.coalesce("record_count", F.lit(0)).alias("record_count"))
+    return _union([counts, of_sales]).distinct()
 
 
 @dataclass(frozen=True)

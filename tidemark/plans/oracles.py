@@ -162,6 +162,26 @@ def oracle_sql() -> dict[str, str]:
         " CASE WHEN c.name = 'quantity' THEN (SELECT count(*) FROM raw_sales WHERE discount_applied < 0)"
         f" ELSE 0 END AS n_failed FROM (SELECT unnest({list(_SALES_TYPES)}) AS name) c",
         "sum_fine_amounts": f"SELECT store_id, {_MONEY.format('unit_price')} AS total FROM line_sales GROUP BY 1",
+        "lineage": "SELECT 'lineitem.parquet' AS file, count(*) AS n_rows, count(*) AS n_timed FROM lineitem",
+        "fail_rule_on_clean_rows": "SELECT payment_method, count(*) AS n FROM raw_sales GROUP BY 1",
+        "sql_by_path": "SELECT 'orders' AS check, count(*) AS n FROM orders UNION ALL"
+        " SELECT 'orders without a customer', count(*) FROM orders"
+        " WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey)",
+        "scd2_hot_keys": _every_change("user_changes", "event_type", "event_id", True),
+        "stored_tables": " UNION ALL ".join(
+            f"SELECT '{name}' AS table_name, count(*) AS record_count FROM ({text})"
+            for name, text in {
+                "silver.sales_transactions": f"SELECT 1 FROM raw_sales WHERE {_BATCH_VALID}",
+                "gold.sales_facts": "SELECT 1 FROM batch_facts",
+                "gold.daily_sales_by_store": "SELECT DISTINCT CAST(event_time AS DATE), store_id, store_name"
+                " FROM batch_facts",
+                "gold.product_performance": "SELECT DISTINCT product_id, product_name, product_category"
+                " FROM batch_facts",
+                "gold.customer_lifetime_value": "SELECT DISTINCT customer_id, customer_name FROM batch_facts",
+                "silver.customers_current": "SELECT 1 FROM adults",
+                "bronze.late_sales": "SELECT 1 FROM raw_sales WHERE FALSE",
+            }.items()
+        ),
         "scd2_every_change": _EVERY,
         "scd2_null_sequence": f"SELECT *, changed_at AS __START_AT, CASE WHEN {_LAST_RECORD} THEN {_FAR_FUTURE}"
         f" ELSE lead(changed_at) OVER ({_NULLS_FIRST}) END AS __END_AT, {_LAST_RECORD} AS __is_current"

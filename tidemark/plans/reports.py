@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from functools import reduce, wraps
 
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 from tidemark.functions.money import rounded_sum
 from tidemark.model import (
     BATCH_RULES,
+    BRONZE_RULES,
     CLEANED_RULES,
     SALES_DDL,
     SALES_FILE_DDL,
@@ -28,10 +30,10 @@ from tidemark.operators.sales import (
 )
 from tidemark.plans import gold, sql_models
 from tidemark.plans.star import Star
-from tidemark.session import new_dir
+from tidemark.session import new_dir, settle
 from tidemark.sources import files
-from tidemark.sources.files import CORRUPT, stream_parquet, typed
-from tidemark.sources.tables import write_batch
+from tidemark.sources.files import CORRUPT, stream_parquet, typed, with_lineage
+from tidemark.sources.tables import LAYERS, create_layers, create_table, overwrite_table, write_batch
 from tidemark.streaming import refresh
 from tidemark.streaming.facts import daily_totals, enrich_stream, split_stream
 from tidemark.streaming.history import HistoryTable
@@ -94,6 +96,23 @@ def sum_fine_amounts(star: Star) -> DataFrame:
     return star.sales(with_order=False).groupBy("store_id").agg(rounded_sum("unit_price").alias("total"))
 
 
+@report
+def lineage(star: Star) -> DataFrame:
+    """How many rows came from each file, and how many of them have an ingest time."""
+    rows = with_lineage(star.table("lineitem").select("l_orderkey", "_metadata"))
+    file = F.regexp_extract("source_file_path", r"(\w+\.parquet)", 1)
+    return rows.groupBy(file.alias("file")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("ingest_timestamp").alias("n_timed")
+    )
+
+
+@report
+def fail_rule_on_clean_rows(star: Star) -> DataFrame:
+    """A fail rule that holds lets every row through."""
+    kept = enforce(star.sales(), BRONZE_RULES["sales"])
+    return kept.groupBy("payment_method").agg(F.count(F.lit(1)).alias("n"))
+
+
 @report
 def customers_cleaned(star: Star) -> DataFrame:
     return enforce(star.customers(), CLEANED_RULES["customers"])
@@ -175,6 +194,14 @@ def _without_times(star: Star) -> DataFrame:
     return star.customer_changes().withColumn("changed_at", F.when(F.col("last_total").isNotNull(), F.col("changed_at")))
 
 
+@report
+def scd2_hot_keys(star: Star) -> DataFrame:
+    """A few keys with all records, cut into slices."""
+    return history.history_of_every_change(
+        star.user_changes(), ["event_type"], "changed_at", ["event_id"], rows_per_slice=100
+    )
+
+
 @report
 def scd2_null_sequence(star: Star) -> DataFrame:
     """One current version per key, also where records have no time."""
@@ -285,15 +312,41 @@ def customer_value(star: Star) -> DataFrame:
     return gold.customer_value(_sales(star), star.customers())
 
 
-def _sql_models(star: Star) -> dict[str, DataFrame]:
+def _bronze(star: Star) -> dict[str, DataFrame]:
     first_load = F.to_timestamp(F.lit("1995-01-01 00:00:00"))
-    bronze = {
+    return {
         "sales": star.sales(),
         "customers": star.customer_records(),
         "products": star.products().withColumn("last_update_time", first_load),
         "stores": star.stores().withColumn("last_update_time", first_load),
     }
-    return sql_models.as_views(star.spark, bronze, "tidemark")
+
+
+def _sql_models(star: Star) -> dict[str, DataFrame]:
+    return sql_models.as_views(star.spark, _bronze(star), "tidemark")
+
+
+@report
+def stored_tables(star: Star) -> DataFrame:
+    """The SQL models as stored tables and views of layers that are dropped again: rows, and rows of a view."""
+    spark, prefix = star.spark, f"stored_{uuid.uuid4().hex[:12]}_"
+
+    def build() -> DataFrame:
+        create_layers(spark, prefix)
+        for raw, frame in _bronze(star).items():
+            overwrite_table(frame, f"{prefix}bronze.raw_{raw}", f"raw {raw}")
+        create_table(spark, f"{prefix}bronze.late_sales", SALES_DDL, "sales of a later load")
+        models = sql_models.build(spark, prefix)
+        tables = {name: models[name] for name in sql_models.TABLES}
+        tables["silver.customers_current"] = spark.table(f"{prefix}silver.customers_current")
+        tables["bronze.late_sales"] = spark.table(f"{prefix}bronze.late_sales")
+        return checks.row_counts(tables)
+
+    try:
+        return settle(spark, "stored-tables", build)
+    finally:
+        for layer in LAYERS:
+            spark.sql(f"DROP DATABASE IF EXISTS {prefix}{layer} CASCADE")
 
 
 @report
@@ -336,6 +389,18 @@ def missing_foreign_keys(star: Star) -> DataFrame:
     return reduce(DataFrame.unionByName, missing)
 
 
+@report
+def sql_by_path(star: Star) -> DataFrame:
+    """Counts in a Spark SQL text that names its tables by their paths."""
+    table = lambda name: f"parquet.`{star.directory}/{name}.parquet`"
+    return star.spark.sql(f"""
+        SELECT 'orders' AS check, count(*) AS n FROM {table("orders")}
+        UNION ALL
+        SELECT 'orders without a customer', count(*)
+        FROM {table("orders")} LEFT ANTI JOIN {table("customer")} ON o_custkey = c_custkey
+    """)
+
+
 @report
 def health_check(star: Star) -> DataFrame:
     return checks.health_check(star.sales(), star.customers(), star.products(), star.stores())
