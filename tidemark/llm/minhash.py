@@ -7,10 +7,11 @@ chunks, they differ in at most one place of some chunk, so they agree on that ch
 signature therefore has one key for every chunk and every place that is left out.
 
 Documents with equal sets are one class from the start. Keys that one class alone has are dropped; buckets are compared in
-blocks of bounded size. First every class proposes its nearest partner of those with a smaller id; proposals are
-confirmed on the full sets, which connects most of what belongs together. Then all other pairs within the distance that still lie in
-different components are confirmed. So no link that could change a component is left out, and the many pairs inside a
-large group of near copies need not be confirmed one by one.
+blocks of bounded size. First every class proposes its nearest partners, one with a smaller and one with a larger id; these are
+confirmed on the full sets, which connects most of what belongs together. Then all other pairs within the distance that
+still lie in different components are confirmed inside their blocks, but for those that cannot be links because too
+many of their shingles are nobody else's. So no link that could change a component is left out, and the many pairs
+inside a large group of near copies are neither confirmed one by one nor written anywhere.
 
 Sets: A-Z in lower case, words are runs of bytes other than space and 0x09 to 0x0D, shingles are five words; with fewer words
 the whole sequence is one. NULL text, and text without words, has an empty set and links with nothing, as do rows with
@@ -27,11 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.blocks import in_blocks, pairs, shared_buckets
-from tidemark.llm.components import connected_components
+from tidemark.llm.blocks import KEYS, in_blocks, pairs, shared_buckets
+from tidemark.llm.components import Forest, connected_components
 from tidemark.llm.rows import ship, sorted_groups, utf8
 from tidemark.llm.shingles import mix, shingle_sets
-from tidemark.session import materialize
+from tidemark.session import materialize, settle
 
 WORDS = 5
 PLACES, CHUNKS, ERRORS = 32, 9, 1
@@ -128,22 +129,29 @@ def _key_numbers(sig: np.ndarray, key: np.ndarray) -> np.ndarray:
     return number
 
 
-def _nearest_before(blocks: DataFrame) -> DataFrame:
-    """For each class its nearest partner with a smaller id: ``a`` (smaller), ``b``."""
+def _nearest(blocks: DataFrame) -> DataFrame:
+    """For each class its nearest partner with a smaller and with a larger id: ``a`` (smaller), ``b``.
+
+    The smaller ones connect all of a group; with the larger ones, whoever has a partner is in a pair.
+    """
 
     def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in sorted_groups(batches, ["key"]):
+        for table in sorted_groups(batches, KEYS):
             ids = table["id"].to_numpy()
             best: list[np.ndarray] = []
             for a, b, distance in _close_pairs(table):
                 low, high = np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b])
-                best = [_first_by(np.concatenate([*best, np.stack([high, distance, low], axis=1)]))]
-            found = best[0] if best else np.zeros((0, 3), np.int64)
-            columns = [found[:, 2], found[:, 0], found[:, 1]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names=["a", "b", "d"])
+                both = [np.stack([high, distance, low], axis=1), np.stack([low, distance, high], axis=1)]
+                down, up = (_first_by(np.concatenate([x, y])) for x, y in zip(both, best or both, strict=True))
+                best = [down, up]
+            found = np.concatenate(best) if best else np.zeros((0, 3), np.int64)
+            columns = (pa.array(np.ascontiguousarray(c)) for c in found.T)
+            yield pa.RecordBatch.from_arrays([*columns], names=["own", "distance", "other"])
 
-    proposed = blocks.mapInArrow(propose, "a long, b long, d long")
-    return proposed.groupBy("b").agg(F.min(F.struct("d", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
+    proposed = blocks.mapInArrow(propose, "own long, distance long, other long")
+    nearest = F.min(F.struct("distance", "other"))["other"]
+    chosen = proposed.groupBy("own", F.col("other") < F.col("own")).agg(nearest.alias("other"))
+    return chosen.select(F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b")).distinct()
 
 
 def _first_by(rows: np.ndarray) -> np.ndarray:
@@ -152,18 +160,68 @@ def _first_by(rows: np.ndarray) -> np.ndarray:
     return rows[np.append(True, rows[1:, 0] != rows[:-1, 0])] if len(rows) else rows
 
 
+def _unsettled(blocks: DataFrame) -> DataFrame:
+    """The rows of blocks that have a close partner in another component, ``key``, ``low``, ``high``, ``right``, ``id``.
+
+    With a column ``shared`` pairs that cannot be links don't count: two sets have at most those shingles in common
+    that either shares with anyone, and a link takes three sevenths of the sum of their sizes.
+    """
+    columns = [*KEYS, "right", "id"]
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in sorted_groups(batches, KEYS):
+            found = np.zeros(table.num_rows, bool)
+            for a, b in _apart(table):
+                found[a] = found[b] = True
+            yield from table.select(columns).filter(pa.array(found)).to_batches()
+
+    return blocks.mapInArrow(find, blocks.select(columns).schema)
+
+
+def _apart(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of close pairs in different components that can be links."""
+    component, n = table["component"].to_numpy(), table["n"].to_numpy()
+    shared = table["shared"].to_numpy() if "shared" in table.column_names else n
+    for a, b, _ in _close_pairs(table):
+        can = (component[a] != component[b]) & (7 * np.minimum(shared[a], shared[b]) >= 3 * (n[a] + n[b]))
+        yield a[can], b[can]
+
+
+def _own_shingles(sets: DataFrame) -> DataFrame:
+    """For each ``id`` of several sets how many of its shingles no other set has, as ``own``. An id that occurs with
+    several texts is left out."""
+    once = sets.groupBy("id").agg(F.count(F.lit(1)).alias("rows")).where("rows = 1").select("id")
+    holders = sets.select("id", F.explode("set").alias("shingle")).groupBy("shingle")
+    single = holders.agg(F.count(F.lit(1)).alias("holders"), F.min("id").alias("id")).where("holders = 1")
+    return single.groupBy("id").agg(F.count(F.lit(1)).alias("own")).join(once, "id", "left_semi")
+
+
 def _across(blocks: DataFrame) -> DataFrame:
-    """All close pairs of classes in different components: ``a`` (smaller), ``b``."""
+    """Links between different components, of the close pairs in blocks: ``a``, ``b``. At most one for each two
+    components that a task has not joined yet."""
 
     def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in sorted_groups(batches, ["key"]):
-            ids, component = table["id"].to_numpy(), table["component"].to_numpy()
-            for a, b, _ in _close_pairs(table):
-                apart = component[a] != component[b]
-                a, b = ids[a[apart]], ids[b[apart]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"]
-                )
+        forest = Forest()
+        for table in sorted_groups(batches, KEYS):
+            ids, component, n = (table[c].to_numpy() for c in ("id", "component", "n"))
+            flat = np.unique(table["set"].combine_chunks().flatten().to_numpy(), return_inverse=True)[1]
+            ends = np.cumsum(n)
+            mark = np.zeros(len(flat) + 1, bool)
+            links: list[tuple[int, int]] = []
+            for a, b in _apart(table):
+                for left in np.unique(a):
+                    others = b[a == left]
+                    own = flat[ends[left] - n[left] : ends[left]]
+                    mark[own] = True
+                    sizes = n[others]
+                    inner = np.repeat(ends[others] - sizes - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+                    common = np.add.reduceat(mark[flat[inner]], np.cumsum(sizes) - sizes, dtype=np.int64)
+                    mark[own] = False
+                    for right in others[100 * common >= 75 * (n[left] + sizes - common)]:
+                        if forest.join(int(component[left]), int(component[right])):
+                            links.append((int(ids[left]), int(ids[right])))
+            columns = zip(*links, strict=True) if links else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
 
     return blocks.mapInArrow(cross, "a long, b long")
 
@@ -185,12 +243,41 @@ def _sets(documents: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -
             yield pa.RecordBatch.from_arrays([batch["id"], pa.array(sets, pa.list_(pa.int64()))], names=["id", "set"])
 
     rows = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = rows.join(wanted, "id", "left_semi")
+    # The wanted ids grow with the documents, so they are not broadcast, however few they are.
+    rows = rows.join(wanted.hint("merge"), "id", "left_semi")
     return rows.mapInArrow(cut, "id long, set array<long>").where(F.size("set") > 0)
 
 
+def _links_across(buckets: DataFrame, classes: DataFrame, components: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between the components so far, found by looking at all close pairs that lie in two of them.
+
+    Each step leaves fewer rows to the next one, and only the last takes sets along, for rows that need them.
+    """
+    joined = classes.join(components.withColumnRenamed("node", "id"), "id", "left")
+    joined = joined.withColumn("component", F.coalesce("component", "id"))
+    rows = materialize(_unsettled(in_blocks(buckets.join(joined, "id"))), "unsettled")
+    ids = rows.select("id").distinct()
+    own = _own_shingles(sets.join(ids, "id", "left_semi"))
+    joined = joined.join(ids, "id", "left_semi").join(own, "id", "left")
+    # A partner has at least three quarters of the shingles, all of them shared.
+    joined = joined.withColumn("shared", F.col("n") - F.coalesce("own", F.lit(0))).where("4 * shared >= 3 * n")
+    joined = materialize(joined, "unsettled")
+    rows = materialize(_unsettled(in_blocks(rows.join(joined, "id"))), "unsettled")
+    with_sets = joined.join(sets, "id").where(F.size("set") == F.col("n"))
+    return materialize(_across(in_blocks(rows.join(with_sets, "id"))), "links")
+
+
 def near_duplicates(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: its id, ``n_shingles``, ``component_id`` (the smallest id reachable) and ``kept``."""
+    """One row per document: its id, ``n_shingles``, ``component_id`` (the smallest id reachable) and ``kept``.
+
+    The result is written to the shared folder, and all tables on the way to it are deleted.
+    """
+    return settle(
+        documents.sparkSession, "near-duplicates", lambda: _near_duplicates(documents, id_col=id_col, text_col=text_col)
+    )
+
+
+def _near_duplicates(documents: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
     signed = materialize(signatures(documents, id_col=id_col, text_col=text_col), "signatures")
     present = signed.where(F.col("id").isNotNull() & (F.col("n") > 0))
     least = present.groupBy("h1", "h2").agg(F.min("id").alias("rep"))
@@ -199,17 +286,14 @@ def near_duplicates(documents: DataFrame, *, id_col: str = "doc_id", text_col: s
     classes = materialize(classes.select("id", "n", "sig").dropDuplicates(["id", "sig"]), "classes")
     buckets = materialize(shared_buckets(_keys(classes), ROWS_PER_BLOCK), "buckets")
 
-    proposed = materialize(_nearest_before(in_blocks(buckets.join(classes, "id"))), "proposed")
-    # Whoever has a partner is in a proposal, so these sets are all that confirming needs.
+    proposed = materialize(_nearest(in_blocks(buckets.join(classes, "id"))), "proposed")
+    # Whoever has a close partner is in a proposal, so these sets are all that confirming needs.
     wanted = proposed.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     sets = materialize(_sets(documents, wanted, id_col, text_col), "sets")
     links = materialize(_confirmed(proposed, sets), "links")
     components = connected_components(links)
 
-    joined = classes.join(components.withColumnRenamed("node", "id"), "id", "left")
-    joined = joined.withColumn("component", F.coalesce("component", "id"))
-    across = _across(in_blocks(buckets.join(joined, "id"))).join(proposed, ["a", "b"], "left_anti")
-    more = materialize(_confirmed(across.distinct(), sets), "links")
+    more = _links_across(buckets, classes, components, sets)
     if not more.isEmpty():
         components = connected_components(links.union(more))
     labels = least.join(components.withColumnRenamed("node", "rep"), "rep", "left")
