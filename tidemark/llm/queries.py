@@ -153,4 +153,75 @@ SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0):
 FROM documents LEFT JOIN joined USING (doc_id)"""
 
 
-ORACLES = {"op6_url_filter": _URL_FILTER, "op8_secret_scan": _secret_sql()}
+_SUFFIX_DEDUP = """
+WITH t AS (SELECT doc_id, hex(coalesce(text, '')) AS hx FROM documents),
+pieces AS (
+  SELECT doc_id, c, substr(hx, 2 * c + 1, 2198) AS hx
+  FROM (SELECT doc_id, hx, unnest(range(0, length(hx) // 2 - 99, 1000)) AS c FROM t)),
+starts AS (
+  SELECT doc_id, p, row_number() OVER (PARTITION BY k ORDER BY doc_id, p) AS nth
+  FROM (SELECT doc_id, c + i AS p, md5_number(substr(hx, 2 * i + 1, 200)) AS k
+        FROM (SELECT doc_id, c, hx, unnest(range(0, least(1000, length(hx) // 2 - 99))) AS i FROM pieces))),
+repeats AS (
+  SELECT doc_id, p, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS run
+  FROM (SELECT doc_id, p, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 100 THEN 0 ELSE 1 END AS fresh
+        FROM starts WHERE nth > 1)),
+runs AS (SELECT doc_id, run, min(p) AS a, max(p) + 100 AS b FROM repeats GROUP BY doc_id, run),
+removed AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM runs GROUP BY doc_id),
+gaps AS (
+  SELECT doc_id, b AS a, lead(a) OVER (PARTITION BY doc_id ORDER BY a) AS b
+  FROM (SELECT doc_id, a, b FROM runs UNION ALL SELECT doc_id, -1, 0 FROM t)),
+kept AS (
+  SELECT t.doc_id, string_agg(CASE WHEN g.b IS NULL THEN substr(hx, 2 * g.a + 1)
+                                   ELSE substr(hx, 2 * g.a + 1, 2 * (g.b - g.a)) END, '' ORDER BY g.a) AS hx
+  FROM t JOIN gaps g ON t.doc_id = g.doc_id GROUP BY t.doc_id)
+SELECT t.doc_id, CAST(length(t.hx) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(kept.hx)) AS kept_sha256
+FROM t JOIN kept ON t.doc_id = kept.doc_id LEFT JOIN removed ON t.doc_id = removed.doc_id"""
+
+# The smallest node that links lead to; ``links`` has both directions.
+_REACHABLE = """
+reach(node, other) AS (
+  SELECT node, node FROM nodes
+  UNION SELECT reach.node, links.b FROM reach JOIN links ON reach.other = links.a),
+component AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node)"""
+
+_EMBEDDING_DEDUP = f"""
+WITH RECURSIVE nodes AS (SELECT vec_id AS node, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+usable AS (
+  SELECT * FROM nodes
+  WHERE len(e) > 0 AND list_sum(list_transform(e, lambda x: CASE WHEN x IS NULL OR NOT isfinite(x) THEN 1 ELSE 0 END)) = 0
+    AND list_sum(list_transform(e, lambda x: abs(x))) > 0),
+links AS (
+  SELECT a.node AS a, b.node AS b FROM usable a JOIN usable b ON a.node <> b.node AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+{_REACHABLE}
+SELECT node AS vec_id, (SELECT count(*) FROM links WHERE a = node) AS n_links, component_id, node = component_id AS kept
+FROM component"""
+
+_NEAR_DEDUP = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+  FROM words),
+nodes AS (SELECT doc_id AS node, CAST(len(s) AS BIGINT) AS n FROM sets),
+shingles AS (SELECT doc_id, unnest(s) AS shingle FROM sets),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.shingle = b.shingle
+  WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM common JOIN nodes x ON a = x.node JOIN nodes y ON b = y.node
+  WHERE 100 * common.n >= 75 * (x.n + y.n - common.n)),
+{_REACHABLE}
+SELECT node AS doc_id, n AS n_shingles, component_id, node = component_id AS kept FROM component JOIN nodes USING (node)"""
+
+ORACLES = {
+    "op1_suffix_array_dedup": _SUFFIX_DEDUP,
+    "op3_embedding_near_dedup": _EMBEDDING_DEDUP,
+    "op7_minhash_near_dedup": _NEAR_DEDUP,
+    "op6_url_filter": _URL_FILTER,
+    "op8_secret_scan": _secret_sql(),
+}
