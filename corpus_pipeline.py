@@ -6,20 +6,22 @@ last, which gives the pieces of packed sequences. Stages work on all rows of the
 1. language ID drops documents whose language can't be told (NULL, or without a letter);
 2. MinHash near-dedup keeps the document with the smallest id of every group; documents without words and rows with
    a NULL id are no duplicates and stay; rows that repeat an id stay or go together;
-3. suffix-array dedup takes repeated passages out of the texts; every document stays;
+3. suffix-array dedup takes repeated passages out of the texts; every document stays, and a NULL text is empty then;
 4. secret scans put a mark in place of each secret; every document stays;
 5. packing cuts documents into pieces and places them in sequences.
 """
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import langid, minhash, packing, secret_scan, suffix_dedup
 from tidemark.llm.queries import VOCABULARY
 from tidemark.llm.rows import table
-from tidemark.session import materialize
+from tidemark.session import settle
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,17 +32,17 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     copies = minhash.near_duplicates(docs).where(~F.col("kept")).select("doc_id")
-    return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
+    # Copies grow with the documents, so they are not broadcast, however few they are.
+    return docs.join(copies.hint("merge"), "doc_id", "left_anti").select(docs.columns)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = suffix_dedup.remove_repeats(docs, carry=docs.columns)
-    text = F.when(F.col("carried.text").isNotNull(), suffix_dedup.as_text(F.col("kept")))
-    return _with_text(kept.select("carried.*", text.alias("new_text")), docs)
+    kept = suffix_dedup.remove_repeats(docs, carry=_others(docs))
+    return _with_text(kept.select("carried.*", suffix_dedup.as_text(F.col("kept")).alias("new_text")), docs)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scanned = secret_scan.scan_secrets(docs, carry=docs.columns)
+    scanned = secret_scan.scan_secrets(docs, carry=_others(docs))
     return _with_text(secret_scan.redact(scanned).select("carried.*", F.col("text").alias("new_text")), docs)
 
 
@@ -48,10 +50,14 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, VOCABULARY)
 
 
+def _others(docs: DataFrame) -> list[str]:
+    return [c for c in docs.columns if c != "text"]
+
+
 def _with_text(rows: DataFrame, docs: DataFrame) -> DataFrame:
     """The columns of documents with the new text and its length."""
     new = {"text": F.col("new_text"), "n_chars": F.length("new_text").cast("long")}
-    return rows.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
+    return rows.select(*[(new[c] if c in new else F.col(c)).alias(c) for c in docs.columns])
 
 
 STAGES = [
@@ -70,5 +76,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written as Parquet and read by the next."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        docs = settle(spark, name, partial(stage, spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
