@@ -23,11 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.blocks import in_blocks, pairs, shared_buckets
+from tidemark.llm.blocks import KEYS, in_blocks, pairs, shared_buckets
 from tidemark.llm.components import Forest, connected_components
 from tidemark.llm.rows import ship, sorted_groups
 from tidemark.llm.vectors import matrix, norms, vectors_of
-from tidemark.session import materialize
+from tidemark.session import materialize, settle
 
 ROWS_PER_BLOCK = 1024
 SEED = 20240607
@@ -53,9 +53,19 @@ def near_duplicates(
     threshold: float = 0.95,
     miss: float = 2e-4,
 ) -> DataFrame:
-    """One row per vector: its id, ``n_links``, ``component_id`` (the smallest id reachable) and ``kept``."""
-    spark = embeddings.sparkSession
-    ship(spark)
+    """One row per vector: its id, ``n_links``, ``component_id`` (the smallest id reachable) and ``kept``.
+
+    The result is written to the shared folder, and all tables on the way to it are deleted.
+    """
+    ship(embeddings.sparkSession)
+    return settle(
+        embeddings.sparkSession,
+        "near-duplicates",
+        lambda: _near_duplicates(embeddings, id_col, vector_col, threshold, miss),
+    )
+
+
+def _near_duplicates(embeddings: DataFrame, id_col: str, vector_col: str, threshold: float, miss: float) -> DataFrame:
     rows = vectors_of(embeddings, id_col, vector_col)
     usable = rows.where("ok")
     classes = usable.groupBy("vector").agg(F.min("id").alias("id"), F.countDistinct("id").alias("n"))
@@ -89,7 +99,7 @@ def near_duplicates(
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest = Forest()
-        for table in sorted_groups(batches, ["key"]):
+        for table in sorted_groups(batches, KEYS):
             ids = table["id"].to_numpy()
             number = (table["key"].to_numpy() >> planes) % tables
             codes, n = matrix(table["codes"]), table["n"].to_numpy()

@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.rows import carried, schema_with, ship, utf8
+from tidemark.llm.rows import carried, schema_with, ship, text_or_carried, texts_of, utf8
 
 UNDETERMINED = "und"
 ORDER = 3
@@ -35,7 +35,7 @@ LEAST_SEEN = 4
 #: Range of hashed ids that a sample is a share of.
 HASHES = 1 << 31
 #: Positions scored at once.
-SLICE = 1 << 19
+SLICE = 1 << 18
 _LETTER = regex.compile(r"\p{L}")
 
 
@@ -218,7 +218,7 @@ def predict(
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(shared.value) if shared.value.languages else None
         for batch in batches:
-            texts = batch["text"].to_pylist()
+            texts = texts_of(batch, text_col).to_pylist()
             names, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
             known = [i for i, t in enumerate(texts) if scorer and t and _LETTER.search(t)]
             if known:
@@ -233,9 +233,7 @@ def predict(
                 arrays + more, names=["id", "lang_pred", "score"] + ["carried"] * len(more)
             )
 
-    rows = documents.select(
-        F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), *carried(carry)
-    )
+    rows = documents.select(F.col(id_col).alias("id"), *text_or_carried(text_col, carry), *carried(carry))
     out = rows.mapInArrow(score, schema_with(rows, "lang_pred string, score double"))
     return out.withColumnRenamed("id", id_col)
 

@@ -29,6 +29,16 @@ def carried(columns: Sequence[str]) -> list[Column]:
     return [F.struct(*columns).alias("carried")] if columns else []
 
 
+def text_or_carried(text_col: str, carry: Sequence[str]) -> list[Column]:
+    """The text as a column of its own, unless it is carried anyway, so that no text moves twice."""
+    return [] if text_col in carry else [F.col(text_col).cast("string").alias("text")]
+
+
+def texts_of(batch: pa.RecordBatch, text_col: str) -> pa.Array:
+    """The text column that :func:`text_or_carried` chose."""
+    return batch["text"] if "text" in batch.schema.names else batch["carried"].field(text_col).cast(pa.string())
+
+
 def schema_with(rows: DataFrame, spec: str) -> T.StructType:
     """The ``id`` of the rows, the columns of ``spec``, and ``carried`` if the rows have it."""
     schema = T.StructType([rows.schema["id"], *T.StructType.fromDDL(spec)])
@@ -84,13 +94,23 @@ def group_starts(rows: pa.RecordBatch | pa.Table, keys: list[str]) -> np.ndarray
 _shipped: set[str] = set()
 
 
+#: Bytes that a Python worker gets at once, so that its memory is bounded whatever the length of texts.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Let the Python workers import this package, also where it isn't installed or on their path.
+    """Let the Python workers import this package, also where it isn't installed or on their path, and bound what
+    they get at once.
 
-    The sources go out once for each application, by Spark's own file server.
+    The sources go out once for each application, by Spark's own file server. The session's bound on the bytes of
+    a batch is lowered if it is higher, and never raised.
     """
     import tidemark
 
+    now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(_BATCH_SETTING))
+    if not 0 < now <= BATCH_BYTES:
+        spark.conf.set(_BATCH_SETTING, f"{BATCH_BYTES}b")
     context = spark.sparkContext
     package = os.path.dirname(os.path.abspath(tidemark.__file__))
     root = os.path.dirname(package)

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Bytes that are hashed at once; a longer text is hashed alone.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.default_rng(20240607)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64)

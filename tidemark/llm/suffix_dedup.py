@@ -34,16 +34,16 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.rows import carried, group_starts, longs, schema_with, ship, sorted_groups, utf8
 from tidemark.llm.shingles import mix
-from tidemark.session import materialize
+from tidemark.session import materialize, settle
 
 LENGTH, ANCHOR = 100, 32
 GRAMS = LENGTH - ANCHOR + 1
 #: Documents in the sample, and the share of them that makes an anchor common.
 SAMPLE, COMMON = 2000, 0.01
 #: Bytes that are hashed at once; a longer text is hashed alone.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 #: Suffixes that are sorted at once.
-SUFFIXES = 1 << 21
+SUFFIXES = 1 << 19
 _COMMON_BIT = np.uint64(1 << 63)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BYTE = np.random.default_rng(99).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -351,22 +351,12 @@ def _words(column: pa.Array) -> np.ndarray:
     return words
 
 
-def remove_repeats(
-    documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = ()
-) -> DataFrame:
-    """One row per document: its id, ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs) and ``kept``, the
-    bytes that remain. Columns in ``carry`` come along as the struct ``carried``.
-
-    A run may begin or end inside a character; :func:`as_text` leaves out what is left of such characters.
-    """
-    ship(documents.sparkSession)
-    keyed = _keyed(documents, id_col, text_col)
-    segments = _segments(keyed, common_grams(keyed))
+def _repeats(keyed: DataFrame) -> DataFrame:
+    """For each document (``doc``, ``h``) with repeated strings where they start: ``repeats``, of (low, high)."""
+    segments = materialize(_segments(keyed, common_grams(keyed)), "segments")
     told = F.col("gram").isNull()
-    segments = materialize(segments, "segments")
     met = materialize(_meet(segments), "met")
     sorted_out = _sort(_cut_out(keyed, met.where(~F.col("whole"))))
-
     whole = met.where("whole").select("doc", "at", "shape").union(segments.where(told).select("doc", "at", "shape"))
     low = F.col("at").bitwiseAND(0xFFFFFFFF)
     repeats = whole.select(
@@ -375,7 +365,19 @@ def remove_repeats(
         low.alias("low"),
         (low + F.shiftright("shape", 8)).alias("high"),
     ).unionByName(sorted_out)
-    repeats = repeats.groupBy("doc", "h").agg(F.collect_list(F.struct("low", "high")).alias("repeats"))
+    return repeats.groupBy("doc", "h").agg(F.collect_list(F.struct("low", "high")).alias("repeats"))
+
+
+def remove_repeats(
+    documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = ()
+) -> DataFrame:
+    """One row per document: its id, ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs) and ``kept``, the
+    bytes that remain. Columns in ``carry`` come along as the struct ``carried``.
+
+    A run may begin or end inside a character; :func:`as_text` leaves out what is left of such characters.
+    """
+    ship(documents.sparkSession)
+    repeats = settle(documents.sparkSession, "repeats", lambda: _repeats(_keyed(documents, id_col, text_col)))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
