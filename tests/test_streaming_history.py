@@ -123,3 +123,18 @@ def test_slightly_late_record_does_not_reach_behind_the_seal(spark, monkeypatch)
     check(spark, history, rows + late, ["name"])
     history.seal(timedelta(0))
     check(spark, history, rows + late, ["name"])
+
+
+def test_seals_between_batches_leave_one_copy_of_what_is_open(spark):
+    rows = sorted(make_log(5, True)[:200], key=lambda r: (r[1] is not None, r[1:3]))
+    history = table(spark, ["city"], seal_every=3)
+    for batch_id, at in enumerate(range(0, len(rows), 50)):
+        history.apply(spark.createDataFrame(rows[at : at + 50], DDL), batch_id)
+        history.seal_when_due(100)
+        if batch_id == 3:
+            history.seal_when_due(1)
+    check(spark, history, rows, ["city"])
+    assert history._last_seal().number > 1
+    for name in ("live", "base"):
+        kept = {r["seal"] for r in spark.read.parquet(f"{history.root}/{name}").select("seal").distinct().collect()}
+        assert kept == {history._last_seal().number}

@@ -499,10 +499,9 @@ def _stream_history(star: Star, tracked: list[str] | None) -> DataFrame:
     arrivals = _Arrivals(star, star.user_changes(), "user-changes")
     table = HistoryTable(
         star.spark, arrivals.dir("history"), arrivals.ddl, ["user_id"], "changed_at", ["event_id"], tracked,
-        excluded=["event_id"], buckets=star.spark.sparkContext.defaultParallelism,
+        excluded=["event_id"], buckets=star.spark.sparkContext.defaultParallelism, seal_every=2,
     )
     table.follow(arrivals.stream(), arrivals.dir("checkpoint")).awaitTermination()
-    table.seal()
     return table.read()
 
 

@@ -58,6 +58,7 @@ class HistoryTable:
     """``tracked`` as in :func:`history_of_tracked_columns`, or None for a version per change record.
 
     A micro-batch rewrites ``live`` for the buckets it touches, so choose enough buckets that it touches few.
+    ``seal_every`` seals after every so many micro-batches; else the owner of the stream does.
     """
 
     def __init__(
@@ -74,8 +75,9 @@ class HistoryTable:
         ignore_nulls: bool = True,
         buckets: int = 256,
         rows_per_slice: int = ROWS_PER_SLICE,
+        seal_every: int | None = None,
     ):
-        self.spark, self.root = spark, root
+        self.spark, self.root, self.seal_every = spark, root, seal_every
         self.keys, self.sequence, self.tiebreak = list(keys), sequence, list(tiebreak)
         self.tracked, self.excluded, self.ignore_nulls = tracked, list(excluded), ignore_nulls
         self.buckets, self.rows_per_slice = buckets, rows_per_slice
@@ -169,6 +171,8 @@ class HistoryTable:
                 self._start_over(late, seal)
             if on_time:
                 self._continue(on_time, seal)
+        if self.seal_every and (batch_id + 1) % self.seal_every == 0:
+            self.seal()
 
     def _continue(self, buckets: list[int], seal: _Seal) -> None:
         """Recompute what happened since the seal; records after it are in batches after it."""
@@ -231,6 +235,21 @@ class HistoryTable:
             self._write(live.filter(~before), "live", number)
         done = [(number, newest - lag, first_after - 1)]
         append(self.spark.createDataFrame(done, _SEALS), f"{self.root}/seals")
+        # From here on only the new seal is read; what the last one left open is in it again.
+        for table in ("live", "base"):
+            files, superseded = file_system(self.spark, f"{self.root}/{table}/seal={last.number}")
+            files.delete(superseded, True)
+
+    def seal_when_due(self, batches: int = 16) -> None:
+        """Seal if so many micro-batches have come since the last seal."""
+        path = f"{self.root}/log"
+        if not exists(self.spark, path):
+            return
+        files, location = file_system(self.spark, path)
+        names = [status.getPath().getName() for status in files.listStatus(location)]
+        newest = max((int(n.removeprefix("batch_id=")) for n in names if n.startswith("batch_id=")), default=-1)
+        if newest - self._last_seal().batch_id >= batches:
+            self.seal()
 
     def read(self) -> DataFrame:
         """The whole history, without the excluded columns."""
