@@ -4,8 +4,9 @@ Every stage takes ``(spark, docs, sf_dir)`` with the columns of ``documents`` an
 last, which gives the pieces of packed sequences. Stages work on all rows of their input:
 
 1. language ID drops documents whose language can't be told (NULL, or without a letter);
-2. MinHash near-dedup keeps the document with the smallest id of every group; documents without words and rows with
-   a NULL id are no duplicates and stay; rows that repeat an id stay or go together;
+2. MinHash near-dedup judges each row by its own text, whatever its id, and keeps one row of every group: that with the
+   smallest id, a NULL id coming last, and of rows that repeat it the one whose text has the smallest hash; documents
+   without words are no duplicates and stay;
 3. suffix-array dedup takes repeated passages out of the texts; every document stays, and a NULL text is empty then;
 4. secret scans put a mark in place of each secret; every document stays;
 5. packing cuts documents into pieces and places them in sequences.
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import langid, minhash, packing, secret_scan, suffix_dedup
 from tidemark.llm.queries import VOCABULARY
 from tidemark.llm.rows import table
-from tidemark.session import settle
+from tidemark.session import materialize, settle
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,9 +32,16 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    copies = minhash.near_duplicates(docs).where(~F.col("kept")).select("doc_id")
-    # Copies grow with the documents, so they are not broadcast, however few they are.
-    return docs.join(copies.hint("merge"), "doc_id", "left_anti").select(docs.columns)
+    # Ids may be NULL, repeat, or have several texts, so each row gets a number, stored so that it stays the same.
+    number = F.monotonically_increasing_id().alias("row")
+    rows = docs.select(number, F.xxhash64("text").alias("hash"), F.struct(*docs.columns).alias("carried"))
+    rows = materialize(rows, "numbered")
+    groups = minhash.near_duplicates(rows, id_col="row", text_col="carried.text").select("row", "component_id")
+    ids = rows.select("row", "hash", F.col("carried.doc_id").alias("id"))
+    # Rows grow with the documents, so none of this is broadcast.
+    order = F.struct(F.col("id").isNull().alias("last"), "id", "hash", "row")
+    kept = ids.join(groups.hint("merge"), "row").groupBy("component_id").agg(F.min(order).alias("first")).select("first.row")
+    return rows.join(kept.hint("merge"), "row", "left_semi").select("carried.*")
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

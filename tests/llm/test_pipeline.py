@@ -86,3 +86,17 @@ def test_odd_rows(spark, make):
         assert docs.collect() == []
     else:
         assert {1, 5, 6, 10} <= {r["doc_id"] for r in docs.collect()}
+
+
+def test_near_duplicates_are_judged_row_by_row(spark):
+    a, b, c = ("".join(f"{x}{i} " for i in range(40)) for x in "abc")
+    near = a.replace("a39", "other")
+    rows = [(None, c), (None, c), (None, c + "more"), (3, a), (3, a), (7, near), (10, a), (10, b), (11, ""), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    docs = docs.selectExpr("*", "'en' AS lang", "'x' AS row", "0L AS n_chars")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "/none")
+    assert kept.columns == docs.columns
+    found = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    group = [r for r in found if r[1] in (c, c + "more")]
+    assert len(group) == 1
+    assert sorted((r for r in found if r not in group), key=repr) == sorted([(3, a), (10, b), (11, ""), (None, "")], key=repr)
