@@ -3,7 +3,8 @@
 Every stage takes ``(spark, docs, sf_dir)`` with the columns of ``documents`` and gives the same columns, but for the
 last, which gives the pieces of packed sequences. Stages work on all rows of their input:
 
-1. language ID drops documents whose language can't be told (NULL, or without a letter);
+1. language ID drops documents whose language can't be told: NULL, without a letter, or with more bits a byte in their
+   best language than a bound set from the training texts; with nothing to learn from, all texts with a letter stay;
 2. MinHash near-dedup judges each row by its own text, whatever its id, and keeps one row of every group: that with the
    smallest id, a NULL id coming last, and of rows that repeat it the one whose text has the smallest hash; documents
    without words are no duplicates and stay;
@@ -26,8 +27,10 @@ from tidemark.session import materialize, settle
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = langid.train(docs.where(~langid.held_out()))
-    known = langid.predict(docs, model, carry=docs.columns).where(F.col("lang_pred") != langid.UNDETERMINED)
+    model, bound = langid.train_with_bound(docs.where(~langid.held_out()))
+    if not model.languages:
+        return docs.where(langid.has_letter())
+    known = langid.predict(docs, model, carry=docs.columns, bound=bound).where(F.col("lang_pred") != langid.UNDETERMINED)
     return known.select("carried.*")
 
 

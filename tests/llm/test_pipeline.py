@@ -100,3 +100,22 @@ def test_near_duplicates_are_judged_row_by_row(spark):
     group = [r for r in found if r[1] in (c, c + "more")]
     assert len(group) == 1
     assert sorted((r for r in found if r not in group), key=repr) == sorted([(3, a), (10, b), (11, ""), (None, "")], key=repr)
+
+
+def test_language_stage_drops_what_fits_no_language(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    clean = [(10**6, "The thing is that there are others on the other end.", "en", "x", 0), (10**6 + 1, "Ä", "de", "x", 0)]
+    junk = [(None, "#$%^&*() 1203 x )(*&^%$ 98@!~ " * 5, None, "x", 0), (10**6 + 2, "\u4e8e" * 60, None, "x", 0)]
+    kept = corpus_pipeline.identify_language(spark, docs.unionByName(spark.createDataFrame(clean + junk, docs.schema)), "")
+    found = texts(kept)
+    assert found.keys() >= {10**6, 10**6 + 1} | {r["doc_id"] for r in docs.where("text rlike '[a-z]'").collect()}
+    assert not found.keys() & {None, 10**6 + 2}
+
+
+def test_language_stage_with_nothing_to_learn_from(spark):
+    docs = spark.createDataFrame([(1, "some words"), (2, "12 3"), (3, None), (None, "ß")], "doc_id long, text string")
+    docs = docs.selectExpr("*", "cast(NULL AS STRING) AS lang")
+    assert texts(corpus_pipeline.identify_language(spark, docs, "")) == {1: "some words", None: "ß"}
+    # All labelled rows are held out.
+    held = spark.range(100).where(corpus_pipeline.langid.held_out("id")).selectExpr("id AS doc_id", "'a text' AS text", "'en' AS lang")
+    assert corpus_pipeline.identify_language(spark, held, "").count() == held.count() > 0

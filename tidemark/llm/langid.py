@@ -9,7 +9,8 @@ shortest code wins, ties go to the name that sorts first.
 Training takes a bounded sample: of each language about ``max_documents`` documents, those whose hashed id is below a
 bound that follows from their number; whole texts. Prediction reads whole texts of all rows, and nothing but the text.
 
-NULL text, and text without a letter, is ``und`` with score 0, as is everything if there is nothing to learn from.
+NULL text, and text without a letter, is ``und`` with score 0, as is everything if there is nothing to learn from. With
+a bound (:func:`train_with_bound`) so is text that fits no language.
 Rows with a NULL id, text or language are not learned from. Repeated rows get the same prediction; a very long text
 is scored in slices, so memory stays bounded; an empty table gives an empty result.
 """
@@ -23,10 +24,11 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.rows import carried, schema_with, ship, text_or_carried, texts_of, utf8
+from tidemark.session import materialize, scratch_tables
 
 UNDETERMINED = "und"
 ORDER = 3
@@ -37,6 +39,9 @@ HASHES = 1 << 31
 #: Positions scored at once.
 SLICE = 1 << 18
 _LETTER = regex.compile(r"\p{L}")
+#: A text fits while its bits a byte are at most so many times those of the median training text, or no more than its own
+#: eight; a text is judged as if it had at least so many bytes, as a shorter one tells too little.
+TIMES_MEDIAN, OWN_BITS, LEAST_BYTES = 5.0, 8.0, 32
 
 
 @dataclass
@@ -165,6 +170,11 @@ def train(
     What reaches the driver are counts of the sample, bounded by its size and not by the table's.
     """
     ship(labelled.sparkSession)
+    return _count(_sample(labelled, id_col, text_col, lang_col, max_documents))
+
+
+def _sample(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, max_documents: int) -> DataFrame:
+    """What is learned from: ``text``, ``lang`` and ``order``, the hashed id."""
     rows = labelled.select(
         F.col(text_col).cast("string").alias("text"),
         F.col(lang_col).cast("string").alias("lang"),
@@ -175,8 +185,11 @@ def train(
     for lang, total in totals.items():
         bound = int(min(1.0, max_documents / total) * HASHES)
         sample |= (F.col("lang") == lang) & (F.pmod(F.col("order"), F.lit(HASHES)) < bound)
-    if not totals:
-        return Model([], [], [])
+    return rows.where(sample)
+
+
+def _count(rows: DataFrame) -> Model:
+    """The model of a sample."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,7 +207,7 @@ def train(
                 )
 
     found = (
-        rows.where(sample).mapInArrow(count, "lang string, gram long, n long")
+        rows.mapInArrow(count, "lang string, gram long, n long")
         .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
     )
     languages = sorted(found["lang"].unique())
@@ -206,11 +219,67 @@ def train(
     )
 
 
+def train_with_bound(
+    labelled: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+    max_documents: int = 600,
+) -> tuple[Model, float | None]:
+    """The model of :func:`train`, and the most bits a byte that a text may take in its best language.
+
+    Each half of the training texts is coded by what the other half taught, so no text is coded by itself. The bound
+    is five times the median of their bits a byte, so it stays where less than half of them are junk, and never below
+    the eight of a byte on its own. It is None where there is no such text.
+    """
+    spark = labelled.sparkSession
+    ship(spark)
+    half = F.pmod(F.shiftright("order", 33), F.lit(2))
+    with scratch_tables(spark):
+        rows = materialize(_sample(labelled, id_col, text_col, lang_col, max_documents), "training")  # of bounded size
+        model = _count(rows)
+        coded = []
+        for k in (0, 1):
+            other = _count(rows.where(half != k))
+            if other.languages:
+                coded.append(_bits_a_byte(rows.where(half == k), other))
+        if not coded:
+            return model, None
+        median = coded[0].union(coded[-1]).agg(F.median("bits")).first()[0]
+    return model, None if median is None else max(OWN_BITS, TIMES_MEDIAN * median)
+
+
+def _bits_a_byte(rows: DataFrame, model: Model) -> DataFrame:
+    """``bits``: of every text with a letter the bits a byte in its best language."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)  # bounded by the training sample
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t.encode() for t in batch["text"].to_pylist() if _LETTER.search(t)]
+            if texts:
+                bits = _scorer(shared.value).code_lengths(texts).min(axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(bits / [len(t) for t in texts])], names=["bits"])
+
+    return rows.select("text").mapInArrow(code, "bits double")
+
+
+def has_letter(text_col: str = "text") -> Column:
+    return F.coalesce(F.col(text_col).cast("string").rlike(r"\p{L}"), F.lit(False))
+
+
 def predict(
-    documents: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = ()
+    documents: DataFrame,
+    model: Model,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    carry: Sequence[str] = (),
+    bound: float | None = None,
 ) -> DataFrame:
     """One row per document: its id, ``lang_pred``, and ``score``, the probability of that language if all languages
-    are equally likely beforehand. Columns in ``carry`` come along as the struct ``carried``."""
+    are equally likely beforehand. A text that takes more than ``bound`` bits a byte is ``und``. Columns in ``carry``
+    come along as the struct ``carried``."""
     spark = documents.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(model)  # bounded by the training sample
@@ -222,11 +291,15 @@ def predict(
             names, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
             known = [i for i, t in enumerate(texts) if scorer and t and _LETTER.search(t)]
             if known:
-                bits = scorer.code_lengths([texts[i].encode() for i in known])
+                encoded = [texts[i].encode() for i in known]
+                bits = scorer.code_lengths(encoded)
                 best = bits.argmin(axis=1)
+                most = np.array([max(len(t), LEAST_BYTES) for t in encoded]) * (np.inf if bound is None else bound)
+                fits = bits.min(axis=1) <= most
                 share = 1 / np.exp2(np.maximum(bits.min(axis=1, keepdims=True) - bits, -1000)).sum(axis=1)
-                for i, b, s in zip(known, best, share, strict=True):
-                    names[i], scores[i] = scorer.languages[b], float(s)
+                for i, b, s, fit in zip(known, best, share, fits, strict=True):
+                    if fit:
+                        names[i], scores[i] = scorer.languages[b], float(s)
             arrays = [batch["id"], pa.array(names, pa.string()), pa.array(scores, pa.float64())]
             more = [batch["carried"]] if carry else []
             yield pa.RecordBatch.from_arrays(
