@@ -119,3 +119,13 @@ def test_language_stage_with_nothing_to_learn_from(spark):
     # All labelled rows are held out.
     held = spark.range(100).where(corpus_pipeline.langid.held_out("id")).selectExpr("id AS doc_id", "'a text' AS text", "'en' AS lang")
     assert corpus_pipeline.identify_language(spark, held, "").count() == held.count() > 0
+
+
+def test_passages_stage_leaves_replacement_characters(spark):
+    passage = "a passage \ufffd that two documents share, " * 5
+    rows = {1: "clean \ufffd text", 2: passage + "one\ufffd", 3: "two\ufffd" + passage, 4: "\ufffd"}
+    docs = spark.createDataFrame(list(rows.items()), "doc_id long, text string").selectExpr("*", "0L AS n_chars")
+    kept = corpus_pipeline.drop_repeated_passages(spark, docs, "")
+    expected = {k: v[3].decode("utf-8", "ignore") for (k, _), v in test_suffix_dedup.brute_force(rows.items()).items()}
+    assert texts(kept) == expected
+    assert expected[1] == rows[1] and len(expected[3]) < len(rows[3])

@@ -64,6 +64,13 @@ def test_whole_characters(spark):
     assert row["t"] == "éok"
 
 
+def test_replacement_characters_of_the_text_stay(spark):
+    kept = ["a\ufffdb".encode(), b"\x01a\x01b\x01" + "\ufffd\x01".encode(), b"\xa9\xef\xbf\xbd\xe6\xbc", b"\xf0\x9f\xef\xbf\xbd\xc3\xa9\xbd"]
+    rows = spark.createDataFrame([(k,) for k in map(bytearray, kept)], "kept binary")
+    got = [r["t"] for r in rows.select(suffix_dedup.as_text(F_col("kept")).alias("t")).collect()]
+    assert got == [k.decode("utf-8", "ignore") for k in kept]
+
+
 def F_col(name):
     from pyspark.sql import functions as F
 

@@ -406,8 +406,15 @@ def remove_repeats(
 
 
 def as_text(kept: Column) -> Column:
-    """The characters that are whole in ``kept``. U+FFFD takes the place of the others, and is left out."""
-    return F.replace(F.make_valid_utf8(kept.cast("string")), F.lit("\ufffd"), F.lit(""))
+    """The characters that are whole in ``kept``; what is left of others goes. U+FFFD takes its place first, so those that
+    the text itself holds are written as an escape meanwhile."""
+    text = kept.cast("string")
+    for old, new in (("\1", "\1a"), ("\ufffd", "\1b")):
+        text = F.replace(text, F.lit(old), F.lit(new))
+    text = F.make_valid_utf8(text)
+    for old, new in (("\ufffd", ""), ("\1b", "\ufffd"), ("\1a", "\1")):
+        text = F.replace(text, F.lit(old), F.lit(new))
+    return text
 
 
 def _runs(found: pa.StructArray) -> list[tuple[int, int]]:
