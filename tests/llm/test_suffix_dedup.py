@@ -71,6 +71,23 @@ def test_replacement_characters_of_the_text_stay(spark):
     assert got == [k.decode("utf-8", "ignore") for k in kept]
 
 
+def test_texts_whose_hashes_share_half_their_bits(spark):
+    from pyspark.sql import functions as F
+
+    passage = "".join(chr(97 + i * i % 23) for i in range(50)) + " a passage that both of them begin with, and nobody else has it " * 2
+    texts = spark.range(300000).select(F.concat(F.lit(passage), "id").alias("text"))
+    pairs = texts.groupBy(F.shiftright(F.xxhash64("text"), 32)).agg(F.collect_list("text").alias("two")).where("size(two) = 2")
+    for two in [r["two"] for r in pairs.limit(2).collect()]:
+        df = spark.createDataFrame([(None, t) for t in two] + [(None, two[0])], "doc_id long, text string").repartition(3)
+        removed = {}
+        for (_, text), (_, n, _, _) in results(df):
+            removed.setdefault(text, set()).add(n)
+        # One of the two has the passage first; the row that repeats an id and its text is no other document.
+        assert sorted(map(sorted, removed.values()))[0] == [0]
+        assert min(sorted(map(sorted, removed.values()))[1]) >= len(passage)
+    assert pairs.count() > 0
+
+
 def F_col(name):
     from pyspark.sql import functions as F
 

@@ -19,7 +19,7 @@ changes which anchor is chosen, for all documents alike, and never the result.
 
 Earlier means a smaller id, or the same document and an earlier start. NULL text is empty; a NULL id is the smallest
 id. Rows that repeat an id and its text are one document: they don't repeat each other, and get equal results.
-Texts that share an id are told apart by a hash of the text, which also orders them. Strings never cross documents. Each row of the
+Texts that share an id are told apart by a 64-bit hash and their length, which also order them. Strings never cross documents. Each row of the
 input gives one row; an empty table gives none. Memory of a task grows with its longest text.
 """
 
@@ -49,6 +49,9 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BYTE = np.random.default_rng(99).integers(1, 1 << 63, 256, dtype=np.uint64)
 _NO_ID = -(1 << 63)
 TOKENS = ["t0", "t1", "t2", "t3"]
+#: What names a document, none of it ever NULL: the id, a hash of the text, its bytes. With a start it names a place.
+DOCUMENT = ["doc", "h", "size"]
+PLACE = [*DOCUMENT, "start"]
 
 
 class _Hashes:
@@ -141,11 +144,12 @@ def _chunks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
 
 
 def _keyed(documents: DataFrame, id_col: str, text_col: str, carry: Sequence[str] = ()) -> DataFrame:
-    """``doc`` and ``h`` name a document; neither is ever NULL."""
+    """The names of documents (``DOCUMENT``), and ``text``."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     return documents.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("doc"),
-        F.shiftright(F.xxhash64(text), 32).cast("int").alias("h"),
+        F.xxhash64(text).alias("h"),
+        F.octet_length(text).alias("size"),
         text.alias("text"),
         *carried(carry),
     )
@@ -156,7 +160,7 @@ def common_grams(documents: DataFrame) -> np.ndarray:
     total = documents.count()
     share = min(1.0, SAMPLE / max(total, 1))
     bound = int(share * (1 << 31)) if share < 1 else 1 << 32
-    sample = documents.where(F.pmod(F.xxhash64("doc", "h"), F.lit(1 << 31)) < bound).select("text")
+    sample = documents.where(F.pmod(F.xxhash64(*DOCUMENT), F.lit(1 << 31)) < bound).select("text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds, n = [], 0
@@ -175,40 +179,59 @@ def common_grams(documents: DataFrame) -> np.ndarray:
 
 
 def _segments(documents: DataFrame, common: np.ndarray) -> DataFrame:
-    """A row per segment: hashes, document, ``at`` (hash of the text and first start) and ``shape`` (starts after the
-    first, place of the anchor). Repeats within a batch are told at once: their ``gram`` is NULL."""
+    """A row per segment: hashes, document, ``start`` (the first) and ``shape`` (starts after the first, place of the
+    anchor). Repeats within a batch are told at once: their ``gram`` is NULL."""
     shared = documents.sparkSession.sparkContext.broadcast(common)  # of a bounded sample
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, doc = utf8(batch["text"]), longs(batch["doc"])
-            h = batch["h"].to_numpy(zero_copy_only=False).astype(np.int64)
+            texts = utf8(batch["text"])
+            doc, h, size = (longs(batch[c]) for c in DOCUMENT)
             parts = []
             for low, high in _chunks(texts):
                 s = Segments(texts[low:high], shared.value)
                 row = s.row + low
                 parts.append(
-                    (s.gram.view(np.int64), s.content.view(np.int64), doc[row], h[row] << 32 | s.low,
+                    (s.gram.view(np.int64), s.content.view(np.int64), doc[row], h[row], size[row], s.low,
                      (s.high - s.low) << 8 | s.anchor - s.low)
                 )
             if not parts:
                 continue
-            gram, content, doc, at, shape = (np.concatenate(c) for c in zip(*parts, strict=True))
-            order = np.lexsort((at, doc, content, gram))
-            gram, content, doc, at, shape = gram[order], content[order], doc[order], at[order], shape[order]
+            gram, content, *place, shape = (np.concatenate(c) for c in zip(*parts, strict=True))
+            order = np.lexsort((*reversed(place), content, gram))
+            gram, content, shape, place = gram[order], content[order], shape[order], [c[order] for c in place]
             same = np.zeros(len(gram), bool)
             same[1:] = (gram[1:] == gram[:-1]) & (content[1:] == content[:-1])
             # The first of equal ones in this batch may be a repeat of one elsewhere; the others are repeats anyway,
             # unless they are the same place of a row that occurs twice.
             first = np.maximum.accumulate(np.where(same, 0, np.arange(len(same))))
-            copy = same & (doc == doc[first]) & (at == at[first])
+            copy = same & ~_other_place(place, first)
             told = same & ~copy
             keep = ~copy
             gram, content = pa.array(gram[keep], mask=told[keep]), pa.array(content[keep], mask=told[keep])
-            arrays = [gram, content, pa.array(doc[keep]), pa.array(at[keep]), pa.array(shape[keep].astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(arrays, names=["gram", "content", "doc", "at", "shape"])
+            yield pa.RecordBatch.from_arrays(
+                [gram, content, *_place_arrays(place, keep), pa.array(shape[keep].astype(np.int32))],
+                names=["gram", "content", *PLACE, "shape"],
+            )
+
+    return documents.mapInArrow(cut, f"gram long, content long, {_PLACE_SPEC}, shape int")
+
+
+_PLACE_SPEC = "doc long, h long, size int, start int"
+
 
-    return documents.mapInArrow(cut, "gram long, content long, doc long, at long, shape int")
+def _places(rows: pa.Table) -> list[np.ndarray]:
+    return [rows[c].to_numpy() for c in PLACE]
+
+
+def _other_place(place: list[np.ndarray], of: np.ndarray) -> np.ndarray:
+    """Where a place is not that of row ``of``."""
+    return np.logical_or.reduce([c != c[of] for c in place])
+
+
+def _place_arrays(place: list[np.ndarray], rows: np.ndarray) -> list[pa.Array]:
+    kinds = (np.int64, np.int64, np.int32, np.int32)
+    return [pa.array(c[rows].astype(kind, copy=False)) for c, kind in zip(place, kinds, strict=True)]
 
 
 def _meet(segments: DataFrame) -> DataFrame:
@@ -221,44 +244,43 @@ def _meet(segments: DataFrame) -> DataFrame:
             n = table.num_rows
             first = np.zeros(n, bool)
             first[kinds] = True
-            doc, at = table["doc"].to_numpy(), table["at"].to_numpy()
+            place = _places(table)
             of = kinds[np.cumsum(first) - 1]
-            repeat = (doc != doc[of]) | (at != at[of])
+            repeat = _other_place(place, of)
             several = np.repeat(np.add.reduceat(first, grams) > 1, np.diff(np.append(grams, n)))
             keep = np.flatnonzero(repeat | first & several)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(doc[keep]), pa.array(at[keep]), pa.array(table["shape"].to_numpy()[keep]), pa.array(repeat[keep])],
-                names=["doc", "at", "shape", "whole"],
+                [*_place_arrays(place, keep), pa.array(table["shape"].to_numpy()[keep]), pa.array(repeat[keep])],
+                names=[*PLACE, "shape", "whole"],
             )
 
     rows = segments.where(F.col("gram").isNotNull())
-    rows = rows.repartition("gram").sortWithinPartitions("gram", "content", "doc", "at")
-    return rows.mapInArrow(meet, "doc long, at long, shape int, whole boolean")
+    rows = rows.repartition("gram").sortWithinPartitions("gram", "content", *PLACE)
+    return rows.mapInArrow(meet, f"{_PLACE_SPEC}, shape int, whole boolean")
 
 
 def _cut_out(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     """The bytes of segments, with the four tokens of their anchor."""
-    per_document = wanted.groupBy("doc", F.shiftright("at", 32).cast("int").alias("h")).agg(
-        F.collect_list(F.struct("at", "shape")).alias("segments")
-    )
+    per_document = wanted.groupBy(*DOCUMENT).agg(F.collect_list(F.struct("start", "shape")).alias("segments"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, doc = utf8(batch["text"]), batch["doc"].to_numpy()
+            texts = utf8(batch["text"])
             segments = batch["segments"]
             flat, counts = segments.flatten(), np.array(segments.value_lengths())
-            at, shape = flat.field("at").to_numpy(), flat.field("shape").to_numpy().astype(np.int64)
+            low, shape = (flat.field(c).to_numpy().astype(np.int64) for c in ("start", "shape"))
             row = np.repeat(np.arange(batch.num_rows), counts)
-            low, more, anchor = at & 0xFFFFFFFF, shape >> 8, shape & 255
+            more, anchor = shape >> 8, shape & 255
             cuts = [texts[r][a:b] for r, a, b in zip(row.tolist(), low.tolist(), (low + more + LENGTH).tolist(), strict=True)]
             heads = b"".join(c[p : p + ANCHOR] for c, p in zip(cuts, anchor.tolist(), strict=True))
             tokens = np.frombuffer(heads, ">u8").astype(np.uint64).reshape(-1, 4).view(np.int64)
             arrays = [pa.array(np.ascontiguousarray(tokens[:, k])) for k in range(4)]
-            arrays += [pa.array(doc[row]), pa.array(at), pa.array(shape.astype(np.int32)), pa.array(cuts, pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*TOKENS, "doc", "at", "shape", "bytes"])
+            place = [*(longs(batch[c])[row] for c in DOCUMENT), low]
+            arrays += [*_place_arrays(place, slice(None)), pa.array(shape.astype(np.int32)), pa.array(cuts, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*TOKENS, *PLACE, "shape", "bytes"])
 
-    spec = "t0 long, t1 long, t2 long, t3 long, doc long, at long, shape int, bytes binary"
-    return documents.join(per_document, ["doc", "h"]).select("doc", "text", "segments").mapInArrow(cut, spec)
+    spec = f"t0 long, t1 long, t2 long, t3 long, {_PLACE_SPEC}, shape int, bytes binary"
+    return documents.join(per_document, DOCUMENT).select(*DOCUMENT, "text", "segments").mapInArrow(cut, spec)
 
 
 #: Where the tokens of a string begin, those far from the middle first; the last ones overlap.
@@ -291,14 +313,15 @@ def _shared(left: np.ndarray, group: np.ndarray, token: np.ndarray) -> tuple[np.
 
 
 def _sort(cut: DataFrame) -> DataFrame:
-    """Repeats among the suffixes of segments: ``doc``, ``h``, ``low`` and ``high`` (the last start)."""
+    """Repeats among the suffixes of segments: ``DOCUMENT``, ``low`` and ``high`` (the last start)."""
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in sorted_groups(batches, TOKENS):
             groups = group_starts(table, TOKENS)
             n = table.num_rows
             group = np.repeat(np.arange(len(groups)), np.diff(np.append(groups, n)))
-            doc, at, shape = (table[c].to_numpy() for c in ("doc", "at", "shape"))
+            *document, begins = _places(table)
+            begins, shape = begins.astype(np.int64), table["shape"].to_numpy()
             more, anchor = (shape >> 8).astype(np.int64), (shape & 255).astype(np.int64)
             words = _words(table["bytes"].combine_chunks())
             rows, starts = [], []
@@ -312,12 +335,11 @@ def _sort(cut: DataFrame) -> DataFrame:
                 start = np.repeat(first - (np.cumsum(count) - count), count) + np.arange(len(row))
                 equal, number = equal_suffixes(words, row, start, group[row] * 128 + anchor[row] - start)
                 row, start = row[equal], start[equal]
-                order = np.lexsort((at[row] + start, doc[row], number))
+                order = np.lexsort((begins[row] + start, *(c[row] for c in reversed(document)), number))
                 row, start, number = row[order], start[order], number[order]
                 first_of = np.maximum.accumulate(np.where(np.append(True, number[1:] != number[:-1]), np.arange(len(number)), 0)) if len(number) else number
                 # A row that occurs twice gives the same place twice; that is no repeat.
-                place = at[row] + start
-                repeat = (doc[row] != doc[row[first_of]]) | (place != place[first_of])
+                repeat = _other_place([*(c[row] for c in document), begins[row] + start], first_of)
                 rows.append(row[repeat])
                 starts.append(start[repeat])
             row, start = np.concatenate(rows), np.concatenate(starts)
@@ -327,15 +349,14 @@ def _sort(cut: DataFrame) -> DataFrame:
             new[1:] = (row[1:] != row[:-1]) | (start[1:] > start[:-1] + 1)
             begin = np.flatnonzero(new)
             end = np.append(begin[1:], len(row)) - 1 if len(begin) else begin
-            place = at[row[begin]]
+            low = begins[row[begin]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(doc[row[begin]]), pa.array((place >> 32).astype(np.int32)),
-                 pa.array((place & 0xFFFFFFFF) + start[begin]), pa.array((place & 0xFFFFFFFF) + start[end])],
-                names=["doc", "h", "low", "high"],
-            )
+                [*_place_arrays([*document, begins], row[begin])[:-1], pa.array(low + start[begin]), pa.array(low + start[end])],
+                names=[*DOCUMENT, "low", "high"],
+            )
 
     ranged = cut.repartitionByRange(*TOKENS).sortWithinPartitions(*TOKENS)
-    return ranged.mapInArrow(sort, "doc long, h int, low long, high long")
+    return ranged.mapInArrow(sort, "doc long, h long, size int, low long, high long")
 
 
 def _words(column: pa.Array) -> np.ndarray:
@@ -352,20 +373,17 @@ def _words(column: pa.Array) -> np.ndarray:
 
 
 def _repeats(keyed: DataFrame) -> DataFrame:
-    """For each document (``doc``, ``h``) with repeated strings where they start: ``repeats``, of (low, high)."""
+    """For each document (``DOCUMENT``) with repeated strings where they start: ``repeats``, of (low, high)."""
     segments = materialize(_segments(keyed, common_grams(keyed)), "segments")
     told = F.col("gram").isNull()
     met = materialize(_meet(segments), "met")
     sorted_out = _sort(_cut_out(keyed, met.where(~F.col("whole"))))
-    whole = met.where("whole").select("doc", "at", "shape").union(segments.where(told).select("doc", "at", "shape"))
-    low = F.col("at").bitwiseAND(0xFFFFFFFF)
-    repeats = whole.select(
-        "doc",
-        F.shiftright("at", 32).cast("int").alias("h"),
-        low.alias("low"),
-        (low + F.shiftright("shape", 8)).alias("high"),
-    ).unionByName(sorted_out)
-    return repeats.groupBy("doc", "h").agg(F.collect_list(F.struct("low", "high")).alias("repeats"))
+    columns = [*PLACE, "shape"]
+    whole = met.where("whole").select(columns).union(segments.where(told).select(columns))
+    low = F.col("start").cast("long")
+    high = low + F.shiftright("shape", 8)
+    repeats = whole.select(*DOCUMENT, low.alias("low"), high.alias("high")).unionByName(sorted_out)
+    return repeats.groupBy(*DOCUMENT).agg(F.collect_list(F.struct("low", "high")).alias("repeats"))
 
 
 def remove_repeats(
@@ -396,8 +414,8 @@ def remove_repeats(
                 names=["id", "n_bytes", "n_removed", "n_spans", "kept", *more],
             )
 
-    rows = _keyed(documents, id_col, text_col, carry).join(repeats, ["doc", "h"], "left")
-    rows = rows.withColumnRenamed("doc", "id").drop("h")
+    rows = _keyed(documents, id_col, text_col, carry).join(repeats, DOCUMENT, "left")
+    rows = rows.withColumnRenamed("doc", "id").drop("h", "size")
     out = rows.mapInArrow(
         remove, schema_with(rows, "n_bytes long, n_removed long, n_spans long, kept binary")
     )
