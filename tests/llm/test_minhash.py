@@ -77,3 +77,11 @@ def test_odd_rows(spark):
 
 def test_empty_table(spark):
     assert minhash.near_duplicates(no_documents(spark)).collect() == []
+
+
+def test_chance_of_a_missed_link_is_the_documented_one():
+    from math import comb
+
+    missed = sum(comb(minhash.PLACES, k) * 0.25**k * 0.75 ** (minhash.PLACES - k) for k in range(minhash.RADIUS + 1, minhash.PLACES + 1))
+    assert f"{missed:.1e}" == "1.6e-04"
+    assert "1.6e-4" in minhash.__doc__

@@ -2,7 +2,7 @@
 
 A document's signature has the lowest 16 bits of its smallest shingle hash under each of 32 functions. Two sets of
 Jaccard similarity ``J`` agree in each place with chance ``J``, so a pair at 0.75 differs in 8 places on average, and in more
-than 17 with chance 3e-5. The join finds every pair of signatures that differ in at most 17 places: cut into 9
+than 17 with chance 1.6e-4. The join finds every pair of signatures that differ in at most 17 places: cut into 9
 chunks, they differ in at most one place of some chunk, so they agree on that chunk with one place left out. Each
 signature therefore has one key for every chunk and every place that is left out.
 
