@@ -20,7 +20,8 @@ changes which anchor is chosen, for all documents alike, and never the result.
 Earlier means a smaller id, or the same document and an earlier start. NULL text is empty; a NULL id is the smallest
 id. Rows that repeat an id and its text are one document: they don't repeat each other, and get equal results.
 Texts that share an id are told apart by a 64-bit hash and their length, which also order them. Strings never cross documents. Each row of the
-input gives one row; an empty table gives none. Memory of a task grows with its longest text.
+input gives one row; an empty table gives none. Memory of a task grows with its longest text, and with the segments of
+the most frequent anchor that is not common: one task holds them all, about 1.4 KB for each that is sorted.
 """
 
 from __future__ import annotations
