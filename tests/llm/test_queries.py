@@ -9,7 +9,7 @@ from tidemark.llm.queries import ORACLES, QUERIES
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(driver.queries())
-    assert [int(q[2:].split("_")[0]) for q in QUERIES] == list(range(1, 11))
+    assert [int(q[2:].split("_")[0]) for q in QUERIES] == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", list(ORACLES))

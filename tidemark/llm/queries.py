@@ -10,6 +10,8 @@ from tidemark.llm import (
     bpe,
     chat,
     embedding_dedup,
+    fill_middle,
+    filter_audit,
     langid,
     minhash,
     nearest,
@@ -17,6 +19,7 @@ from tidemark.llm import (
     secret_scan,
     suffix_dedup,
     url_filter,
+    warc,
 )
 from tidemark.llm.rows import table
 
@@ -80,6 +83,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digest(fill_middle.fill_in_middle(table(spark, sf_dir, "documents")))
+
+
+def op12_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_bpe": op2_bpe,
@@ -91,6 +106,9 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_language_id": op10_language_id,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_warc_archive": op12_warc_archive,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 _HOST_AND_REST = """
@@ -218,10 +236,82 @@ links AS (
 {_REACHABLE}
 SELECT node AS doc_id, n AS n_shingles, component_id, node = component_id AS kept FROM component JOIN nodes USING (node)"""
 
+_FILL_IN_MIDDLE = r"""
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+         sha256(concat('7:', doc_id)) AS h FROM documents),
+drawn AS (
+  SELECT doc_id, t, u, len(u) AS n,
+         list_transform(range(0, 4), lambda i: CAST('0x' || substr(h, 8 * i + 1, 8) AS BIGINT)) AS h FROM units),
+formed AS (
+  SELECT doc_id, t, u, n, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 100 THEN 'plain'
+              WHEN h[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+parts AS (
+  SELECT doc_id, t, n, form, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m,
+         array_to_string(u[b + 1:], '') AS s FROM formed)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
+FROM parts"""
+
+_WARC_ARCHIVE = """
+WITH hashed AS (SELECT page_id, encode(coalesce(html, '')) AS b, sha1(coalesce(html, '')) AS h FROM pages),
+named AS (
+  SELECT page_id, b, array_to_string(list_transform(range(0, 8), lambda g: array_to_string(list_transform(range(0, 4),
+    lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      CAST((CAST('0x' || substr(h, 5 * g + 1, 5) AS BIGINT) >> (15 - 5 * i)) & 31 AS BIGINT) + 1, 1)), '')), '') AS digest
+  FROM hashed),
+first AS (SELECT *, min(page_id) OVER (PARTITION BY b) AS smallest FROM named)
+SELECT page_id, octet_length(b) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id = smallest THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> smallest THEN smallest END AS refers_to
+FROM first"""
+
+_FILTER_AUDIT = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+judged AS (
+  SELECT doc_id, part, concat(
+    CASE WHEN len(w) < 200 THEN 'A' END, CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' END,
+    CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) THEN 'C' END,
+    CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END,
+    CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' END) AS mask FROM texts),
+known AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY 1),
+masks AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM judged LEFT JOIN known USING (doc_id) GROUP BY 1, 2),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+steps AS (
+  SELECT filter_order, step, substr(filter_order, step, 1) AS f, substr(filter_order, 1, step - 1) AS before
+  FROM (SELECT filter_order, unnest(range(1, 6)) AS step FROM orders)),
+told AS (
+  SELECT part, filter_order, step, f, n, good, toxic, mask, contains(mask, f) AS fails,
+         translate(mask, before, '') = mask AS here FROM masks, steps),
+counted AS (
+  SELECT part, filter_order, CAST(step AS INTEGER) AS step, f, coalesce(sum(n) FILTER (here AND NOT fails), 0) AS kept,
+         coalesce(sum(n) FILTER (here AND fails), 0) AS removed, coalesce(sum(n) FILTER (fails AND NOT here), 0) AS redundant,
+         coalesce(sum(n) FILTER (mask = f), 0) AS unique_fails, coalesce(sum(good) FILTER (here AND fails), 0) AS good_lost,
+         coalesce(sum(toxic) FILTER (here AND fails), 0) AS toxic_lost
+  FROM told GROUP BY ALL)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM counted"""
+
 ORACLES = {
     "op1_suffix_array_dedup": _SUFFIX_DEDUP,
     "op3_embedding_near_dedup": _EMBEDDING_DEDUP,
     "op7_minhash_near_dedup": _NEAR_DEDUP,
     "op6_url_filter": _URL_FILTER,
     "op8_secret_scan": _secret_sql(),
+    "op11_fill_in_middle": _FILL_IN_MIDDLE,
+    "op12_warc_archive": _WARC_ARCHIVE,
+    "op13_filter_audit": _FILTER_AUDIT,
 }
