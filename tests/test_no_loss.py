@@ -6,13 +6,15 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from tidemark.functions.money import rounded_avg, rounded_sum
+from tidemark.functions.money import averaged, guarded_total, rounded_avg, rounded_sum, summed
 from tidemark.operators.history import CURRENT, END, FAR_FUTURE, history_of_every_change, history_of_tracked_columns
-from tidemark.operators.quality import drop, enforce
+from tidemark.operators.quality import drop
 from tidemark.operators.sales import enrich
-from tidemark.sources.files import cast_failures, typed
+from tidemark.sources import tables
+from tidemark.sources.files import cast_failures, stream_parquet, typed
 from tidemark.sources.tables import write_batch
-from tidemark.streaming.queries import append_stream, for_each_batch, store_metrics, total_metrics
+from tidemark.streaming import queries
+from tidemark.streaming.queries import append_stream, append_with_rules, for_each_batch, total_metrics
 
 
 def test_wide_ids_and_counted_casts(spark):
@@ -32,16 +34,23 @@ def test_wide_ids_and_counted_casts(spark):
         ([None], None, None),
         ([1e19, 1.0], 1e19, 5e18),
         ([float("inf"), 1.0], float("inf"), float("inf")),
+        ([1e15] * 10_000, 1e19, 1e15),
+        ([-1e15] * 10_000 + [0.25], -1e19, -999900009999000.1),
     ],
 )
 def test_totals(spark, amounts, total, mean):
     df = spark.createDataFrame([(a,) for a in amounts], "amount DOUBLE")
     assert tuple(df.agg(rounded_sum("amount"), rounded_avg("amount")).first()) == (total, mean)
+    # Totals of totals tell the same.
+    parts = df.groupBy(F.spark_partition_id()).agg(*guarded_total("amount", "t"))
+    assert tuple(parts.agg(summed("t"), averaged("t")).first()) == (total, mean)
 
 
 def test_nan_passes_through(spark):
     df = spark.createDataFrame([(float("nan"),), (1.0,)], "amount DOUBLE")
     assert str(df.agg(rounded_sum("amount")).first()[0]) == "nan"
+    parts = df.groupBy("amount").agg(*guarded_total("amount", "t"))
+    assert [str(v) for v in parts.agg(summed("t"), averaged("t")).first()] == ["nan", "nan"]
 
 
 @pytest.mark.parametrize("rows_per_slice", [2_000_000, 4])
@@ -68,20 +77,71 @@ def _landed(spark, path, files, rows=1):
     return spark.readStream.schema("id LONG").option("maxFilesPerTrigger", 1).parquet(f"{path}/landing")
 
 
+EVEN = [drop("even", "id % 2 = 0")]
+
+
+def _judge(spark, path, stream):
+    build = lambda batch, counts: counts.enforce(batch, EVEN, "numbers")
+    return append_with_rules(stream, build, f"{path}/out", f"{path}/metrics", f"{path}/checkpoint", "numbers")
+
+
+def _judged(spark, path):
+    row = total_metrics(spark, f"{path}/metrics").first()
+    return row["n_rows"], row["n_violations"], sorted(r["id"] for r in spark.read.parquet(f"{path}/out").collect())
+
+
 def test_metrics_of_more_batches_than_spark_reports(spark, tmp_path):
-    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "8")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
     try:
-        rules = [drop("even", "id % 2 = 0")]
-        stream = enforce(_landed(spark, tmp_path, 24, 10), rules, "numbers")
+        stream = _landed(spark, tmp_path, 12, 10)
         for _ in range(2):  # the second run finds nothing new and changes nothing
-            query = append_stream(stream, f"{tmp_path}/out", f"{tmp_path}/checkpoint")
-            store_metrics(query, f"{tmp_path}/metrics", {"numbers": ("numbers", rules)})
-        row = total_metrics(spark, f"{tmp_path}/metrics").first()
-        assert row["n_rows"] == 240 and abs(row["n_violations"] * 2 - row["n_rows"]) <= 2
+            _judge(spark, tmp_path, stream).awaitTermination()
+        assert _judged(spark, tmp_path) == (120, 60, list(range(0, 120, 2)))
     finally:
         spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
 
 
+@pytest.mark.parametrize("place", ["before rows", "before counts", "before publishing", "after publishing"])
+def test_a_stream_killed_inside_a_batch_counts_and_shows_it_once(spark, tmp_path, monkeypatch, place):
+    stream = _landed(spark, tmp_path, 4, 10)
+    store, put, publish, done = queries.store_counts, tables._put, queries.publish_batch, []
+
+    def dies(call, when, after=False):
+        def run(*arguments):
+            if after:
+                call(*arguments)
+            if len(done) == 2:
+                done.append("died")
+                raise RuntimeError("killed " + when)
+            if not after:
+                call(*arguments)
+            done.append(when)
+
+        return run
+
+    with monkeypatch.context() as patch:
+        if place == "before rows":
+            patch.setattr(queries, "publish_batch", dies(publish, place))
+        if place == "before counts":
+            patch.setattr(queries, "store_counts", dies(store, place))
+        if place == "before publishing":
+            patch.setattr(tables, "_put", dies(put, place))
+        if place == "after publishing":
+            patch.setattr(queries, "publish_batch", dies(publish, place, after=True))
+        with pytest.raises(StreamingQueryException, match="killed"):
+            _judge(spark, tmp_path, stream).awaitTermination()
+    # What has appeared is counted, and nothing else has.
+    rows, violations, ids = _judged(spark, tmp_path)
+    assert rows - violations >= len(ids) and len(ids) == len(set(ids))
+    seen = stream_parquet(spark, f"{tmp_path}/out", "id LONG")
+    append_stream(seen, f"{tmp_path}/copy", f"{tmp_path}/copy-checkpoint").awaitTermination()
+    _judge(spark, tmp_path, stream).awaitTermination()
+    assert _judged(spark, tmp_path) == (40, 20, list(range(0, 40, 2)))
+    # A stream that follows the table has seen every row once, whenever it ran.
+    append_stream(seen, f"{tmp_path}/copy", f"{tmp_path}/copy-checkpoint").awaitTermination()
+    assert sorted(r["id"] for r in spark.read.parquet(f"{tmp_path}/copy").collect()) == list(range(0, 40, 2))
+
+
 def test_a_second_checkpoint_is_refused(spark, tmp_path):
     stream = _landed(spark, tmp_path, 2)
 

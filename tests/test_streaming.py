@@ -13,7 +13,9 @@ from tidemark.operators.sales import enrich, returns_transactions, sales_transac
 from tidemark.plans import gold
 from tidemark.plans.star import Star
 from tidemark.session import new_dir
-from tidemark.sources.files import CORRUPT, bronze, read_csv, stream_parquet, typed
+from tidemark.sources.delimited import HEADER as FILE_HEADER
+from tidemark.sources.delimited import malformed_csv, read_csv
+from tidemark.sources.files import CORRUPT, bronze, stream_parquet, typed
 from tidemark.sources.tables import append, write_batch
 from tidemark.streaming import refresh
 from tidemark.streaming.facts import daily_totals, enrich_stream, split_stream

@@ -38,6 +38,21 @@ SCHEMAS = {
     "stores": STORES_DDL,
 }
 
+
+
+def columns_of(ddl: str) -> dict[str, str]:
+    """Names and types, in order, of a schema whose types have no arguments."""
+    return dict(column.split() for column in ddl.split(","))
+
+
+# --- fixed values: the key of each source ----------------------------------------------------------------
+KEYS = {
+    "sales": "transaction_id",
+    "customers": "customer_id",
+    "products": "product_id",
+    "stores": "store_id",
+}
+
 # --- fixed values: quality rules -----------------------------------------------------------------------
 BRONZE_RULES: dict[str, tuple[Rule, ...]] = {
     "sales": (fail("valid_transaction_id", "transaction_id IS NOT NULL"),),

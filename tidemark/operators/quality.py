@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,6 +60,38 @@ def enforce(df: DataFrame, rules: Sequence[Rule], observe: str | Observation | N
     return df
 
 
+class RuleCounts:
+    """Violations in several datasets, counted by the writes that their rows go through, so without another scan."""
+
+    def __init__(self) -> None:
+        self._observed: dict[str, tuple[DataFrame, Sequence[Rule], Observation]] = {}
+
+    def enforce(self, df: DataFrame, rules: Sequence[Rule], dataset: str) -> DataFrame:
+        """:func:`enforce`, counting under the name of the dataset. The rows must be written once, before they are
+        used otherwise: the first job that runs over them is the one that counts."""
+        if not rules:
+            return df
+        counters = Observation()
+        self._observed[dataset] = df, rules, counters
+        return enforce(df, rules, counters)
+
+    def rows(self) -> list[tuple[str, str, str, int, int]]:
+        """The counts so far, after the writes; a handful of numbers per dataset."""
+        found = []
+        for dataset, (df, rules, counters) in self._observed.items():
+            try:
+                seen = counters.get
+            except Py4JJavaError:
+                # Without rows Spark may drop a plan along with its counters; then there is nothing to scan either.
+                found += [tuple(row) for row in rule_metrics(df, dataset, rules).collect()]
+                continue
+            found += [(dataset, r.name, r.action, seen["n_rows"], seen[r.name]) for r in rules]
+        return found
+
+    def frame(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame(self.rows(), METRICS_DDL)
+
+
 def rule_metrics(df: DataFrame, dataset: str, rules: Sequence[Rule]) -> DataFrame:
     """One row per rule with its violation count."""
     return rule_metrics_of(df, {dataset: ("TRUE", rules)})
@@ -83,10 +116,3 @@ def rule_metrics_of(df: DataFrame, datasets: Mapping[str, tuple[str, Sequence[Ru
             )
     return df.agg(*counters).select(F.inline(F.array(*lines)))
 
-
-def metrics_frame(
-    spark: SparkSession, dataset: str, rules: Sequence[Rule], observed: Mapping[str, int]
-) -> DataFrame:
-    """The observed counters of one run (a handful of numbers) in the shape of :func:`rule_metrics`."""
-    rows = [(dataset, r.name, r.action, observed["n_rows"], observed[r.name]) for r in rules]
-    return spark.createDataFrame(rows, METRICS_DDL)

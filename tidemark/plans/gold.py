@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.days import day_by_cast, day_by_truncation, day_by_window
-from tidemark.functions.money import rounded, rounded_avg, rounded_sum, total
+from tidemark.functions.money import averaged, guarded_total, rounded_avg, rounded_sum, summed
 
 
 def _with_names(totals: DataFrame, dimension: DataFrame | None, key: str, **names: str) -> DataFrame:
@@ -66,7 +66,7 @@ def product_day_totals(facts: DataFrame) -> DataFrame:
 
 def _product_sums() -> list[Column]:
     return [
-        total("total_amount").alias("revenue"),
+        *guarded_total("total_amount", "revenue"),
         F.sum("quantity").alias("quantity"),
         F.count("transaction_id").alias("orders"),
     ]
@@ -85,7 +85,7 @@ def product_performance(facts: DataFrame, products: DataFrame | None = None) ->
 
 def product_performance_from(totals: DataFrame) -> DataFrame:
     return totals.groupBy("product_id", "product_name", "product_category").agg(
-        rounded(F.sum("revenue")).alias("total_revenue"),
+        summed("revenue").alias("total_revenue"),
         F.round(F.sum("quantity"), 2).alias("total_quantity_sold"),
         F.sum("orders").alias("total_orders"),
     )
@@ -100,7 +100,7 @@ def product_performance_max_category(facts: DataFrame) -> DataFrame:
     totals = facts.groupBy("product_id", "product_name", "product_category").agg(*_product_sums())
     return totals.groupBy("product_id", "product_name").agg(
         F.max("product_category").alias("product_category"),
-        rounded(F.sum("revenue")).alias("total_revenue"),
+        summed("revenue").alias("total_revenue"),
         F.round(F.sum("quantity"), 2).alias("total_quantity_sold"),
         F.sum("orders").alias("total_orders"),
     )
@@ -123,8 +123,7 @@ def customer_day_totals(facts: DataFrame) -> DataFrame:
     return facts.groupBy(
         day_by_cast().alias("sale_date"), "customer_id", "customer_name", "transaction_id"
     ).agg(
-        total("total_amount").alias("spend"),
-        F.count("total_amount").alias("lines"),
+        *guarded_total("total_amount", "spend"),
         F.min("event_time").alias("first_event"),
         F.max("event_time").alias("last_event"),
     )
@@ -132,9 +131,9 @@ def customer_day_totals(facts: DataFrame) -> DataFrame:
 
 def customer_value_from(totals: DataFrame) -> DataFrame:
     return totals.groupBy("customer_id", "customer_name").agg(
-        rounded(F.sum("spend")).alias("total_spend"),
+        summed("spend").alias("total_spend"),
         F.count_distinct("transaction_id").alias("total_orders"),
         F.min("first_event").cast("date").alias("first_purchase_date"),
         F.max("last_event").cast("date").alias("last_purchase_date"),
-        rounded(F.sum("spend") / F.sum("lines")).alias("avg_order_value"),
+        averaged("spend").alias("avg_order_value"),
     )

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,11 +17,14 @@ from tidemark.model import (
     BRONZE_RULES,
     CLEANED_RULES,
     DIMENSIONS,
+    KEYS,
+    LINEAGE_COLUMNS,
     SCHEMAS,
+    TRANSACTION_RULES,
     Dimension,
 )
 from tidemark.operators.history import history_of_every_change, history_of_tracked_columns
-from tidemark.operators.quality import Rule, enforce, rule_metrics
+from tidemark.operators.quality import Rule, RuleCounts, enforce
 from tidemark.operators.sales import (
     enrich,
     returns_transactions,
@@ -29,7 +33,7 @@ from tidemark.operators.sales import (
     with_sale_day,
 )
 from tidemark.plans import gold
-from tidemark.sources.files import typed
+from tidemark.sources.files import REJECTED, cast_rules, typed_with_rejects, with_lineage
 from tidemark.sources.tables import create_layers, create_view, overwrite_table
 
 SOURCES = ("sales", "customers", "products", "stores")
@@ -52,17 +56,33 @@ class Pipeline:
         return self.spark.table(self.name(layer, table))
 
     def bronze(self, raw: Mapping[str, DataFrame]) -> None:
-        """Typed raw tables; a record without its key stops the load."""
+        """Typed raw tables with lineage, and views of the values that typing rejects; a record without its key stops
+        the load."""
         create_layers(self.spark, self.prefix)
+        counts = RuleCounts()
         for source in SOURCES:
-            rows = enforce(typed(raw[source], SCHEMAS[source]), BRONZE_RULES[source])
-            overwrite_table(rows, self.name("bronze", f"raw_{source}"), f"Raw {source} records")
+            landed = _with_lineage_if_read(raw[source])
+            rows = typed_with_rejects(landed, SCHEMAS[source], keep=LINEAGE_COLUMNS)
+            rows = counts.enforce(rows, cast_rules(SCHEMAS[source]), f"typed_{source}")
+            rows = counts.enforce(rows, BRONZE_RULES[source], f"bronze_{source}")
+            name, key = self.name("bronze", f"raw_{source}"), KEYS[source]
+            overwrite_table(rows, name, f"Raw {source} records")
+            create_view(
+                self.spark,
+                self.name("bronze", f"rejected_{source}"),
+                f"SELECT {key}, inline({REJECTED}) FROM {name} WHERE {REJECTED} IS NOT NULL",
+                f"Values of {source} that do not fit their type",
+            )
+        self._store_counts("bronze", counts)
+
+    def _store_counts(self, layer: str, counts: RuleCounts) -> None:
+        overwrite_table(counts.frame(self.spark).coalesce(1), self.name(layer, "rule_metrics"), f"Rules of the {layer} layer")
 
-    def cleaned(self, source: str, rules: Sequence[Rule] | None = None) -> DataFrame:
-        return enforce(self._shaped(source), CLEANED_RULES[source] if rules is None else rules)
+    def _records(self, source: str) -> DataFrame:
+        return self.table("bronze", f"raw_{source}").drop(REJECTED, *LINEAGE_COLUMNS)
 
     def _shaped(self, source: str) -> DataFrame:
-        rows = self.table("bronze", f"raw_{source}")
+        rows = self._records(source)
         if source == "stores":
             return with_known_manager(rows)
         return with_sale_day(rows) if source == "sales" else rows
@@ -74,8 +94,13 @@ class Pipeline:
 
     def silver(self) -> None:
         """History where only tracked columns open a version, and sales and returns under their rules."""
+        counts = RuleCounts()
         for dimension in DIMENSIONS.values():
-            changes, tie = self._ordered(dimension, self.cleaned(dimension.name))
+            dataset = f"{dimension.name}_cleaned"
+            # Stored once, as history goes over its records more than once.
+            cleaned = counts.enforce(self._shaped(dimension.name), CLEANED_RULES[dimension.name], dataset)
+            cleaned = overwrite_table(cleaned, self.name("silver", dataset), f"Valid records of {dimension.name}")
+            changes, tie = self._ordered(dimension, cleaned)
             versions = history_of_tracked_columns(
                 changes,
                 dimension.keys,
@@ -86,13 +111,16 @@ class Pipeline:
                 ignore_nulls=dimension.ignore_nulls,
             )
             self._store_history(dimension, versions, "__END_AT IS NULL")
-        sales = self.cleaned("sales")
-        overwrite_table(
-            sales_transactions(sales), self.name("silver", "sales_transactions"), "Sales, positive quantity"
-        )
-        overwrite_table(
-            returns_transactions(sales), self.name("silver", "returns_transactions"), "Returned sales"
-        )
+        rules, sales = CLEANED_RULES["sales"], self._shaped("sales")
+        # Both tables are made of the cleaned rows, which are counted by the first write.
+        for kind, transactions, cleaned, comment in (
+            ("sales", sales_transactions, counts.enforce(sales, rules, "sales_cleaned"), "Sales, positive quantity"),
+            ("returns", returns_transactions, enforce(sales, rules), "Returned sales"),
+        ):
+            name = f"{kind}_transactions"
+            rows = counts.enforce(transactions(cleaned, ()), TRANSACTION_RULES, name)
+            overwrite_table(rows, self.name("silver", name), comment)
+        self._store_counts("silver", counts)
 
     def silver_every_change(self, customer_rules: Sequence[Rule] = ADULT_CUSTOMERS) -> None:
         """The simpler history, one version per change record, and sales under the batch rules."""
@@ -100,11 +128,11 @@ class Pipeline:
             rules = customer_rules if dimension.name == "customers" else BATCH_RULES["stores"]
             if dimension.name == "products":
                 rules = BATCH_RULES["products"][:1]
-            changes = enforce(self.table("bronze", f"raw_{dimension.name}"), rules)
+            changes = enforce(self._records(dimension.name), rules)
             changes, tie = self._ordered(dimension, changes)
             versions = history_of_every_change(changes, dimension.keys, dimension.sequence, [tie])
             self._store_history(dimension, versions.drop("__tie"), "__is_current")
-        sales = enforce(self.table("bronze", "raw_sales"), BATCH_RULES["sales"])
+        sales = enforce(self._records("sales"), BATCH_RULES["sales"])
         overwrite_table(sales, self.name("silver", "sales_transactions"), "Sales, positive quantity")
 
     def _store_history(self, dimension: Dimension, versions: DataFrame, open_row: str) -> None:
@@ -134,14 +162,20 @@ class Pipeline:
             overwrite_table(build(facts), self.name("gold", table), comment)
 
     def quality_report(self) -> DataFrame:
-        """Violations per rule over the cleaned datasets."""
-        report = None
-        for source in SOURCES:
-            metrics = rule_metrics(self._shaped(source), f"{source}_cleaned", CLEANED_RULES[source])
-            report = metrics if report is None else report.unionByName(metrics)
-        return report
+        """Rows and violations per rule, as counted by the writes of bronze and silver; casts are rules of ``typed_*``."""
+        return self.table("bronze", "rule_metrics").unionByName(self.table("silver", "rule_metrics"))
 
     def run(self, raw: Mapping[str, DataFrame]) -> None:
         self.bronze(raw)
         self.silver()
         self.gold()
+
+
+def _with_lineage_if_read(df: DataFrame) -> DataFrame:
+    """Lineage columns; a frame that was not read from files has no file."""
+    if set(LINEAGE_COLUMNS) <= set(df.columns):
+        return df
+    try:
+        return with_lineage(df)
+    except AnalysisException:
+        return df.withColumns({"ingest_timestamp": F.current_timestamp(), "source_file_path": F.lit(None).cast("string")})

@@ -17,6 +17,7 @@ from tidemark.model import (
     CLEANED_RULES,
     SALES_DDL,
     SALES_FILE_DDL,
+    SCHEMAS,
     TRANSACTION_RULES,
 )
 from tidemark.operators import checks, history
@@ -38,7 +39,8 @@ from tidemark.streaming import refresh
 from tidemark.streaming.facts import daily_totals, enrich_stream, split_stream
 from tidemark.streaming.history import HistoryTable
 from tidemark.streaming.ingest import ingest_csv, ingest_with_rules, ingested, quarantined
-from tidemark.streaming.queries import append_stream, store_metrics, total_metrics
+from tidemark.streaming.pipeline import StreamingPipeline
+from tidemark.streaming.queries import append_stream, total_metrics
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -313,17 +315,25 @@ def customer_value(star: Star) -> DataFrame:
 
 
 def _bronze(star: Star) -> dict[str, DataFrame]:
+    """Bronze frames of all columns of the model; those that the star has nothing for are NULL."""
     first_load = F.to_timestamp(F.lit("1995-01-01 00:00:00"))
-    return {
+    known = {
         "sales": star.sales(),
         "customers": star.customer_records(),
         "products": star.products().withColumn("last_update_time", first_load),
         "stores": star.stores().withColumn("last_update_time", first_load),
     }
+    return {
+        name: df.select(*[
+            F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in T.StructType.fromDDL(SCHEMAS[name])
+        ])
+        for name, df in known.items()
+    }
 
 
-def _sql_models(star: Star) -> dict[str, DataFrame]:
-    return sql_models.as_views(star.spark, _bronze(star), "tidemark")
+def _sql_model(star: Star, name: str) -> DataFrame:
+    return sql_models.over_frames(star.spark, _bronze(star), name)
 
 
 @report
@@ -351,22 +361,22 @@ def stored_tables(star: Star) -> DataFrame:
 
 @report
 def sql_customer_history(star: Star) -> DataFrame:
-    return _sql_models(star)["silver.customers"]
+    return _sql_model(star, "silver.customers").drop("join_date", "phone_number")
 
 
 @report
 def sql_daily_store_sales(star: Star) -> DataFrame:
-    return _sql_models(star)["gold.daily_sales_by_store"]
+    return _sql_model(star, "gold.daily_sales_by_store")
 
 
 @report
 def sql_product_performance(star: Star) -> DataFrame:
-    return _sql_models(star)["gold.product_performance"]
+    return _sql_model(star, "gold.product_performance")
 
 
 @report
 def sql_customer_value(star: Star) -> DataFrame:
-    return _sql_models(star)["gold.customer_lifetime_value"]
+    return _sql_model(star, "gold.customer_lifetime_value")
 
 
 # --- checks ----------------------------------------------------------------------------------------
@@ -560,9 +570,10 @@ def stream_rule_metrics(star: Star) -> DataFrame:
 def stream_rule_metrics_many_batches(star: Star) -> DataFrame:
     """More micro-batches than a query reports at once."""
     arrivals = _Arrivals(star, star.web_sales(), "many-batches", batches=110)
-    kept = enforce(arrivals.stream(), TRANSACTION_RULES, "web_sales")
-    query = append_stream(kept, arrivals.dir("kept"), arrivals.dir("checkpoint"))
-    store_metrics(query, arrivals.dir("metrics"), {"web_sales": ("web_sales", TRANSACTION_RULES)})
+    ingest_with_rules(
+        arrivals.stream(), "web_sales", TRANSACTION_RULES,
+        arrivals.dir("kept"), arrivals.dir("metrics"), arrivals.dir("checkpoint"),
+    ).awaitTermination()
     return total_metrics(star.spark, arrivals.dir("metrics"))
 
 

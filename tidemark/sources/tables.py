@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,6 +73,51 @@ def write_batch(
     _write_partitions(numbered, path, [*partitions, "batch_id"])
 
 
+def publish_batch(
+    df: DataFrame,
+    path: str,
+    batch_id: int,
+    before: Callable[[], None] | None = None,
+    aside: tuple[str, str] | None = None,
+) -> None:
+    """Append a micro-batch to a table that other streams read: all of it appears at once, and only once.
+
+    Rows are written where no reader looks and then renamed into place, so a repeated batch finds its place taken and
+    writes nothing, and a stream that follows never sees other files of the same rows. ``before`` runs when the rows are
+    written but not yet in place; it may run again after a failure. ``aside`` names a column and another table, which
+    gets the rows that have a value there.
+    """
+    spark = df.sparkSession
+    claim(spark, path)
+    files, place = file_system(spark, f"{path}/batch_id={batch_id}")
+    if files.exists(place):
+        return
+    staged = f"{path}/_staged/batch_id={batch_id}"
+    if aside is None:
+        df.write.mode("overwrite").parquet(staged)
+    else:
+        df.withColumn("_aside", F.col(aside[0]).isNotNull()).write.mode("overwrite").partitionBy("_aside").parquet(staged)
+    if before is not None:
+        before()
+    if aside is not None:
+        _put(spark, f"{staged}/_aside=true", f"{aside[1]}/batch_id={batch_id}")
+        staged = f"{staged}/_aside=false"
+    _put(spark, staged, f"{path}/batch_id={batch_id}")
+
+
+def _put(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder, over what a failed attempt has left; without a source the target is an empty folder."""
+    files, place = file_system(spark, target)
+    _, found = file_system(spark, source)
+    files.delete(place, True)
+    if not files.exists(found):
+        files.mkdirs(place)
+        return
+    files.mkdirs(place.getParent())
+    if not files.rename(found, place):
+        raise RuntimeError(f"could not move {source} to {target}")
+
+
 def claim(spark: SparkSession, path: str) -> None:
     """Let only the running stream's checkpoint write to ``path``. Outside of a stream nothing is claimed."""
     query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")

@@ -52,6 +52,6 @@ def daily_totals(stream: DataFrame, time: str, value: str, *keys: str) -> DataFr
     return (
         stream.withWatermark(time, EVENT_TIME_WATERMARK)
         .groupBy(day_window(time).alias("day_window"), *keys)
-        .agg(F.count(F.lit(1)).alias("n"), total(value).cast("double").alias("total"))
+        .agg(F.count(F.lit(1)).alias("n"), total(value).alias("total"))
         .select(F.col("day_window.start").cast("date").alias("day"), *keys, "n", "total")
     )

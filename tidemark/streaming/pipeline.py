@@ -1,45 +1,56 @@
 """The layered pipeline over streams: landing directories to gold tables, a stage at a time.
 
 Every call of ``run_pending`` takes what has arrived since the last one through all layers. Tables that feed
-another stream are written by the file sink, which records its files and so never shows one twice.
+another stream show a micro-batch whole and once, and its rule counts are stored with it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.model import (
     BRONZE_RULES,
     CLEANED_RULES,
     DIMENSIONS,
+    KEYS,
     LINEAGE_COLUMNS,
     SCHEMAS,
     TRANSACTION_RULES,
 )
-from tidemark.operators.quality import enforce
+from tidemark.operators.quality import Rule, RuleCounts, enforce
 from tidemark.operators.sales import (
     returns_transactions,
     sales_transactions,
     with_known_manager,
     with_sale_day,
 )
-from tidemark.sources.files import bronze, stream_parquet
+from tidemark.sources.delimited import HEADER, parse_by_header, stream_csv_lines
+from tidemark.sources.files import (
+    CORRUPT,
+    REJECTED_DDL,
+    cast_rules,
+    rejects,
+    stream_parquet,
+    typed_with_rejects,
+    with_lineage,
+)
 from tidemark.streaming import refresh
 from tidemark.streaming.facts import enrich_stream
 from tidemark.streaming.history import HistoryTable
-from tidemark.streaming.queries import append_stream, store_metrics, total_metrics
+from tidemark.streaming.queries import append_with_rules, for_each_batch, store_counts, total_metrics
 
 _LINEAGE_DDL = "ingest_timestamp TIMESTAMP, source_file_path STRING"
+Build = Callable[[DataFrame, RuleCounts], DataFrame]
 
 
 class StreamingPipeline:
     """``landing`` maps sales, customers, products and stores to the Parquet directories rows arrive in.
 
-    ``landing_ddl`` overrides the landed schema of a source; its columns are cast to the model's types.
+    ``landing_ddl`` overrides the landed schema of a source; its columns are cast to the model's types. ``formats``
+    says which sources arrive as CSV with a header, whose columns are found by name.
     """
 
     def __init__(
@@ -50,8 +61,10 @@ class StreamingPipeline:
         landing_ddl: Mapping[str, str] | None = None,
         buckets: int = 256,
         max_files_per_trigger: int | None = None,
+        formats: Mapping[str, str] | None = None,
     ):
         self.spark, self.root, self.landing = spark, root, dict(landing)
+        self.formats = dict(formats or {})
         self.landing_ddl = {**SCHEMAS, **(landing_ddl or {})}
         self.max_files = max_files_per_trigger
         self.histories = {
@@ -95,46 +108,76 @@ class StreamingPipeline:
     def _bronze_stream(self, source: str) -> DataFrame:
         return self._stream_of(f"bronze/{source}", f"{SCHEMAS[source]}, {_LINEAGE_DDL}")
 
-    def _finish(self, query: StreamingQuery, **rules) -> None:
-        """Wait for the query; ``rules`` are those of each dataset that it observes under its name."""
-        metrics = {dataset: (dataset, of_dataset) for dataset, of_dataset in rules.items()}
-        store_metrics(query, self.path("metrics"), metrics)
-
     def ingest(self, source: str) -> None:
-        """Typed rows with lineage; a row without its key stops the query."""
-        landed = stream_parquet(
-            self.spark, self.landing[source], self.landing_ddl[source], self.max_files
-        )
-        rules, dataset = BRONZE_RULES[source], f"bronze_{source}"
-        rows = enforce(bronze(landed, SCHEMAS[source]), rules, dataset)
-        query = append_stream(rows, self.path(f"bronze/{source}"), self._checkpoint(dataset))
-        self._finish(query, **{dataset: rules})
+        """Typed rows with lineage and what typing rejected; a row without its key stops the query.
+
+        CSV is read by the names in its headers; malformed lines go to a quarantine table of their own.
+        """
+        ddl, key = self.landing_ddl[source], KEYS[source]
+        casts, rules = cast_rules(SCHEMAS[source]), BRONZE_RULES[source]
+        if self.formats.get(source) == "csv":
+            landed = stream_csv_lines(self.spark, self.landing[source], max_files_per_trigger=self.max_files)
+        else:
+            landed = with_lineage(stream_parquet(self.spark, self.landing[source], ddl, self.max_files))
+
+        def build(batch: DataFrame, counts: RuleCounts) -> DataFrame:
+            kept = list(LINEAGE_COLUMNS)
+            if self.formats.get(source) == "csv":
+                batch, kept = parse_by_header(batch, SCHEMAS[source], [key]), [*kept, CORRUPT, HEADER]
+            rows = typed_with_rejects(batch, SCHEMAS[source], keep=kept)
+            rows = counts.enforce(rows, casts, f"typed_{source}")
+            if CORRUPT in kept:
+                # Malformed lines have no key to judge.
+                rules_here = [Rule(r.name, f"{CORRUPT} IS NOT NULL OR ({r.condition})", r.action) for r in rules]
+                return counts.enforce(rows, rules_here, f"bronze_{source}")
+            return counts.enforce(rows, rules, f"bronze_{source}")
+
+        aside = (CORRUPT, self.path(f"bronze/{source}_malformed")) if self.formats.get(source) == "csv" else None
+        self._append(landed, build, f"bronze/{source}", f"bronze_{source}", aside)
+
+    def _append(self, stream: DataFrame, build: Build, table: str, name: str, aside=None) -> None:
+        append_with_rules(
+            stream, build, self.path(table), self.path("metrics"), self._checkpoint(name), name, aside
+        ).awaitTermination()
+
+    def rejects(self, source: str) -> DataFrame:
+        """(key, column, text): the values that typing turned into NULL."""
+        ddl = f"{SCHEMAS[source]}, {_LINEAGE_DDL}, {REJECTED_DDL}"
+        return rejects(self.spark.read.schema(ddl).parquet(self.path(f"bronze/{source}")), KEYS[source])
+
+    def malformed(self, source: str) -> DataFrame:
+        """Lines of CSV that could not be parsed, with the header of their file and their lineage."""
+        ddl = f"{CORRUPT} STRING, {HEADER} STRING, {_LINEAGE_DDL}"
+        return self.spark.read.schema(ddl).parquet(self.path(f"bronze/{source}_malformed"))
 
     def maintain_history(self, name: str) -> None:
-        changes = self._bronze_stream(name)
-        if name == "stores":
-            changes = with_known_manager(changes)
         rules, dataset = CLEANED_RULES[name], f"{name}_cleaned"
-        # Ingest time and file are left out: they would tell a replayed record from its first copy.
-        content = [c for c in changes.columns if c not in LINEAGE_COLUMNS]
-        cleaned = enforce(changes, rules, dataset).withColumn("record_hash", F.xxhash64(*content))
-        query = self.histories[name].follow(cleaned, self._checkpoint(f"silver_{name}"))
-        self._finish(query, **{dataset: rules})
+
+        def store(batch: DataFrame, batch_id: int) -> None:
+            counts = RuleCounts()
+            changes = with_known_manager(batch) if name == "stores" else batch
+            # Ingest time and file are left out: they would tell a replayed record from its first copy.
+            content = [c for c in changes.columns if c not in LINEAGE_COLUMNS]
+            cleaned = counts.enforce(changes, rules, dataset).withColumn("record_hash", F.xxhash64(*content))
+            self.histories[name].apply(cleaned, batch_id)
+            store_counts(counts, batch.sparkSession, self.path("metrics"), dataset, batch_id)
+
+        checkpoint = self._checkpoint(f"silver_{name}")
+        for_each_batch(self._bronze_stream(name), store, checkpoint).awaitTermination()
 
     def split_sales(self) -> None:
-        """Sales and returns as two queries over one cleaned stream."""
-        cleaned = enforce(
-            with_sale_day(self._bronze_stream("sales")), CLEANED_RULES["sales"], "sales_cleaned"
-        )
+        """Sales and returns as two queries over the cleaned rows, which are counted by the first."""
         for kind, transactions in (("sales", sales_transactions), ("returns", returns_transactions)):
-            dataset = f"{kind}_transactions"
-            rows = transactions(cleaned, observe=dataset)
-            query = append_stream(
-                rows, self.path(f"silver/{dataset}"), self._checkpoint(f"silver_{kind}")
-            )
-            # Both queries see the cleaned rows; they are counted once.
-            cleaned_rules = {"sales_cleaned": CLEANED_RULES["sales"]} if kind == "sales" else {}
-            self._finish(query, **{dataset: TRANSACTION_RULES}, **cleaned_rules)
+
+            def build(batch: DataFrame, counts: RuleCounts, kind=kind, transactions=transactions) -> DataFrame:
+                cleaned = with_sale_day(batch)
+                if kind == "sales":
+                    cleaned = counts.enforce(cleaned, CLEANED_RULES["sales"], "sales_cleaned")
+                else:
+                    cleaned = enforce(cleaned, CLEANED_RULES["sales"])
+                return counts.enforce(transactions(cleaned, ()), TRANSACTION_RULES, f"{kind}_transactions")
+
+            self._append(self._bronze_stream("sales"), build, f"silver/{kind}_transactions", f"silver_{kind}")
 
     def current(self, name: str) -> DataFrame:
         return self.histories[name].current()

@@ -5,14 +5,15 @@ Interval triggers differ in nothing but the trigger, so callers that want a resi
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.quality import METRICS_DDL, Rule
-from tidemark.sources.tables import overwrite_partitions
+from tidemark.operators.quality import RuleCounts
+from tidemark.session import scratch_tables
+from tidemark.sources.tables import overwrite_partitions, publish_batch
 
 PENDING = {"availableNow": True}
 
@@ -45,37 +46,38 @@ def for_each_batch(
     )
 
 
-def store_metrics(
-    query: StreamingQuery, path: str, metrics: Mapping[str, tuple[str, Sequence[Rule]]]
-) -> None:
-    """Wait for a query that runs with ``observe``, and store violations per rule and micro-batch.
+def store_counts(counts: RuleCounts, spark: SparkSession, path: str, stream: str, batch_id: int) -> None:
+    """Store a micro-batch's counts under its stream and number; a repeated batch replaces its first counts."""
+    frame = counts.frame(spark).coalesce(1).withColumns({"stream": F.lit(stream), "batch_id": F.lit(batch_id).cast("long")})
+    overwrite_partitions(frame, path, ["stream", "batch_id"])
 
-    ``metrics`` maps the observed names to (dataset, rules). Spark reports the last hundred micro-batches only, so
-    they are read while the query runs. Rows are stored under the query and the number of the micro-batch, so a
-    repeated one replaces its first count; a query that fails leaves the counts of its finished batches.
+
+def append_with_rules(
+    stream: DataFrame,
+    build: Callable[[DataFrame, RuleCounts], DataFrame],
+    path: str,
+    metrics: str,
+    checkpoint: str,
+    name: str,
+    aside: tuple[str, str] | None = None,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Materialise a stream under its rules as an append table, every row exactly once.
+
+    ``build(batch, counts)`` applies rules by ``counts.enforce``. The counts are stored, under ``name``, with the
+    micro-batch: after its rows are written and before they appear, so whenever the driver dies, the counts of all
+    that has appeared are there, and a repeated batch replaces its own. A violated fail rule stops the query with
+    nothing of that batch in the table. For ``aside`` see :func:`publish_batch`.
     """
-    counted: dict[tuple[str, int], Mapping[str, int]] = {}
-
-    def read() -> None:
-        for progress in query.recentProgress:
-            for name in metrics:
-                if name in progress.observedMetrics:
-                    counted[name, progress.batchId] = progress.observedMetrics[name].asDict()
-
-    try:
-        while not query.awaitTermination(0.3):
-            read()
-    finally:
-        read()
-        rows = [
-            (query.id, batch, dataset, rule.name, rule.action, counts["n_rows"], counts[rule.name])
-            for (name, batch), counts in counted.items()
-            for dataset, rules in [metrics[name]]
-            for rule in rules
-        ]
-        if rows:
-            frame = SparkSession.active().createDataFrame(rows, f"query_id STRING, batch_id BIGINT, {METRICS_DDL}")
-            overwrite_partitions(frame, path, ["query_id", "batch_id"])
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        counts, spark = RuleCounts(), batch.sparkSession
+        with scratch_tables(spark):
+            publish_batch(
+                build(batch, counts), path, batch_id, lambda: store_counts(counts, spark, metrics, name, batch_id), aside
+            )
+
+    return for_each_batch(stream, store, checkpoint, trigger)
 
 
 def total_metrics(spark: SparkSession, path: str) -> DataFrame:
