@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.model import BATCH_RULES, CLEANED_RULES, SALES_DDL, TRANSACTION_RULES
+from tidemark.model import BATCH_RULES, BRONZE_RULES, CLEANED_RULES, SALES_DDL, TRANSACTION_RULES
 from tidemark.plans.star import sql_views
 
 _BIG = "CAST({} AS BIGINT)"
@@ -124,6 +124,7 @@ _TRACKED = _tracked("customer_changes", "customer_id", "change_id", "status", ["
 _SALES_TYPES = {
     part.split()[0]: part.split()[1] for part in SALES_DDL.replace("\n", " ").split(",")
 }
+_RECORDS = {"sales": "raw_sales", "customers": "customer_records", "products": "products", "stores": "known_stores"}
 _BATCH_VALID = _all(BATCH_RULES["sales"])
 
 
@@ -308,6 +309,30 @@ def oracle_sql() -> dict[str, str]:
         " WHERE NOT coalesce(discount_applied < 0, FALSE)"
         " UNION ALL SELECT 'malformed', transaction_id, NULL, NULL, NULL, NULL, NULL FROM raw_sales"
         " WHERE discount_applied < 0",
+        "csv_by_header": "SELECT "
+        + ", ".join(
+            "CASE WHEN transaction_id % 3 <> 2 THEN tax_amount END AS tax_amount" if c == "tax_amount"
+            else f"CAST({c} AS {t}) AS {c}" for c, t in _SALES_TYPES.items()
+        )
+        + " FROM raw_sales WHERE transaction_id % 7 > 0 UNION ALL SELECT "
+        + ", ".join(
+            {"transaction_id": "count(*)", "payment_method": "'store_id,payment_method'"}.get(c, f"CAST(NULL AS {t})")
+            for c, t in _SALES_TYPES.items()
+        )
+        + " FROM raw_sales WHERE transaction_id % 7 = 0",
+        "csv_pipeline_daily_sales": f"SELECT CAST(event_time AS DATE) AS sale_date, store_id, store_name,"
+        f" {_STORE_TOTALS} FROM web_facts GROUP BY 1, 2, 3",
+        "ingest_rejects": "SELECT transaction_id, 'quantity' AS column, 'several' AS text FROM raw_sales"
+        " WHERE discount_applied < 0 UNION ALL SELECT CASE WHEN c.name = 'quantity' THEN"
+        " (SELECT count(*) FROM raw_sales WHERE discount_applied < 0) ELSE 0 END, c.name, NULL"
+        f" FROM (SELECT unnest({list(_SALES_TYPES)}) AS name) c",
+        "metrics_all_rules": " UNION ALL ".join(
+            [line for name, source in _RECORDS.items()
+             for line in _metrics(f"bronze_{name}", source, BRONZE_RULES[name])]
+            + [line for name, source in _RECORDS.items() for line in _metrics(f"{name}_cleaned", source, CLEANED_RULES[name])]
+            + _metrics("sales_transactions", "(SELECT * FROM raw_sales WHERE quantity > 0)", TRANSACTION_RULES)
+            + _metrics("returns_transactions", "(SELECT * FROM raw_sales WHERE quantity < 0)", TRANSACTION_RULES)
+        ),
         "refresh_daily": f"SELECT CAST(event_time AS DATE) AS sale_date, store_id, store_name,"
         f" {_STORE_TOTALS} FROM web_facts GROUP BY 1, 2, 3",
         "refresh_null_day": f"SELECT CAST(event_time AS DATE) AS sale_date, store_id, store_name, {_STORE_TOTALS}"

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +15,7 @@ from tidemark.model import (
     BATCH_RULES,
     BRONZE_RULES,
     CLEANED_RULES,
+    KEYS,
     SALES_DDL,
     SALES_FILE_DDL,
     SCHEMAS,
@@ -30,9 +31,11 @@ from tidemark.operators.sales import (
     with_sale_day,
 )
 from tidemark.plans import gold, sql_models
+from tidemark.plans.pipeline import Pipeline
 from tidemark.plans.star import Star
 from tidemark.session import new_dir, settle
 from tidemark.sources import files
+from tidemark.sources.delimited import malformed_csv, read_csv
 from tidemark.sources.files import CORRUPT, stream_parquet, typed, with_lineage
 from tidemark.sources.tables import LAYERS, create_layers, create_table, overwrite_table, write_batch
 from tidemark.streaming import refresh
@@ -355,8 +358,7 @@ def stored_tables(star: Star) -> DataFrame:
     try:
         return settle(spark, "stored-tables", build)
     finally:
-        for layer in LAYERS:
-            spark.sql(f"DROP DATABASE IF EXISTS {prefix}{layer} CASCADE")
+        _drop_layers(spark, prefix)
 
 
 @report
@@ -600,6 +602,91 @@ def csv_ingest(star: Star) -> DataFrame:
     return good.unionByName(bad)
 
 
+def _land_csv(df: DataFrame, directory: str, key: str, lacking: str) -> None:
+    """Text files of three kinds: columns in order, reversed with names in capitals, and with one of them
+    lacking but one that nobody knows."""
+    texts = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+    capitals = [F.col(c).alias(c.upper()) for c in reversed(df.columns)]
+    others = [F.lit("a, \"quoted\" note").alias("note"), *[c for c in df.columns if c != lacking]]
+    kinds = F.pmod(F.col(key).cast("bigint"), F.lit(3))
+    for kind, columns in enumerate((df.columns, capitals, others)):
+        part = texts.where(kinds == kind).select(*columns)
+        part.write.mode("append").option("header", True).option("escape", '"').csv(directory)
+
+
+@report
+def csv_by_header(star: Star) -> DataFrame:
+    """Sales from files whose headers differ, and lines of files without the key, which are counted."""
+    root, fields = new_dir(star.spark, "csv-by-header"), T.StructType.fromDDL(SALES_DDL).names
+    sales = star.sales().select(*fields)
+    _land_csv(sales.where("transaction_id % 7 > 0"), f"{root}/landing", "transaction_id", "tax_amount")
+    unknown = sales.where("transaction_id % 7 = 0").selectExpr("cast(store_id AS STRING) AS store_id", "payment_method")
+    unknown.write.mode("append").option("header", True).csv(f"{root}/landing")
+    rows = read_csv(star.spark, f"{root}/landing", SALES_DDL, ["transaction_id"])
+    left = malformed_csv(star.spark, f"{root}/landing", SALES_DDL, ["transaction_id"])
+    lines = left.groupBy("_header").agg(F.count(F.lit(1)).alias("transaction_id"))
+    lines = lines.select("transaction_id", *[
+        F.col("_header").alias(c) if c == "payment_method" else F.lit(None).cast(rows.schema[c].dataType).alias(c)
+        for c in fields[1:]
+    ])
+    return rows.unionByName(lines)
+
+
+def _csv_pipeline(star: Star, sources: Mapping[str, tuple[DataFrame, str]]) -> StreamingPipeline:
+    """The streaming pipeline over CSV files of all sources, given as frames and the column that some files lack."""
+    root = new_dir(star.spark, "csv-pipeline")
+    landing = {name: f"{root}/landing/{name}" for name in sources}
+    for name, (df, lacking) in sources.items():
+        _land_csv(df, landing[name], KEYS[name], lacking)
+    formats = {name: "csv" for name in sources}
+    buckets = star.spark.sparkContext.defaultParallelism
+    return StreamingPipeline(star.spark, f"{root}/lake", landing, buckets=buckets, formats=formats)
+
+
+@report
+def csv_pipeline_daily_sales(star: Star) -> DataFrame:
+    """Daily store sales at the end of all layers over streams of CSV files."""
+    lacking = {"sales": "tax_amount", "customers": "email", "products": "size", "stores": "phone_number"}
+    bronze = _bronze(star) | {"sales": star.web_sales()}
+    pipeline = _csv_pipeline(star, {name: (bronze[name], lacking[name]) for name in SCHEMAS})
+    pipeline.run_pending()
+    return pipeline.gold["daily_sales_by_store"].read()
+
+
+@report
+def ingest_rejects(star: Star) -> DataFrame:
+    """The values that typing could not keep, with their texts, and how many there are in each column."""
+    sales = _with_words(star.sales()).select(*T.StructType.fromDDL(SALES_DDL).names)
+    pipeline = _csv_pipeline(star, {"sales": (sales, "tax_amount")})
+    pipeline.ingest("sales")
+    counts = pipeline.quality_report().where("dataset = 'typed_sales'")
+    return pipeline.rejects("sales").unionByName(counts.select(
+        F.col("n_violations").alias("transaction_id"), F.col("rule").alias("column"), F.lit(None).cast("string").alias("text")
+    ))
+
+
+@report
+def metrics_all_rules(star: Star) -> DataFrame:
+    """Rows and violations of every rule of the model, counted by the writes of the batch pipeline."""
+    prefix = f"rules_{uuid.uuid4().hex[:12]}_"
+
+    def build() -> DataFrame:
+        pipeline = Pipeline(star.spark, prefix)
+        pipeline.bronze(_bronze(star))
+        pipeline.silver()
+        return pipeline.quality_report().where("dataset NOT LIKE 'typed%'")
+
+    try:
+        return settle(star.spark, "all-rules", build)
+    finally:
+        _drop_layers(star.spark, prefix)
+
+
+def _drop_layers(spark: SparkSession, prefix: str) -> None:
+    for layer in LAYERS:
+        spark.sql(f"DROP DATABASE IF EXISTS {prefix}{layer} CASCADE")
+
+
 def _refreshed(
     star: Star,
     table: Callable[[SparkSession, str, str], refresh.FreshTable],
