@@ -156,6 +156,7 @@ def test_repeated_batch_replaces_its_first_attempt(spark, tmp_path):
     [
         (refresh.daily_store_sales, gold.daily_store_sales),
         (refresh.product_performance, gold.product_performance),
+        (refresh.product_performance_max_category, gold.product_performance_max_category),
         (refresh.customer_value, gold.customer_value),
     ],
 )
@@ -179,6 +180,113 @@ def test_refresh_recomputes_touched_days_only(spark, testdata, tmp_path, make, w
     assert before and before == set(glob.glob(f"{tmp_path}/gold/days/sale_date=2024-01-0*/*.parquet"))
 
 
+FACT_DDL = (
+    "transaction_id LONG, event_time TIMESTAMP, customer_id LONG, customer_name STRING, product_id LONG, product_name STRING,"
+    " product_category STRING, quantity LONG, total_amount DOUBLE, sale_date DATE"
+)
+
+
+def fact(i, day, key, category="a", amount=10.0):
+    at = None if day is None else datetime(2024, 3, day, 12)
+    return (i, at, key, f"c{key}", key, f"p{key}", category, 1, amount, None if day is None else at.date())
+
+
+def files_of(path):
+    return {(f, os.stat(f).st_mtime_ns) for f in glob.glob(f"{path}/**/*.parquet", recursive=True)}
+
+
+@pytest.mark.parametrize("name, key", [("customer_value", "customer_id"), ("product_performance_max_category", "product_id")])
+def test_untouched_buckets_keep_their_files(spark, tmp_path, name, key):
+    fresh = getattr(refresh, name)(spark, f"{tmp_path}/facts", f"{tmp_path}/gold")
+    facts = spark.createDataFrame([fact(i, 1 + i % 3, i % 40) for i in range(400)], FACT_DDL)
+    write_batch(facts, f"{tmp_path}/facts", 0, ["sale_date"])
+    fresh.refresh()
+    before = files_of(f"{tmp_path}/gold/table")
+    more = spark.createDataFrame([fact(1000, 2, 7, "z", 5.0), fact(1001, None, 7, None, None)], FACT_DDL)
+    write_batch(more, f"{tmp_path}/facts", 1, ["sale_date"])
+    assert fresh.refresh() == [None, date(2024, 3, 2)]
+    after = files_of(f"{tmp_path}/gold/table")
+    assert len(before - after) == len(after - before) == 1 and len(before) > 20
+    same(fresh.read(), getattr(gold, name)(facts.union(more)))
+    # The scan of rows by day for one bucket skips the others by the statistics of the sorted files.
+    scan = spark.read.parquet(f"{tmp_path}/gold/days").filter(F.col("bucket").isin([1]))
+    assert "In(bucket, [1])" in scan._jdf.queryExecution().executedPlan().toString() or "EqualTo(bucket,1)" in (
+        scan._jdf.queryExecution().executedPlan().toString()
+    )
+
+
+def test_largest_category_goes_down_and_rows_go_away(spark, tmp_path):
+    fresh = refresh.product_performance_max_category(spark, f"{tmp_path}/facts", f"{tmp_path}/gold")
+    rows = [fact(1, 1, 1, "a"), fact(2, 2, 1, "z"), fact(3, 2, 2, "b"), fact(4, 3, 3, "b"), fact(5, 3, 1, "b")]
+    write_batch(spark.createDataFrame(rows, FACT_DDL), f"{tmp_path}/facts", 0, ["sale_date"])
+    fresh.refresh()
+    assert {r["product_id"]: r["product_category"] for r in fresh.read().collect()} == {1: "z", 2: "b", 3: "b"}
+    # The second day is rewritten without the first product's largest category, and without the second product.
+    write_batch(spark.createDataFrame([fact(6, 2, 4, "c")], FACT_DDL), f"{tmp_path}/facts", 0, ["sale_date"])
+    assert fresh.refresh() == []
+    assert fresh.refresh([date(2024, 3, 2)]) == [date(2024, 3, 2)]
+    assert {r["product_id"]: r["product_category"] for r in fresh.read().collect()} == {1: "b", 3: "b", 4: "c"}
+
+
+def test_refresh_that_died_is_repeated(spark, tmp_path, monkeypatch):
+    fresh = refresh.customer_value(spark, f"{tmp_path}/facts", f"{tmp_path}/gold")
+    facts = [spark.createDataFrame([fact(10 * b + i, 1 + i % 2, i) for i in range(10)], FACT_DDL) for b in range(3)]
+    with monkeypatch.context() as patch:
+        patch.setattr(refresh, "append", lambda *_: 1 / 0)
+        write_batch(facts[0], f"{tmp_path}/facts", 0, ["sale_date"])
+        with pytest.raises(ZeroDivisionError):
+            fresh.refresh()
+    write_batch(facts[1], f"{tmp_path}/facts", 1, ["sale_date"])
+    fresh.refresh()
+    same(fresh.read(), gold.customer_value(facts[0].union(facts[1])))
+
+
+def write_csv(path, text):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_bytes(text.encode("utf-8-sig" if "bom" in path.name else "utf-8"))
+
+
+def test_csv_is_read_by_the_names_in_its_headers(spark, tmp_path):
+    ddl = "id LONG, name STRING, price DOUBLE, at TIMESTAMP"
+    files = {
+        "order.csv": "id,name,price,at\n1,a,1.5,2024-03-01 10:00:00\n",
+        "bom.csv": '\n"At", Price ,NAME,ID\r\n2024-03-02 00:00:00,2.5,"b, ""c""",2\r\n',
+        "lacking.csv": "name,id\nd,3\n\n  \n,4\n",
+        "more.csv": "city,id,country,name\nX,5,Y,e\nid\nX,6,Y,f,extra\n\"open,7,Y,g\n",
+        "no_key.csv": "name,price\nh,1\nname,price\ni,2\n",
+        "twice.csv": "id,name,id\n8,j,8\n",
+        "header_only.csv": "id,name\n",
+        "empty.csv": "",
+        "words.csv": "id,price\n9,cheap\n10,3\n",
+    }
+    for name, text in files.items():
+        write_csv(tmp_path / "in" / name, text)
+    rows = read_csv(spark, f"{tmp_path}/in", ddl, ["id"])
+    assert [tuple(r) for r in rows.orderBy("id").collect()] == [
+        (1, "a", 1.5, datetime(2024, 3, 1, 10)), (2, 'b, "c"', 2.5, datetime(2024, 3, 2)), (3, "d", None, None),
+        (4, None, None, None), (5, "e", None, None), (9, None, None, None), (10, None, 3.0, None),
+    ]
+    left = malformed_csv(spark, f"{tmp_path}/in", ddl, ["id"]).select(CORRUPT, FILE_HEADER).collect()
+    assert sorted(map(tuple, left)) == [
+        ('"open,7,Y,g', "city,id,country,name"), ("8,j,8", "id,name,id"), ("X,6,Y,f,extra", "city,id,country,name"),
+        ("h,1", "name,price"), ("i,2", "name,price"), ("id", "city,id,country,name"),
+    ]
+
+
+def test_headers_hold_for_all_blocks_of_a_file(spark, tmp_path):
+    lines = "".join(f"{i * 2},n{i},{i}\n" for i in range(20_000))
+    write_csv(tmp_path / "in" / "a.csv", "price,name,id\n" + lines)
+    write_csv(tmp_path / "in" / "b.csv", "id,price\n" + "".join(f"{i},{i * 2}\n" for i in range(20_000, 40_000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        rows = read_csv(spark, f"{tmp_path}/in", "id LONG, name STRING, price DOUBLE", ["id"])
+        assert rows.rdd.getNumPartitions() > 10
+        got = rows.agg(F.count("id"), F.count("name"), F.sum("id"), F.count_if(F.col("price") == F.col("id") * 2)).first()
+        assert tuple(got) == (40_000, 20_000, sum(range(40_000)), 40_000)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_window_waits_for_the_watermark(spark, tmp_path):
     ddl = "at TIMESTAMP, k STRING, value DOUBLE"
 

@@ -97,7 +97,12 @@ def product_performance_max_category(facts: DataFrame) -> DataFrame:
     Grouping by category first leaves the maximum of a string, which Spark aggregates by sorting, to a few
     rows per product.
     """
-    totals = facts.groupBy("product_id", "product_name", "product_category").agg(*_product_sums())
+    return product_performance_max_category_from(
+        facts.groupBy("product_id", "product_name", "product_category").agg(*_product_sums())
+    )
+
+
+def product_performance_max_category_from(totals: DataFrame) -> DataFrame:
     return totals.groupBy("product_id", "product_name").agg(
         F.max("product_category").alias("product_category"),
         summed("revenue").alias("total_revenue"),

@@ -340,6 +340,21 @@ def oracle_sql() -> dict[str, str]:
         " FROM web_facts) GROUP BY 1, 2, 3",
         "refresh_products": "SELECT product_id, product_name, product_category,"
         f" {_PRODUCT_TOTALS} FROM web_facts GROUP BY 1, 2, 3",
+        "refresh_products_maxcat": "SELECT product_id, product_name,"
+        f" MAX(product_category) AS product_category, {_PRODUCT_TOTALS} FROM web_facts GROUP BY 1, 2",
+        "refresh_odd_amounts": " UNION ALL ".join(
+            f"SELECT '{name}' AS table_name, key, CASE WHEN NOT odd THEN total END AS total, odd FROM (SELECT {key} AS key,"
+            f" count(*) FILTER (transaction_id % 97 = 0 OR transaction_id % 89 = 0) > 0 AS odd, {total} AS total"
+            f" FROM web_facts GROUP BY {groups})"
+            for name, key, total, groups in (
+                ("daily", "concat(CAST(event_time AS DATE), ' ', store_id)", _MONEY.format("total_amount"),
+                 "CAST(event_time AS DATE), store_id"),
+                *((name, "CAST(product_id AS VARCHAR)", _MONEY.format("total_amount"), "product_id")
+                  for name in ("products", "products by category", "batch by category")),
+                ("customers", "CAST(customer_id AS VARCHAR)", _MONEY.format("total_amount"), "customer_id"),
+                ("averages", "CAST(customer_id AS VARCHAR)", _MONEY_AVG.format("total_amount"), "customer_id"),
+            )
+        ),
         "refresh_customers": f"SELECT customer_id, customer_name, {_CUSTOMER_TOTALS} FROM web_facts"
         " GROUP BY 1, 2",
     }

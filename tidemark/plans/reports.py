@@ -602,15 +602,15 @@ def csv_ingest(star: Star) -> DataFrame:
     return good.unionByName(bad)
 
 
-def _land_csv(df: DataFrame, directory: str, key: str, lacking: str) -> None:
-    """Text files of three kinds: columns in order, reversed with names in capitals, and with one of them
-    lacking but one that nobody knows."""
+def _land_csv(df: DataFrame, directory: str, key: str, lacking: str, kinds: int = 3) -> None:
+    """Text files of up to three kinds: with one column lacking and one that nobody knows, reversed with names in
+    capitals, and in order."""
     texts = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
     capitals = [F.col(c).alias(c.upper()) for c in reversed(df.columns)]
     others = [F.lit("a, \"quoted\" note").alias("note"), *[c for c in df.columns if c != lacking]]
-    kinds = F.pmod(F.col(key).cast("bigint"), F.lit(3))
-    for kind, columns in enumerate((df.columns, capitals, others)):
-        part = texts.where(kinds == kind).select(*columns)
+    kind = F.pmod(F.col(key).cast("bigint"), F.lit(3))
+    for i, columns in enumerate((others, capitals, df.columns)[:kinds]):
+        part = texts.where(kind == 2 - i if kinds == 3 else F.lit(True)).select(*columns)
         part.write.mode("append").option("header", True).option("escape", '"').csv(directory)
 
 
@@ -637,7 +637,7 @@ def _csv_pipeline(star: Star, sources: Mapping[str, tuple[DataFrame, str]]) -> S
     root = new_dir(star.spark, "csv-pipeline")
     landing = {name: f"{root}/landing/{name}" for name in sources}
     for name, (df, lacking) in sources.items():
-        _land_csv(df, landing[name], KEYS[name], lacking)
+        _land_csv(df, landing[name], KEYS[name], lacking, 3 if name == "sales" else 1)
     formats = {name: "csv" for name in sources}
     buckets = star.spark.sparkContext.defaultParallelism
     return StreamingPipeline(star.spark, f"{root}/lake", landing, buckets=buckets, formats=formats)
@@ -726,3 +726,46 @@ def refresh_products(star: Star) -> DataFrame:
 @report
 def refresh_customers(star: Star) -> DataFrame:
     return _refreshed(star, refresh.customer_value)
+
+
+@report
+def refresh_products_maxcat(star: Star) -> DataFrame:
+    return _refreshed(star, refresh.product_performance_max_category)
+
+
+# Amounts without a decimal form, and amounts whose sum overflows 64 bits.
+_ODD_AMOUNT = "CASE WHEN transaction_id % 97 = 0 THEN double('NaN') WHEN transaction_id % 89 = 0 THEN 1e18D ELSE total_amount END"
+
+
+def _told(name: str, key: str, of: str) -> Callable[[DataFrame], DataFrame]:
+    """(table_name, key, total, odd) of a table; a total that is no number is NULL and odd."""
+    odd = F.isnan(of) | (F.abs(of) > 1e15)
+    return lambda df: df.select(
+        F.lit(name).alias("table_name"), F.expr(key).alias("key"), F.when(~odd, F.col(of)).alias("total"),
+        F.coalesce(odd, F.lit(False)).alias("odd"),
+    )
+
+
+@report
+def refresh_odd_amounts(star: Star) -> DataFrame:
+    """All refreshed tables, and the batch form by largest category, over amounts that are NaN or huge."""
+    facts = enrich(sales_transactions(star.web_sales()), star.stores(), star.customers(), star.products())
+    facts = facts.withColumns({"total_amount": F.expr(_ODD_AMOUNT), "sale_date": F.to_date("event_time")})
+    root = new_dir(star.spark, "odd-amounts")
+    tables = {
+        "daily": (refresh.daily_store_sales, "concat(sale_date, ' ', store_id)", "total_revenue"),
+        "products": (refresh.product_performance, "string(product_id)", "total_revenue"),
+        "products by category": (refresh.product_performance_max_category, "string(product_id)", "total_revenue"),
+        "customers": (refresh.customer_value, "string(customer_id)", "total_spend"),
+        "averages": (refresh.customer_value, "string(customer_id)", "avg_order_value"),
+    }
+    fresh = {name: make(star.spark, f"{root}/facts", f"{root}/{name}") for name, (make, _, _) in tables.items() if name != "averages"}
+    fresh["averages"] = fresh["customers"]
+    for batch_id, part in enumerate(("unit_price < 50", "unit_price >= 50")):
+        write_batch(facts.filter(part), f"{root}/facts", batch_id, ["sale_date"])
+        for table in fresh.values():
+            table.refresh()
+    told = [_told(name, key, of)(fresh[name].read()) for name, (_, key, of) in tables.items()]
+    whole = gold.product_performance_max_category(facts)
+    told.append(_told("batch by category", "string(product_id)", "total_revenue")(whole))
+    return reduce(DataFrame.unionByName, told)

@@ -8,7 +8,8 @@ comes out once.
 
 Lines are read as text, and files may be split over tasks. The header of a file is the first line of its first block. A
 table of headers, one row per file, is stored and joined with the lines; Spark broadcasts it below its size threshold,
-and otherwise shuffles, splitting large files. As header names are found by splitting at commas, they can't hold one.
+and otherwise shuffles, splitting large files. As header names are found by splitting at commas, they can't hold one. A quote
+inside quotes is doubled, and no line end may be inside them.
 """
 
 from __future__ import annotations
@@ -58,7 +59,7 @@ def file_headers(lines: DataFrame, columns: Sequence[str], required: Sequence[st
     first = lines.where((F.col(BLOCK) == 0) & (F.trim(LINE) != "")).withColumn("at", F.monotonically_increasing_id())
     heads = first.groupBy("source_file_path").agg(F.min_by(LINE, "at").alias(HEADER))
     bare = F.regexp_replace(F.lower(HEADER), "[\\uFEFF\"]", "")
-    heads = heads.withColumn("names", F.transform(F.split(bare, ","), F.trim))
+    heads = heads.withColumn("names", F.transform(F.split(bare, ","), lambda name: F.trim(name)))
     known = F.size(F.array_distinct("names")) == F.size("names")
     for column in required:
         known = known & F.array_contains("names", column.lower())
@@ -73,7 +74,7 @@ def _fields(widths: Sequence[int]) -> tuple[list[Column], Column, Column]:
     parsed, fields, bad = [], F.lit(None).cast("array<string>"), F.lit(None).cast("string")
     for n in widths:
         schema = ", ".join(f"_{i} STRING" for i in range(n)) + f", {CORRUPT} STRING"
-        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "escape": '"'}
         parsed.append(F.when(F.col("width") == n, F.from_csv(LINE, schema, options)).alias(f"_parsed{n}"))
         record = F.col(f"_parsed{n}")
         fields = F.when(F.col("width") == n, F.array(*[record[f"_{i}"] for i in range(n)])).otherwise(fields)

@@ -50,13 +50,18 @@ def _write_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> No
     )
 
 
-def overwrite_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> None:
+def overwrite_partitions(
+    df: DataFrame, path: str, partitions: Sequence[str], sort_by: Sequence[str] = ()
+) -> None:
     """Replace exactly the partitions that occur in ``df``; all others stay.
 
     Rebalancing gives each partition few files, and lets Spark split a partition that is much larger than
-    the others over several tasks.
+    the others over several tasks. Sorted files let scans for some values of ``sort_by`` skip the rest of them.
     """
-    _write_partitions(df.hint("rebalance", *partitions), path, partitions)
+    rows = df.hint("rebalance", *partitions)
+    if sort_by:
+        rows = rows.sortWithinPartitions(*partitions, *sort_by)
+    _write_partitions(rows, path, partitions)
 
 
 def write_batch(
