@@ -300,6 +300,17 @@ def oracle_sql() -> dict[str, str]:
         " CAST(event_time AS DATE) AS date, abs(quantity) AS n, abs(total_amount) AS amount"
         f" FROM web_sales WHERE quantity <> 0 AND {_VALID}",
         "stream_enriched_facts": "SELECT *, CAST(event_time AS DATE) AS sale_date FROM web_facts",
+        "stream_facts_repaired": "SELECT *, CAST(event_time AS DATE) AS sale_date FROM web_facts",
+        "stream_latest": "SELECT * EXCLUDE (r) FROM (SELECT *, row_number() OVER (PARTITION BY customer_id"
+        " ORDER BY changed_at DESC, change_id DESC) AS r FROM customer_changes) WHERE r = 1",
+        # Rows of the first week that come last are late, as are all days that an event of a later day has closed.
+        "stream_daily_store_sales": "SELECT CAST(event_time AS DATE) AS sale_date, store_id,"
+        f" {_STORE_TOTALS.replace('total_amount', 'amount').replace('(transaction_id', '(counted')}, count(*) - count(counted) AS n_late FROM"
+        " (SELECT event_time, store_id, CASE WHEN on_time THEN transaction_id END AS counted, CASE WHEN on_time THEN"
+        " total_amount END AS amount, CASE WHEN on_time THEN quantity END AS quantity, CASE WHEN on_time THEN customer_id END"
+        " AS customer_id FROM (SELECT *, NOT (day(event_time) <= 7 AND transaction_id % 10 = 0) AS on_time FROM web_sales))"
+        " GROUP BY 1, 2 HAVING CAST(CAST(event_time AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY"
+        " <= (SELECT MAX(event_time) FROM web_sales) - INTERVAL 10 MINUTE",
         "stream_rule_metrics": " UNION ALL ".join(_metrics("web_sales", "web_sales", TRANSACTION_RULES)),
         "stream_rule_metrics_many_batches": " UNION ALL ".join(
             _metrics("web_sales", "web_sales", TRANSACTION_RULES)

@@ -39,9 +39,18 @@ from tidemark.sources.delimited import malformed_csv, read_csv
 from tidemark.sources.files import CORRUPT, stream_parquet, typed, with_lineage
 from tidemark.sources.tables import LAYERS, create_layers, create_table, overwrite_table, write_batch
 from tidemark.streaming import refresh
-from tidemark.streaming.facts import daily_totals, enrich_stream, split_stream
+from tidemark.streaming.facts import (
+    count_arrivals,
+    daily_store_sales_stream,
+    daily_totals,
+    enrich_stream,
+    late_rows,
+    repair_facts,
+    split_stream,
+)
 from tidemark.streaming.history import HistoryTable
 from tidemark.streaming.ingest import ingest_csv, ingest_with_rules, ingested, quarantined
+from tidemark.streaming.latest import LatestTable
 from tidemark.streaming.pipeline import StreamingPipeline
 from tidemark.streaming.queries import append_stream, total_metrics
 
@@ -558,6 +567,55 @@ def stream_enriched_facts(star: Star) -> DataFrame:
     return arrivals.written("facts").drop("batch_id")
 
 
+@report
+def stream_facts_repaired(star: Star) -> DataFrame:
+    """Facts whose stores and products come later than the facts, with the names filled in afterwards."""
+    arrivals = _Arrivals(star, star.web_sales(), "repaired")
+    early = {
+        "stores": star.stores().where("store_id % 2 = 0"),
+        "customers": star.customers(),
+        "products": star.products().where("product_id % 3 > 0"),
+    }
+    enrich_stream(
+        sales_transactions(arrivals.stream()), lambda: early, arrivals.dir("facts"), arrivals.dir("checkpoint")
+    ).awaitTermination()
+    whole = {"stores": star.stores(), "customers": star.customers(), "products": star.products()}
+    repair_facts(star.spark, arrivals.dir("facts"), whole)
+    return arrivals.written("facts").drop("batch_id")
+
+
+@report
+def stream_latest(star: Star) -> DataFrame:
+    """The last change record of each customer, upserted in several micro-batches."""
+    arrivals = _Arrivals(star, star.customer_changes(), "latest")
+    table = LatestTable(
+        star.spark, arrivals.dir("table"), arrivals.ddl, ["customer_id"], "changed_at", ["change_id"],
+        buckets=star.spark.sparkContext.defaultParallelism,
+    )
+    table.follow(arrivals.stream(), arrivals.dir("checkpoint")).awaitTermination()
+    return table.read()
+
+
+@report
+def stream_daily_store_sales(star: Star) -> DataFrame:
+    """Closed days of web sales that come in the order of their weeks, but some of the first week with the last: those
+    are not in the totals, and counted as late."""
+    root, sales = new_dir(star.spark, "daily-sales"), star.web_sales()
+    week = F.expr("int((day(event_time) - 1) / 7)")
+    arrival = F.when((week == 0) & (F.col("transaction_id") % 10 == 0), F.lit(4)).otherwise(week)
+    for i in range(5):
+        # A file for each micro-batch, written one after the other.
+        sales.where(arrival == i).coalesce(1).write.mode("append").parquet(f"{root}/landing")
+    stream = stream_parquet(star.spark, f"{root}/landing", sales.schema.toDDL(), 1)
+    append_stream(daily_store_sales_stream(stream), f"{root}/daily", f"{root}/c1").awaitTermination()
+    count_arrivals(stream, f"{root}/arrivals", f"{root}/c2").awaitTermination()
+    daily = star.spark.read.parquet(f"{root}/daily")
+    late = late_rows(star.spark.read.parquet(f"{root}/arrivals"), daily)
+    late = late.select(F.col("sale_date").alias("day"), F.col("store_id").alias("store"), "n_late")
+    same = (F.col("sale_date") == F.col("day")) & F.col("store_id").eqNullSafe(F.col("store"))
+    return daily.join(late, same).drop("day", "store", "n_rows")
+
+
 @report
 def stream_rule_metrics(star: Star) -> DataFrame:
     arrivals = _Arrivals(star, star.web_sales(), "metrics")

@@ -84,6 +84,7 @@ def publish_batch(
     batch_id: int,
     before: Callable[[], None] | None = None,
     aside: tuple[str, str] | None = None,
+    partitions: Sequence[str] = (),
 ) -> None:
     """Append a micro-batch to a table that other streams read: all of it appears at once, and only once.
 
@@ -98,10 +99,9 @@ def publish_batch(
     if files.exists(place):
         return
     staged = f"{path}/_staged/batch_id={batch_id}"
-    if aside is None:
-        df.write.mode("overwrite").parquet(staged)
-    else:
-        df.withColumn("_aside", F.col(aside[0]).isNotNull()).write.mode("overwrite").partitionBy("_aside").parquet(staged)
+    if aside is not None:
+        df, partitions = df.withColumn("_aside", F.col(aside[0]).isNotNull()), ["_aside", *partitions]
+    df.write.mode("overwrite").partitionBy(*partitions).parquet(staged)
     if before is not None:
         before()
     if aside is not None:
