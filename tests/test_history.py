@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import history as H
 from tidemark.operators import slices
+from tidemark.operators.slices import SLICE, assign_slices, find_hot_keys
 
 DDL = "k INT, seq TIMESTAMP, tie INT, name STRING, city STRING, points INT"
 EPOCH = datetime(2024, 1, 1)
@@ -176,3 +177,15 @@ def test_one_exchange_without_hot_keys(spark):
     plan = versions._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert plan.count("Sort [") == 1
+
+
+def test_null_keys_are_cut_like_others(spark):
+    log = spark.range(20_000).selectExpr("CASE WHEN id % 100 = 0 THEN 1 END AS k", "timestamp_seconds(id) AS seq", "id AS tie")
+    hot = find_hot_keys(log, ["k"], ["seq", "tie"], 1000)
+    assert hot is not None and [r["k"] for r in hot.cuts.collect()] == [None]
+    sizes = [r["count"] for r in assign_slices(log, hot, ["k"]).where("k IS NULL").groupBy(SLICE).count().collect()]
+    assert len(sizes) > 5 and max(sizes) < 4000 and sum(sizes) == 19_800
+    assert hot.only(log, ["k"]).count() == 19_800 and hot.without(log, ["k"]).count() == 200
+    versions = H.history_of_every_change(log, ["k"], "seq", ["tie"], rows_per_slice=1000)
+    whole = H.history_of_every_change(log, ["k"], "seq", ["tie"])
+    assert versions.exceptAll(whole).isEmpty() and versions.count() == 20_000

@@ -1,14 +1,17 @@
 """Incremental history must equal the history of the whole log, however its records arrive."""
 
+import glob
 import os
 import random
 from datetime import datetime, timedelta
 
+import pyarrow.parquet as pq
 import pytest
 
 from tests.test_history import DDL, collect, make_log
 from tidemark.operators import history as H
 from tidemark.session import new_dir, shared_dir
+from tidemark.sources import tables
 from tidemark.sources.files import stream_parquet
 from tidemark.streaming.history import HistoryTable
 
@@ -36,45 +39,86 @@ def check(spark, history, rows, tracked):
 
 
 @pytest.mark.parametrize(
-    "tracked, arrival", [(None, "shuffled"), (["city"], "in order"), (["city"], "shuffled")]
+    "tracked, arrival", [(None, "shuffled"), (["city"], "in order"), (["city"], "shuffled"), (["name", "city"], "mostly in order")]
 )
-def test_batches_with_seals_and_replays(spark, tracked, arrival):
+def test_batches_and_replays(spark, tracked, arrival):
     rows = make_log(21, True)[:300]
-    if arrival == "in order":
+    if arrival != "shuffled":
         rows.sort(key=lambda r: r[1:3])
+    if arrival == "mostly in order":
+        rng = random.Random(5)
+        for _ in range(12):
+            i, j = rng.randrange(len(rows)), rng.randrange(len(rows))
+            rows[i], rows[j] = rows[j], rows[i]
     history = table(spark, tracked, rows_per_slice=40)
     seen = []
-    for batch_id, part in enumerate((rows[:110], rows[110:200], rows[200:])):
+    for batch_id, part in enumerate((rows[:110], rows[110:200], [], rows[200:])):
         batch = spark.createDataFrame(part, DDL)
         history.apply(batch, batch_id)
         seen += part
-        if batch_id == 0:
-            history.seal(timedelta(minutes=60))
-            history.seal(timedelta(minutes=30))
         if batch_id == 1:
             history.apply(batch, batch_id)
             check(spark, history, seen, tracked)
     check(spark, history, rows, tracked)
 
 
-def test_record_older_than_two_seals(spark):
+@pytest.mark.parametrize("tracked", [["name"], None])
+def test_keys_go_back_as_far_as_their_records_are_late(spark, tracked):
     start = datetime(2024, 5, 1)
-    history = table(spark, ["name"])
+    history = table(spark, tracked)
     rows = [(k, start + timedelta(days=d), d, "n%d" % d, "x", d) for k in range(6) for d in (1, 2, 3, 4)]
     for batch_id, day in enumerate((1, 2, 3, 4)):
         history.apply(spark.createDataFrame([r for r in rows if r[2] == day], DDL), batch_id)
-        if day < 4:
-            history.seal()
-    check(spark, history, rows, ["name"])
-    # Late by two seals, and such that the version of day 2 is no longer a change on day 3.
-    late = [(0, start + timedelta(days=1, hours=5), 9, "n2", None, None), (1, start, 8, "first", None, 7)]
+    check(spark, history, rows, tracked)
+    # Late by two versions, and such that the version of day 2 is no longer a change on day 3; before all; and at the
+    # same time as others, before and after them by the tiebreak, twice for one of them.
+    late = [
+        (0, start + timedelta(days=1, hours=5), 9, "n2", None, None), (1, start, 8, "first", None, 7),
+        (2, start + timedelta(days=3), 0, "before", None, None), (3, start + timedelta(days=3), 9, "after", "z", 1),
+        (4, start + timedelta(days=4), 4, "n4", "x", 4), (4, start + timedelta(days=4), 3, None, "y", None),
+    ]
+    if tracked is None:
+        late = late[:4]  # copies of a record have no order among themselves
     history.apply(spark.createDataFrame(late, DDL), 4)
-    check(spark, history, rows + late, ["name"])
-    # On-time records on top of a bucket that started over, and another seal.
+    check(spark, history, rows + late, tracked)
+    # Records in time on top of keys that went back, and again late ones for the same keys.
     more = [(k, start + timedelta(days=9), 20 + k, None, "y", None) for k in range(6)]
     history.apply(spark.createDataFrame(more, DDL), 5)
-    history.seal()
-    check(spark, history, rows + late + more, ["name"])
+    again = [(k, start + timedelta(days=2, hours=k), 30 + k, "again", "y", None) for k in range(3)]
+    history.apply(spark.createDataFrame(again, DDL), 6)
+    check(spark, history, rows + late + more + again, tracked)
+    history.apply(spark.createDataFrame(again, DDL), 6)
+    check(spark, history, rows + late + more + again, tracked)
+
+
+def test_batch_that_dies_is_not_seen_and_repeated(spark, monkeypatch):
+    rows = make_log(8, True)[:200]
+    history = table(spark, ["city"])
+    history.apply(spark.createDataFrame(rows[:100], DDL), 0)
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "_put", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            history.apply(spark.createDataFrame(rows[100:], DDL), 1)
+    check(spark, history, rows[:100], ["city"])
+    history.apply(spark.createDataFrame(rows[100:], DDL), 1)
+    check(spark, history, rows, ["city"])
+
+
+def test_later_batches_read_and_write_no_more_than_earlier_ones(spark, monkeypatch):
+    start = datetime(2024, 5, 1)
+    history = table(spark, ["name"])
+    went_in, written, inside = [], [], history._history
+    monkeypatch.setattr(history, "_history", lambda records: went_in.append(records.count()) or inside(records))
+    monkeypatch.setattr(history, "_replayed", lambda *_: pytest.fail("nothing is late"))
+    for day in range(20):
+        before = set(glob.glob(f"{history.root}/*/batch_id=*/**/*.parquet", recursive=True))
+        batch = [(k, start + timedelta(days=day), day, f"n{day // 2}", "x", day) for k in range(10)]
+        history.apply(spark.createDataFrame(batch, DDL), day)
+        new = set(glob.glob(f"{history.root}/*/batch_id=*/**/*.parquet", recursive=True)) - before
+        written.append(sum(pq.ParquetFile(f).metadata.num_rows for f in new))
+    assert went_in[4] == went_in[19] == 20
+    assert written[5] == written[19] and written[4] == written[18] and max(written) <= 30
+    assert history.read().count() == 100
 
 
 def test_streamed_files_in_any_order(spark):
@@ -88,18 +132,6 @@ def test_streamed_files_in_any_order(spark):
     check(spark, history, rows, ["name", "city"])
 
 
-def test_on_time_batches_do_not_rewrite_frozen_versions(spark):
-    start = datetime(2024, 5, 1)
-    history = table(spark, None)
-    for day in range(4):
-        batch = [(k, start + timedelta(days=day), day, "n", "x", day) for k in range(5)]
-        history.apply(spark.createDataFrame(batch, DDL), day)
-        history.seal(timedelta(0))
-    live = history._versions_in("live").filter(f"seal = {history._last_seal().number}")
-    assert live.count() == 5
-    assert history._versions_in("closed").count() == 15
-
-
 def test_scratch_tables_are_gone_and_null_sequence_is_refused(spark):
     history = table(spark, ["city"], rows_per_slice=20)
     before = set(os.listdir(shared_dir(spark)))
@@ -107,34 +139,3 @@ def test_scratch_tables_are_gone_and_null_sequence_is_refused(spark):
     assert {d for d in set(os.listdir(shared_dir(spark))) - before if not d.startswith("history")} == set()
     with pytest.raises(Exception, match="known_sequence"):
         history.apply(spark.createDataFrame([(1, None, 1, "a", "x", 1)], DDL), 1)
-
-
-def test_slightly_late_record_does_not_reach_behind_the_seal(spark, monkeypatch):
-    start = datetime(2024, 5, 1)
-    history = table(spark, ["name"])
-    rows = [(1, start + timedelta(minutes=m), m, name, "x", m) for m, name in
-            ((0, "a"), (30, "b"), (52, None), (58, "c"), (60, "d"))]
-    history.apply(spark.createDataFrame(rows, DDL), 0)
-    history.seal()
-    assert history._last_seal().through == start + timedelta(minutes=50)
-    monkeypatch.setattr(history, "_start_over", lambda *_: pytest.fail("recomputed from the whole log"))
-    late = [(1, start + timedelta(minutes=55), 9, "late", "y", None)]
-    history.apply(spark.createDataFrame(late, DDL), 1)
-    check(spark, history, rows + late, ["name"])
-    history.seal(timedelta(0))
-    check(spark, history, rows + late, ["name"])
-
-
-def test_seals_between_batches_leave_one_copy_of_what_is_open(spark):
-    rows = sorted(make_log(5, True)[:200], key=lambda r: (r[1] is not None, r[1:3]))
-    history = table(spark, ["city"], seal_every=3)
-    for batch_id, at in enumerate(range(0, len(rows), 50)):
-        history.apply(spark.createDataFrame(rows[at : at + 50], DDL), batch_id)
-        history.seal_when_due(100)
-        if batch_id == 3:
-            history.seal_when_due(1)
-    check(spark, history, rows, ["city"])
-    assert history._last_seal().number > 1
-    for name in ("live", "base"):
-        kept = {r["seal"] for r in spark.read.parquet(f"{history.root}/{name}").select("seal").distinct().collect()}
-        assert kept == {history._last_seal().number}

@@ -17,6 +17,7 @@ from tidemark.operators.slices import (
     SLICE,
     assign_slices,
     find_hot_keys,
+    join_by_keys,
     spread_copies,
 )
 from tidemark.session import materialize
@@ -72,8 +73,7 @@ def history_of_every_change(
     )
     in_slice = Window.partitionBy(*keys, SLICE).orderBy(*order)
     followed = (
-        records.withColumns(_followed(sequence, in_slice))
-        .join(F.broadcast(next_slice), [*keys, SLICE], "left")
+        join_by_keys(records.withColumns(_followed(sequence, in_slice)), F.broadcast(next_slice), [*keys, SLICE], "left")
         .withColumns(
             {
                 _NEXT: F.when(F.col(_LAST), F.col(_FIRST)[sequence]).otherwise(F.col(_NEXT)),
@@ -232,7 +232,7 @@ class _TrackedHistory:
         place = [*self.keys, SLICE]
         window = Window.partitionBy(*place).orderBy(*self.order)
         carried = _state_before_slices(log, self.keys, self.order, self.tracked, self.filled)
-        marked = self._mark(log.join(carried, place, "left"), window, _CARRIED).drop(_CARRIED)
+        marked = self._mark(join_by_keys(log, carried, place, "left"), window, _CARRIED).drop(_CARRIED)
         followed = self._follow(marked, window).withColumn(
             _FIRST, F.row_number().over(window) == 1
         )
@@ -258,7 +258,7 @@ class _TrackedHistory:
             )
         )
         # A record with nothing after it in its slice is followed by the head of the next slice.
-        joined = edges.join(F.broadcast(neighbours), place, "left").withColumns(
+        joined = join_by_keys(edges, F.broadcast(neighbours), place, "left").withColumns(
             {
                 _STARTED: F.coalesce(_STARTED, "__open"),
                 _NEXT_CHANGED: F.coalesce(_NEXT_CHANGED, "__head_changed"),
@@ -294,7 +294,7 @@ def fill_forward(
     records = assign_slices(hot.only(log, keys), hot, keys)
     carried = _state_before_slices(records, keys, order, [], columns)
     in_slice = Window.partitionBy(*place).orderBy(*order)
-    filled = _fill(records.join(carried, place, "left"), in_slice, columns, _CARRIED)
+    filled = _fill(join_by_keys(records, carried, place, "left"), in_slice, columns, _CARRIED)
     filled = filled.select(*log.columns, COPIES)
     filled = spread_copies(filled) if hot.copies else filled.drop(COPIES)
     return _fill(hot.without(log, keys), whole, columns).unionByName(filled)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +31,13 @@ _SEED = 20_240_101
 _ROWS_PER_COPY_CHUNK = 100_000
 
 
+def join_by_keys(rows: DataFrame, others: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join by columns of both, a NULL being a value like any other; the columns of ``rows`` stay."""
+    renamed = others.withColumnsRenamed({k: f"__of_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in keys])
+    return rows.join(renamed, same, how).drop(*[f"__of_{k}" for k in keys])
+
+
 @dataclass(frozen=True)
 class HotKeys:
     """Sorted cut points of hot keys over the order columns in ``place``.
@@ -43,14 +51,14 @@ class HotKeys:
 
     def only(self, log: DataFrame, keys: Sequence[str]) -> DataFrame:
         """The records of hot keys; identical ones as one record with a count, if there are masses."""
-        rows = log.join(F.broadcast(self.cuts.select(*keys)), list(keys), "left_semi")
+        rows = join_by_keys(log, F.broadcast(self.cuts.select(*keys)), keys, "left_semi")
         if not self.copies:
             return rows.withColumn(COPIES, F.lit(1).cast("long"))
         # Combined on the map side: a million copies leave a task as one row.
         return rows.groupBy(*log.columns).agg(F.count(F.lit(1)).alias(COPIES))
 
     def without(self, log: DataFrame, keys: Sequence[str]) -> DataFrame:
-        return log.join(F.broadcast(self.cuts.select(*keys)), list(keys), "left_anti")
+        return join_by_keys(log, F.broadcast(self.cuts.select(*keys)), keys, "left_anti")
 
 
 def find_hot_keys(
@@ -81,10 +89,8 @@ def find_hot_keys(
         return None
     samples = materialize(samples, "cut-samples")
     hot_keys = materialize(hot(samples), "hot-keys")
-    samples = samples.join(hot_keys.select(*keys), keys, "left_semi")
+    samples = join_by_keys(samples, hot_keys.select(*keys), keys, "left_semi")
     heaviest = samples.agg(F.max("n")).first()[0]
-    if heaviest is None:
-        return None
     copies = heaviest >= _SAMPLES_OF_HOT_KEY
     # Comparing the sequence alone is cheap; the whole order is needed only for masses of equal sequences.
     at_once = samples.groupBy(*keys, order[0]).agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0]
@@ -130,5 +136,5 @@ def assign_slices(log: DataFrame, hot: HotKeys, keys: Sequence[str]) -> DataFram
         F.lit(0),
         lambda at, step: F.when(F.get(F.col(_CUTS), at + step - 1) <= row, at + step).otherwise(at),
     )
-    sliced = log.join(F.broadcast(hot.cuts), list(keys), "left")
+    sliced = join_by_keys(log, F.broadcast(hot.cuts), keys, "left")
     return sliced.withColumn(SLICE, F.coalesce(number, F.lit(COLD))).drop(_CUTS, _STEPS)

@@ -169,6 +169,9 @@ def oracle_sql() -> dict[str, str]:
         " SELECT 'orders without a customer', count(*) FROM orders"
         " WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey)",
         "scd2_hot_keys": _every_change("user_changes", "event_type", "event_id", True),
+        "scd2_null_hot_key": _tracked(
+            "(SELECT * REPLACE (CASE WHEN event_type = 'signup' THEN user_id END AS user_id) FROM user_changes)",
+            "user_id", "event_id", "event_type", ["value"], []),
         "stored_tables": " UNION ALL ".join(
             f"SELECT '{name}' AS table_name, count(*) AS record_count FROM ({text})"
             for name, text in {

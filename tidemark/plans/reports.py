@@ -216,6 +216,16 @@ def scd2_hot_keys(star: Star) -> DataFrame:
     )
 
 
+@report
+def scd2_null_hot_key(star: Star) -> DataFrame:
+    """Most records have no key; they are cut into slices like those of any hot key."""
+    changes = star.user_changes().withColumn("user_id", F.expr("CASE WHEN event_type = 'signup' THEN user_id END"))
+    return history.history_of_tracked_columns(
+        changes, ["user_id"], "changed_at", ["event_type"], ["event_id"],
+        excluded=["event_id", "changed_at"], rows_per_slice=100,
+    )
+
+
 @report
 def scd2_null_sequence(star: Star) -> DataFrame:
     """One current version per key, also where records have no time."""
@@ -520,7 +530,7 @@ def _stream_history(star: Star, tracked: list[str] | None) -> DataFrame:
     arrivals = _Arrivals(star, star.user_changes(), "user-changes")
     table = HistoryTable(
         star.spark, arrivals.dir("history"), arrivals.ddl, ["user_id"], "changed_at", ["event_id"], tracked,
-        excluded=["event_id"], buckets=star.spark.sparkContext.defaultParallelism, seal_every=2,
+        excluded=["event_id"], buckets=star.spark.sparkContext.defaultParallelism,
     )
     table.follow(arrivals.stream(), arrivals.dir("checkpoint")).awaitTermination()
     return table.read()

@@ -1,27 +1,26 @@
 """Dimension history kept in step with a stream of change records, on plain Parquet tables.
 
-The change log is the truth; history is recomputed from it for the buckets of keys that a micro-batch
-touches, and replaces what was there. That makes a repeated batch harmless and handles late records.
-
-To keep the recomputed part small, ``seal`` freezes what was closed some time ago. From then on a bucket is
-recomputed from the versions open at the seal and the records after it. A record from before the seal makes
-its bucket start over from the whole log, so the result is exact however late it is. The tables of a touched
-bucket are replaced one after the other: read them between micro-batches, or after a failed one is repeated.
+A micro-batch looks up the open version of each key that it has records of, and goes on from there: it closes
+versions, opens others, and reads nothing that was closed before. A record that is not after the last one of its key
+is late. Its key goes back to the last version that ended before the record, and the log is replayed from there;
+versions after it are superseded by a cut. So the result is exact however late a record is, and other keys do
+not notice.
 
 Tables under ``root``::
 
-    log/batch_id=                 every change record, under the batch that brought it
-    live/seal=/bucket=            versions open, or closed since that seal
-    closed/seal=/bucket=          versions closed between the previous seal and this one
-    base/seal=/bucket=            versions open at that seal, over the records up to it
-    seals                         finished seals; unfinished ones are never read
+    log/batch_id=            every change record, under the batch that brought it
+    open/batch_id=/bucket=   the open versions of the buckets that a batch touched; the newest of each bucket counts
+    closed/batch_id=         versions that a batch closed
+    cuts/batch_id=           keys that went back, and the time from which their versions of earlier batches are void
+
+The open versions are put in place last and at once, and closed versions and cuts count only up to the last batch
+that has done so. A batch that died half-way is not seen, and is repeated with the same result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime, timedelta
-from typing import NamedTuple
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,29 +35,21 @@ from tidemark.operators.history import (
     history_of_tracked_columns,
 )
 from tidemark.operators.quality import enforce, fail
-from tidemark.operators.slices import ROWS_PER_SLICE
-from tidemark.session import exists, file_system, materialize, scratch_tables
-from tidemark.sources.tables import append, overwrite_partitions, write_batch
+from tidemark.operators.slices import ROWS_PER_SLICE, join_by_keys
+from tidemark.session import exists, materialize, scratch_tables
+from tidemark.sources.tables import write_batch
+from tidemark.streaming.buckets import BUCKET, Buckets, bucket_of
 from tidemark.streaming.queries import for_each_batch
 
-_SEALS = "seal INT, through TIMESTAMP, batch_id BIGINT"
-_BEGINNING = datetime(1, 1, 2)
-LATENESS = timedelta(minutes=10)
-
-
-class _Seal(NamedTuple):
-    """The last finished seal: the greatest sequence value and batch it covers."""
-
-    number: int
-    through: datetime
-    batch_id: int
+# The time from which the versions of a key are void, and the last record that stays, in one struct.
+_FROM, _AFTER = "__from", "__after"
 
 
 class HistoryTable:
     """``tracked`` as in :func:`history_of_tracked_columns`, or None for a version per change record.
 
-    A micro-batch rewrites ``live`` for the buckets it touches, so choose enough buckets that it touches few.
-    ``seal_every`` seals after every so many micro-batches; else the owner of the stream does.
+    A micro-batch rewrites the open versions of the buckets it touches, one row per key, so choose enough buckets that
+    it touches few.
     """
 
     def __init__(
@@ -75,62 +66,35 @@ class HistoryTable:
         ignore_nulls: bool = True,
         buckets: int = 256,
         rows_per_slice: int = ROWS_PER_SLICE,
-        seal_every: int | None = None,
     ):
-        self.spark, self.root, self.seal_every = spark, root, seal_every
+        self.spark, self.root = spark, root
         self.keys, self.sequence, self.tiebreak = list(keys), sequence, list(tiebreak)
         self.tracked, self.excluded, self.ignore_nulls = tracked, list(excluded), ignore_nulls
         self.buckets, self.rows_per_slice = buckets, rows_per_slice
         self.records = T.StructType.fromDDL(ddl)
-        bucket = T.StructField("bucket", T.IntegerType())
-        self.log_schema = T.StructType([*self.records, bucket, T.StructField("batch_id", T.LongType())])
-        self.version_schema = T.StructType(
-            [
-                *self.records,
-                T.StructField(START, T.TimestampType()),
-                T.StructField(END, T.TimestampType()),
-                T.StructField(CURRENT, T.BooleanType()),
-                T.StructField("seal", T.IntegerType()),
-                bucket,
-            ]
-        )
-
-    def _read(self, table: str, schema: T.StructType) -> DataFrame:
+        self.log_ddl = f"{ddl}, {BUCKET} INT, batch_id BIGINT"
+        version = f"{ddl}, {BUCKET} INT, {START} TIMESTAMP, {END} TIMESTAMP, {CURRENT} BOOLEAN"
+        self.version = T.StructType.fromDDL(version).names
+        self.open = Buckets(spark, f"{root}/open", version)
+        self.closed_ddl = f"{version}, batch_id BIGINT"
+        key_types = ", ".join(f"`{k}` {self.records[k].dataType.simpleString()}" for k in keys)
+        self.cuts_ddl = f"{key_types}, {BUCKET} INT, {_FROM} TIMESTAMP, batch_id BIGINT"
+
+    def _read(self, table: str, ddl: str) -> DataFrame:
         path = f"{self.root}/{table}"
         if not exists(self.spark, path):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(path)
+            return self.spark.createDataFrame([], ddl)
+        return self.spark.read.schema(ddl).parquet(path)
 
-    def _log(self, after: int = -1) -> DataFrame:
-        """Records of the batches after a number; only the directories of those are listed."""
-        path = f"{self.root}/log"
-        if after < 0 or not exists(self.spark, path):
-            return self._read("log", self.log_schema)
-        files, location = file_system(self.spark, path)
-        names = [status.getPath().getName() for status in files.listStatus(location)]
-        wanted = [n for n in names if n.startswith("batch_id=") and int(n.removeprefix("batch_id=")) > after]
-        if not wanted:
-            return self.spark.createDataFrame([], self.log_schema)
-        reader = self.spark.read.schema(self.log_schema).option("basePath", path)
-        return reader.parquet(*[f"{path}/{name}" for name in wanted])
+    def _with_key(self, rows: DataFrame, others: DataFrame, how: str) -> DataFrame:
+        """Join by key, a NULL key being one like any other; ``others`` loses its keys."""
+        return join_by_keys(rows, others, [*self.keys, BUCKET], how)
 
-    def _versions_in(self, table: str) -> DataFrame:
-        return self._read(table, self.version_schema)
-
-    def _write(self, versions: DataFrame, table: str, seal: int) -> None:
-        numbered = versions.withColumn("seal", F.lit(seal))
-        overwrite_partitions(
-            numbered.select(*self.version_schema.names), f"{self.root}/{table}", ["seal", "bucket"]
-        )
-
-    def _last_seal(self) -> _Seal:
-        if not exists(self.spark, f"{self.root}/seals"):
-            return _Seal(0, _BEGINNING, -1)
-        seals = self._read("seals", T.StructType.fromDDL(_SEALS))
-        return _Seal(*seals.agg(F.max(F.struct("seal", "through", "batch_id"))).first()[0])
+    def _order(self):
+        return F.struct(self.sequence, *self.tiebreak)
 
     def _history(self, records: DataFrame) -> DataFrame:
-        """Versions of log records, or of log records on top of open versions (which have a start)."""
+        """Versions of records, and of versions to go on from, which have a start of their own."""
         options = {"sentinel": False, "rows_per_slice": self.rows_per_slice}
         if self.tracked is None:
             return history_of_every_change(
@@ -138,7 +102,7 @@ class HistoryTable:
             )
         return history_of_tracked_columns(
             records,
-            ["bucket", *self.keys],
+            [BUCKET, *self.keys],
             self.sequence,
             self.tracked,
             self.tiebreak,
@@ -147,124 +111,106 @@ class HistoryTable:
             **options,
         )
 
-    def _from_log(self, log: DataFrame) -> DataFrame:
-        return log.select(*self.records.names, "bucket").withColumn(START, F.col(self.sequence))
+    def _as_records(self, log: DataFrame) -> DataFrame:
+        return log.select(*self.records.names, BUCKET, F.col(self.sequence).alias(START))
+
+    def _as_seeds(self, versions: DataFrame) -> DataFrame:
+        return versions.select(*self.records.names, BUCKET, START)
+
+    def _closed(self, through: int) -> DataFrame:
+        """Closed versions up to a batch, without those that a later batch has cut off."""
+        closed = self._read("closed", self.closed_ddl).where(F.col("batch_id") <= through)
+        cuts = self._read("cuts", self.cuts_ddl).where(F.col("batch_id") <= through)
+        void = cuts.withColumnsRenamed({k: f"__{k}" for k in [*self.keys, BUCKET, "batch_id"]})
+        same = (F.col(BUCKET) == F.col(f"__{BUCKET}")) & (F.col("batch_id") < F.col("__batch_id"))
+        for key in self.keys:
+            same = same & F.col(key).eqNullSafe(F.col(f"__{key}"))
+        after = F.col(_FROM).isNull() | (F.col(START) >= F.col(_FROM))
+        return closed.join(void, same & after, "left_anti").select(*self.version)
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         """Take in one micro-batch of change records; the handler for ``for_each_batch``."""
-        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
         # Without a sequence value a record has no place in the history, and must not vanish either.
         known = fail("known_sequence", f"{self.sequence} IS NOT NULL")
-        records = enforce(batch.select(*self.records.names), [known]).withColumn("bucket", bucket)
+        records = enforce(batch.select(*self.records.names), [known])
+        records = records.withColumn(BUCKET, bucket_of(self.keys, self.buckets))
         # Sorted by bucket, so that a scan for some buckets skips the rest of a file.
-        by_bucket = records.hint("rebalance", "bucket").sortWithinPartitions("bucket")
+        by_bucket = records.hint("rebalance", BUCKET).sortWithinPartitions(BUCKET)
         write_batch(by_bucket, f"{self.root}/log", batch_id)
-
-        seal = self._last_seal()
-        arrived = self._log(after=batch_id - 1).filter(F.col("batch_id") == batch_id)
-        # One row per touched bucket.
-        touched = arrived.groupBy("bucket").agg(F.min(self.sequence).alias("first")).collect()
-        on_time = [row["bucket"] for row in touched if row["first"] > seal.through]
-        late = [row["bucket"] for row in touched if row["first"] <= seal.through]
         with scratch_tables(self.spark):
-            if late:
-                self._start_over(late, seal)
-            if on_time:
-                self._continue(on_time, seal)
-        if self.seal_every and (batch_id + 1) % self.seal_every == 0:
-            self.seal()
+            self._merge(batch_id)
 
-    def _continue(self, buckets: list[int], seal: _Seal) -> None:
-        """Recompute what happened since the seal; records after it are in batches after it."""
-        since = self._log(after=seal.batch_id).filter(
-            F.col("bucket").isin(buckets) & (F.col(self.sequence) > F.lit(seal.through))
-        )
-        seeds = self._seeds(seal).filter(F.col("bucket").isin(buckets))
-        self._write(self._history(self._from_log(since).unionByName(seeds)), "live", seal.number)
-
-    def _seeds(self, seal: _Seal) -> DataFrame:
-        """Versions open at a seal, as records to continue from."""
-        base = self._versions_in("base").filter(F.col("seal") == seal.number)
-        return base.select(*self.records.names, "bucket", START)
-
-    def _start_over(self, buckets: list[int], seal: _Seal) -> None:
-        """Recompute whole buckets from the log, and the frozen part of them as of the seal."""
-        log = self._from_log(self._log().filter(F.col("bucket").isin(buckets)))
-        if seal.number == 0:
-            self._write(self._history(log), "live", 0)
+    def _merge(self, batch_id: int) -> None:
+        arrived = self._read("log", self.log_ddl).where(F.col("batch_id") == batch_id).drop("batch_id")
+        touched = [row[0] for row in arrived.select(BUCKET).distinct().collect()]
+        if not touched:
             return
-        versions = materialize(self._history(log), "started-over")
-        before_seal = F.coalesce(F.col(END) <= F.lit(seal.through), F.lit(False))
-        # A partition without versions is not replaced, so every frozen one gets an empty row as well.
-        blanks = self.spark.createDataFrame(
-            [(s, b) for s in range(1, seal.number + 1) for b in buckets], "seal INT, bucket INT"
-        )
-        empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.version_schema[:-2]]
-        frozen = versions.filter(before_seal).withColumn("seal", F.lit(seal.number))
-        overwrite_partitions(
-            blanks.select(*empty, "seal", "bucket").unionByName(frozen),
-            f"{self.root}/closed",
-            ["seal", "bucket"],
-        )
-        open_then = self._history(log.filter(F.col(self.sequence) <= F.lit(seal.through))).filter(CURRENT)
-        self._write(open_then, "base", seal.number)
-        self._write(versions.filter(~before_seal), "live", seal.number)
-
-    def seal(self, lag: timedelta = LATENESS) -> None:
-        """Freeze the versions closed until ``lag`` before the newest record, so that records which are late
-        by less do not reach back behind the seal. Run between micro-batches, for instance once a day.
+        # A repeated batch must not build on its first attempt.
+        opened = materialize(self.open.read(touched, before=batch_id), "open-versions")
+        first = arrived.groupBy(BUCKET, *self.keys).agg(F.min(self.sequence).alias("__first"))
+        last = opened.select(*self.keys, BUCKET, F.col(self.sequence).alias("__last"))
+        # One row per touched key.
+        first = materialize(self._with_key(first, last, "left"), "touched-keys")
+        late = first.where(F.col("__last") >= F.col("__first"))
+        late_buckets = [row[0] for row in late.select(BUCKET).distinct().collect()]
+        sources = [self._as_records(arrived), self._as_seeds(self._with_key(opened, first, "left_semi"))]
+        cuts = None
+        if late_buckets:
+            cuts = materialize(self._cuts(late, late_buckets, batch_id), "cuts")
+            sources = [self._with_key(source, cuts, "left_anti") for source in sources]
+            sources += self._replayed(cuts, late_buckets, batch_id)
+        # Stored, as the history goes over its records more than once.
+        source = materialize(reduce(DataFrame.unionByName, sources), "replayed-records")
+        versions = self._history(source).select(*self.version)
+        if cuts is not None:
+            # The version that a key went back to is there already.
+            versions = self._with_key(versions, cuts, "left").where(
+                F.col(_FROM).isNull() | (F.col(START) >= F.col(_FROM))
+            )
+        versions = materialize(versions.select(*self.version), "versions")
+        self._append(versions.where(~F.col(CURRENT)), "closed", batch_id)
+        if cuts is not None:
+            self._append(cuts.drop(_AFTER), "cuts", batch_id)
+        untouched = self._with_key(opened, first, "left_anti").select(*self.version)
+        self.open.replace(versions.where(CURRENT).unionByName(untouched), batch_id, touched)
+
+    def _append(self, rows: DataFrame, table: str, batch_id: int) -> None:
+        by_bucket = rows.hint("rebalance", BUCKET).sortWithinPartitions(BUCKET)
+        write_batch(by_bucket, f"{self.root}/{table}", batch_id)
+
+    def _cuts(self, late: DataFrame, buckets: list[int], batch_id: int) -> DataFrame:
+        """Per late key, when the last version that ended before its first new record did so, and that version's row;
+        NULL if there is none.
+
+        A version without duration may share its time with others, so none of those is gone back to.
         """
-        last = self._last_seal()
-        log = self._log(after=last.batch_id)
-        newest = log.agg(F.max(self.sequence)).first()[0]
-        if newest is None or newest - lag <= last.through:
-            return
-        number, through = last.number + 1, F.lit(newest - lag)
-        # Everything after the new seal is in this batch or in later ones.
-        first_after = log.filter(F.col(self.sequence) > through).agg(F.min("batch_id")).first()[0]
-        if first_after is None:
-            first_after = log.agg(F.max("batch_id")).first()[0] + 1
-        live = self._versions_in("live").filter(F.col("seal") == last.number)
-        before = F.coalesce(F.col(END) <= through, F.lit(False))
-        since = log.filter(F.col(self.sequence) > F.lit(last.through))
-        with scratch_tables(self.spark):
-            # The state at the seal: attributes updated in place after it must not be in the base.
-            seeds = self._seeds(last).unionByName(self._from_log(since.filter(F.col(self.sequence) <= through)))
-            self._write(self._history(seeds).filter(CURRENT), "base", number)
-            self._write(live.filter(before), "closed", number)
-            self._write(live.filter(~before), "live", number)
-        done = [(number, newest - lag, first_after - 1)]
-        append(self.spark.createDataFrame(done, _SEALS), f"{self.root}/seals")
-        # From here on only the new seal is read; what the last one left open is in it again.
-        for table in ("live", "base"):
-            files, superseded = file_system(self.spark, f"{self.root}/{table}/seal={last.number}")
-            files.delete(superseded, True)
-
-    def seal_when_due(self, batches: int = 16) -> None:
-        """Seal if so many micro-batches have come since the last seal."""
-        path = f"{self.root}/log"
-        if not exists(self.spark, path):
-            return
-        files, location = file_system(self.spark, path)
-        names = [status.getPath().getName() for status in files.listStatus(location)]
-        newest = max((int(n.removeprefix("batch_id=")) for n in names if n.startswith("batch_id=")), default=-1)
-        if newest - self._last_seal().batch_id >= batches:
-            self.seal()
+        closed = self._closed(batch_id - 1).where(F.col(BUCKET).isin(buckets))
+        before = self._with_key(closed, late, "inner").where(
+            (F.col(START) < F.col(END)) & (F.col(END) < F.col("__first"))
+        )
+        whole = F.struct(*self.version)
+        found = before.groupBy(BUCKET, *self.keys).agg(F.max_by(whole, F.col(END)).alias(_AFTER))
+        found = found.withColumn(_FROM, F.col(_AFTER)[END])
+        return self._with_key(late.select(*self.keys, BUCKET), found, "left")
+
+    def _replayed(self, cuts: DataFrame, buckets: list[int], batch_id: int) -> list[DataFrame]:
+        """The versions that late keys go back to, and all records after them."""
+        log = self._read("log", self.log_ddl).where((F.col("batch_id") <= batch_id) & F.col(BUCKET).isin(buckets))
+        order = F.struct(*[F.col(_AFTER)[c] for c in (self.sequence, *self.tiebreak)])
+        after = F.col(_AFTER).isNull() | (self._order() > order)
+        replayed = self._with_key(log, cuts, "inner").where(after)
+        seeds = cuts.where(F.col(_AFTER).isNotNull()).select(f"{_AFTER}.*")
+        return [self._as_records(replayed), self._as_seeds(seeds)]
 
     def read(self) -> DataFrame:
         """The whole history, without the excluded columns."""
-        seal = self._last_seal().number
-        live = self._versions_in("live").filter(F.col("seal") == seal)
-        frozen = self._versions_in("closed").filter(
-            (F.col("seal") <= seal) & F.col(self.sequence).isNotNull()
-        )
-        return live.unionByName(frozen).drop("seal", "bucket", *self.excluded)
+        committed = self.open.committed()
+        versions = self.open.read().unionByName(self._closed(committed))
+        return versions.drop(BUCKET, *self.excluded)
 
     def current(self) -> DataFrame:
-        """Open versions only. They are never frozen, so closed history is not even listed."""
-        seal = self._last_seal().number
-        live = self._versions_in("live").filter((F.col("seal") == seal) & F.col(CURRENT))
-        return live.drop("seal", "bucket", *self.excluded)
+        """Open versions only; closed ones are not even listed."""
+        return self.open.read().drop(BUCKET, *self.excluded)
 
     def follow(self, stream: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
         return for_each_batch(stream, self.apply, checkpoint, trigger)

@@ -5,27 +5,21 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.model import columns_of
 from tidemark.operators.history import latest
-from tidemark.session import exists, file_system, materialize, scratch_tables
-from tidemark.sources.tables import publish_batch
+from tidemark.session import materialize, scratch_tables
+from tidemark.streaming.buckets import BUCKET, Buckets, bucket_of
 from tidemark.streaming.queries import for_each_batch
 
-BUCKET = "bucket"
-
 
 class LatestTable:
     """One row per key: that with the greatest sequence value, ties decided by ``tiebreak``.
 
-    Keys are dealt into buckets. A micro-batch writes, under its own number, the buckets that its keys are in: their
-    rows so far, merged with its records. The table is the newest of each bucket. As the merge keeps what comes last
-    by sequence, records may come late, in any order and more than once. A bucket's rows are only ever added to and
-    appear by a rename, so whenever the driver dies, the last complete version is there; the one before it is kept for
-    those who are still reading it, older ones are deleted.
-
-    A micro-batch reads and rewrites the buckets it touches, so choose as many as make it touch few.
+    Keys are dealt into :class:`Buckets`. A micro-batch merges its records with the rows of the buckets that they
+    touch, and replaces those. As the merge keeps what comes last by sequence, records may come late, in any order
+    and more than once. Choose as many buckets as make a micro-batch touch few.
     """
 
     def __init__(
@@ -39,47 +33,25 @@ class LatestTable:
         *,
         buckets: int = 256,
     ):
-        self.spark, self.path, self.buckets = spark, f"{root}/latest", buckets
+        self.spark, self.buckets, self.columns = spark, buckets, list(columns_of(ddl))
         self.keys, self.sequence, self.tiebreak = list(keys), sequence, list(tiebreak)
-        self.ddl = ddl
-
-    def _versions(self) -> DataFrame:
-        ddl = f"{self.ddl}, {BUCKET} INT, batch_id BIGINT"
-        if not exists(self.spark, self.path):
-            return self.spark.createDataFrame([], ddl)
-        return self.spark.read.schema(ddl).parquet(self.path)
-
-    def _newest(self, versions: DataFrame) -> DataFrame:
-        """Rows of the last version of each bucket; which one that is shows in the names of the folders."""
-        last = versions.groupBy(BUCKET).agg(F.max("batch_id").alias("batch_id"))
-        return versions.join(last, [BUCKET, "batch_id"], "left_semi")
+        self.rows = Buckets(spark, f"{root}/latest", f"{ddl}, {BUCKET} INT")
 
     def _latest(self, rows: DataFrame) -> DataFrame:
         return latest(rows, self.keys, self.sequence, self.tiebreak)
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         """Merge one micro-batch of change records; the handler for ``for_each_batch``."""
-        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
         with scratch_tables(self.spark):
-            records = batch.select(*self.spark.createDataFrame([], self.ddl).columns).withColumn(BUCKET, bucket)
+            records = batch.select(*self.columns, bucket_of(self.keys, self.buckets).alias(BUCKET))
             arrived = materialize(self._latest(records), "latest-arrived")
             touched = [row[0] for row in arrived.select(BUCKET).distinct().collect()]
             # A repeated micro-batch must not build on its first attempt.
-            known = self._versions().where(F.col(BUCKET).isin(touched) & (F.col("batch_id") < batch_id))
-            merged = self._latest(self._newest(known).drop("batch_id").unionByName(arrived))
-            publish_batch(merged.hint("rebalance", BUCKET), self.path, batch_id, partitions=[BUCKET])
-        self._drop_superseded(touched)
-
-    def _drop_superseded(self, buckets: list[int]) -> None:
-        versions = self._versions().where(F.col(BUCKET).isin(buckets)).select(BUCKET, "batch_id").distinct()
-        per_bucket = versions.groupBy(BUCKET).agg(F.sort_array(F.collect_list("batch_id"), asc=False).alias("batches"))
-        for number, batches in per_bucket.collect():
-            for batch_id in batches[2:]:
-                files, place = file_system(self.spark, f"{self.path}/batch_id={batch_id}/{BUCKET}={number}")
-                files.delete(place, True)
+            known = self.rows.read(touched, before=batch_id)
+            self.rows.replace(self._latest(known.unionByName(arrived)), batch_id, touched)
 
     def read(self) -> DataFrame:
-        return self._newest(self._versions()).drop(BUCKET, "batch_id")
+        return self.rows.read().drop(BUCKET)
 
     def follow(self, stream: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
         return for_each_batch(stream, self.apply, checkpoint, trigger)
