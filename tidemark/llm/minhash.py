@@ -280,7 +280,8 @@ def near_duplicates(documents: DataFrame, *, id_col: str = "doc_id", text_col: s
 def _near_duplicates(documents: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
     signed = materialize(signatures(documents, id_col=id_col, text_col=text_col), "signatures")
     present = signed.where(F.col("id").isNotNull() & (F.col("n") > 0))
-    least = present.groupBy("h1", "h2").agg(F.min("id").alias("rep"))
+    # Stored, so that joins with it are dealt out by all of their keys, and Spark can split a large class.
+    least = materialize(present.groupBy("h1", "h2").agg(F.min("id").alias("rep")), "least")
     # Of a class the document with the smallest id stands for all.
     classes = present.join(least.select("h1", "h2", F.col("rep").alias("id")), ["h1", "h2", "id"], "left_semi")
     classes = materialize(classes.select("id", "n", "sig").dropDuplicates(["id", "sig"]), "classes")
@@ -297,10 +298,12 @@ def _near_duplicates(documents: DataFrame, *, id_col: str, text_col: str) -> Dat
     if not more.isEmpty():
         components = connected_components(links.union(more))
     labels = least.join(components.withColumnRenamed("node", "rep"), "rep", "left")
-    labels = labels.select("h1", "h2", F.coalesce("component", "rep").alias("component"))
-    # An empty set has no class, and a NULL id no component.
+    labels = materialize(labels.select("h1", "h2", F.coalesce("component", "rep").alias("component")), "labels")
+    # An empty set has no class, and a NULL id no component. All empty sets look alike, so they stay out of the join.
+    some = signed.where("n > 0").join(labels.hint("merge"), ["h1", "h2"], "left").select("id", "n", "component")
+    none = signed.where("n = 0").select("id", "n", F.lit(None).cast("long").alias("component"))
     own = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
-    out = signed.join(labels, ["h1", "h2"], "left").select(
+    out = some.unionByName(none).select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), own.alias("component_id")
     )
     return out.withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True)))
