@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import history as H
 from tidemark.operators import slices
-from tidemark.operators.slices import SLICE, assign_slices, find_hot_keys
+from tidemark.operators.slices import SLICE, find_hot_keys
 
 DDL = "k INT, seq TIMESTAMP, tie INT, name STRING, city STRING, points INT"
 EPOCH = datetime(2024, 1, 1)
@@ -110,7 +110,7 @@ def test_copies_are_found_and_counted(spark, monkeypatch):
     log = spark.createDataFrame(rows, DDL)
     hot = slices.find_hot_keys(log, ["k"], ["seq", "tie"], 20)
     assert hot.copies
-    counted = hot.only(log, ["k"]).filter("k = 0").groupBy().sum(slices.COPIES).first()[0]
+    counted = hot.only(log).filter("k = 0").groupBy().sum(slices.COPIES).first()[0]
     assert counted == sum(r[0] == 0 for r in rows)
     for build in (
         lambda n: H.history_of_every_change(log, ["k"], "seq", ["tie"], sentinel=False, rows_per_slice=n),
@@ -121,16 +121,30 @@ def test_copies_are_found_and_counted(spark, monkeypatch):
         assert collect(sliced, whole.columns) == collect(whole, whole.columns)
 
 
-def test_cut_table_stays_under_its_bound(spark, monkeypatch):
-    monkeypatch.setattr(slices, "MAX_CUTS", 16)
+def test_segments_rise_with_key_and_order(spark):
     log = spark.createDataFrame(make_log(6, True), DDL)
     hot = slices.find_hot_keys(log, ["k"], ["seq", "tie"], 3)
-    assert 1 <= hot.cuts.selectExpr("sum(size(__cuts))").first()[0] <= 16
+    rows = sorted((r["k"], r["seq"], r["tie"], r[SLICE]) for r in hot.segments(log).collect())
+    numbers = [r[3] for r in rows]
+    assert numbers == sorted(numbers) and len(set(numbers)) > 30
+    assert len(rows) == hot.only(log).count()
     whole = H.history_of_tracked_columns(log, ["k"], "seq", ["city"], ["tie"])
     sliced = H.history_of_tracked_columns(log, ["k"], "seq", ["city"], ["tie"], rows_per_slice=3)
     assert collect(sliced, whole.columns) == collect(whole, whole.columns)
 
 
+def test_segments_are_not_limited_in_number(spark):
+    """One key, four records to a segment, and nothing in the plan broadcast by a hint."""
+    log = spark.range(480).selectExpr("1 AS k", "timestamp_seconds(id div 2) AS seq", "id AS tie", "id div 5 AS v")
+    hot = slices.find_hot_keys(log, ["k"], ["seq", "tie"], 4)
+    sizes = [r["count"] for r in hot.segments(log).groupBy(SLICE).count().collect()]
+    assert len(sizes) > 100 and sum(sizes) == 480
+    got = H.history_of_tracked_columns(log, ["k"], "seq", ["v"], ["tie"], rows_per_slice=4)
+    whole = H.history_of_tracked_columns(log, ["k"], "seq", ["v"], ["tie"])
+    assert got.count() == 96 and got.exceptAll(whole).isEmpty()
+    assert "ResolvedHint" not in got._jdf.queryExecution().analyzed().toString()
+
+
 def test_invariants_and_views(spark):
     log = spark.createDataFrame(make_log(11, True), DDL)
     versions = H.history_of_tracked_columns(log, ["k"], "seq", ["name"], ["tie"])
@@ -182,10 +196,10 @@ def test_one_exchange_without_hot_keys(spark):
 def test_null_keys_are_cut_like_others(spark):
     log = spark.range(20_000).selectExpr("CASE WHEN id % 100 = 0 THEN 1 END AS k", "timestamp_seconds(id) AS seq", "id AS tie")
     hot = find_hot_keys(log, ["k"], ["seq", "tie"], 1000)
-    assert hot is not None and [r["k"] for r in hot.cuts.collect()] == [None]
-    sizes = [r["count"] for r in assign_slices(log, hot, ["k"]).where("k IS NULL").groupBy(SLICE).count().collect()]
+    assert hot is not None and [r["k"] for r in hot.values.collect()] == [None]
+    sizes = [r["count"] for r in hot.segments(log).where("k IS NULL").groupBy(SLICE).count().collect()]
     assert len(sizes) > 5 and max(sizes) < 4000 and sum(sizes) == 19_800
-    assert hot.only(log, ["k"]).count() == 19_800 and hot.without(log, ["k"]).count() == 200
+    assert hot.only(log).count() == 19_800 and hot.without(log).count() == 200
     versions = H.history_of_every_change(log, ["k"], "seq", ["tie"], rows_per_slice=1000)
     whole = H.history_of_every_change(log, ["k"], "seq", ["tie"])
     assert versions.exceptAll(whole).isEmpty() and versions.count() == 20_000

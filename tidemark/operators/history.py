@@ -15,7 +15,6 @@ from tidemark.operators.slices import (
     COPIES,
     ROWS_PER_SLICE,
     SLICE,
-    assign_slices,
     find_hot_keys,
     join_by_keys,
     spread_copies,
@@ -64,16 +63,17 @@ def history_of_every_change(
     if hot is None:
         return _close(follow(log), _NEXT, sentinel)
 
-    records = assign_slices(hot.only(log, keys), hot, keys)
-    # One row per slice of a hot key: no more rows than cuts and hot keys.
-    next_slice = (
+    records = hot.segments(log)
+    # One short row per segment of a hot key, stored so that Spark knows its size and joins accordingly.
+    next_slice = materialize(
         records.groupBy(*keys, SLICE)
         .agg(F.min_by(F.struct(sequence), F.struct(*order)).alias(_FIRST))
-        .withColumn(_FIRST, F.lead(_FIRST).over(Window.partitionBy(*keys).orderBy(SLICE)))
+        .withColumn(_FIRST, F.lead(_FIRST).over(Window.partitionBy(*keys).orderBy(SLICE))),
+        "segment-heads",
     )
     in_slice = Window.partitionBy(*keys, SLICE).orderBy(*order)
     followed = (
-        join_by_keys(records.withColumns(_followed(sequence, in_slice)), F.broadcast(next_slice), [*keys, SLICE], "left")
+        join_by_keys(records.withColumns(_followed(sequence, in_slice)), next_slice, [*keys, SLICE], "left")
         .withColumns(
             {
                 _NEXT: F.when(F.col(_LAST), F.col(_FIRST)[sequence]).otherwise(F.col(_NEXT)),
@@ -90,7 +90,7 @@ def history_of_every_change(
         followed = followed.drop(COPIES).unionByName(spread_copies(earlier))
     else:
         followed = followed.drop(COPIES)
-    versions = follow(hot.without(log, keys)).unionByName(followed)
+    versions = follow(hot.without(log)).unionByName(followed)
     return _close(versions, _NEXT, sentinel)
 
 
@@ -129,8 +129,8 @@ def history_of_tracked_columns(
         versions = plan.whole_keys(log)
     else:
         # A record that repeats the one before it changes nothing, so its copies need not be kept.
-        records = assign_slices(hot.only(log, keys).drop(COPIES), hot, keys)
-        versions = plan.whole_keys(hot.without(log, keys)).unionByName(plan.sliced_keys(records))
+        records = hot.segments(log).drop(COPIES)
+        versions = plan.whole_keys(hot.without(log)).unionByName(plan.sliced_keys(records))
     return _close(versions.drop(*[c for c in excluded if c not in keys]), _NEXT, sentinel)
 
 
@@ -228,7 +228,7 @@ class _TrackedHistory:
         return self._versions(self._follow(self._mark(log, window), window))
 
     def sliced_keys(self, log: DataFrame) -> DataFrame:
-        """The same for records with a slice number: at most ``MAX_CUTS`` slices, each a bounded task."""
+        """The same for records with a segment number, each segment a task of bounded size."""
         place = [*self.keys, SLICE]
         window = Window.partitionBy(*place).orderBy(*self.order)
         carried = _state_before_slices(log, self.keys, self.order, self.tracked, self.filled)
@@ -243,7 +243,7 @@ class _TrackedHistory:
         # What neighbouring slices need to know of each other, one short row per slice.
         by_slice = Window.partitionBy(*self.keys).orderBy(SLICE)
         earlier = by_slice.rowsBetween(Window.unboundedPreceding, -1)
-        neighbours = (
+        neighbours = materialize(
             edges.groupBy(*place)
             .agg(
                 F.max(_STARTED).alias("__open"),
@@ -255,10 +255,11 @@ class _TrackedHistory:
                 F.last("__open", ignorenulls=True).over(earlier).alias("__open"),
                 F.lead("__head").over(by_slice).alias("__head"),
                 F.lead("__head_changed").over(by_slice).alias("__head_changed"),
-            )
+            ),
+            "segment-neighbours",
         )
         # A record with nothing after it in its slice is followed by the head of the next slice.
-        joined = join_by_keys(edges, F.broadcast(neighbours), place, "left").withColumns(
+        joined = join_by_keys(edges, neighbours, place, "left").withColumns(
             {
                 _STARTED: F.coalesce(_STARTED, "__open"),
                 _NEXT_CHANGED: F.coalesce(_NEXT_CHANGED, "__head_changed"),
@@ -291,13 +292,13 @@ def fill_forward(
     if hot is None:
         return _fill(log, whole, columns)
     place = [*keys, SLICE]
-    records = assign_slices(hot.only(log, keys), hot, keys)
+    records = hot.segments(log)
     carried = _state_before_slices(records, keys, order, [], columns)
     in_slice = Window.partitionBy(*place).orderBy(*order)
     filled = _fill(join_by_keys(records, carried, place, "left"), in_slice, columns, _CARRIED)
     filled = filled.select(*log.columns, COPIES)
     filled = spread_copies(filled) if hot.copies else filled.drop(COPIES)
-    return _fill(hot.without(log, keys), whole, columns).unionByName(filled)
+    return _fill(hot.without(log), whole, columns).unionByName(filled)
 
 
 def current(history: DataFrame) -> DataFrame:

@@ -1,8 +1,8 @@
-"""Cutting the change log of a hot key into ordered slices.
+"""Splitting the change log of a hot key into ordered segments.
 
-A window over a key runs in one task, however many rows the key has. History operators therefore cut the
-log of a hot key at chosen points of its order, work on each (key, slice) separately, and carry a small
-summary from slice to slice. Where the cuts fall changes only how the work is spread, never a result.
+A window over a key runs in one task, however many rows the key has. History operators therefore range-partition
+the records of hot keys by (key, order), work on each (key, partition) separately, and carry a small summary over
+the boundaries of partitions. Where the boundaries fall changes only how the work is spread, never a result.
 """
 
 from __future__ import annotations
@@ -11,20 +11,16 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.session import materialize
 
 SLICE = "__slice"
 COPIES = "__copies"
-COLD = -1
-_CUTS, _STEPS = "__cuts", "__steps"
 
-# Upper bound for the cut table, and by that for everything broadcast here: 2**16 short rows.
-MAX_CUTS = 65_536
 ROWS_PER_SLICE = 2_000_000
-# Every eighth of the sampled records becomes a cut, which makes the slices much the same size.
+# So many records of each segment are sampled on average to find hot keys.
 _SAMPLES_PER_SLICE = 8
 _SAMPLES_OF_HOT_KEY = 2 * _SAMPLES_PER_SLICE
 _SEED = 20_240_101
@@ -40,25 +36,38 @@ def join_by_keys(rows: DataFrame, others: DataFrame, keys: Sequence[str], how: s
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Sorted cut points of hot keys over the order columns in ``place``.
+    """Keys with so many records that each needs more than one task.
 
-    ``copies`` tells whether masses of identical records were seen, which no cut can separate.
+    ``values`` has one row for each, at most one per two segments' worth of records; joins with it broadcast it only
+    where Spark finds it small. ``copies`` tells whether masses of identical records were seen, which no boundary
+    can separate.
     """
 
-    cuts: DataFrame
-    place: tuple[str, ...]
+    values: DataFrame
+    keys: tuple[str, ...]
+    order: tuple[str, ...]
+    n_segments: int
     copies: bool
 
-    def only(self, log: DataFrame, keys: Sequence[str]) -> DataFrame:
+    def only(self, log: DataFrame) -> DataFrame:
         """The records of hot keys; identical ones as one record with a count, if there are masses."""
-        rows = join_by_keys(log, F.broadcast(self.cuts.select(*keys)), keys, "left_semi")
+        rows = join_by_keys(log, self.values, self.keys, "left_semi")
         if not self.copies:
             return rows.withColumn(COPIES, F.lit(1).cast("long"))
         # Combined on the map side: a million copies leave a task as one row.
         return rows.groupBy(*log.columns).agg(F.count(F.lit(1)).alias(COPIES))
 
-    def without(self, log: DataFrame, keys: Sequence[str]) -> DataFrame:
-        return join_by_keys(log, F.broadcast(self.cuts.select(*keys)), keys, "left_anti")
+    def without(self, log: DataFrame) -> DataFrame:
+        return join_by_keys(log, self.values, self.keys, "left_anti")
+
+    def segments(self, log: DataFrame) -> DataFrame:
+        """The records of hot keys with the number of their range partition, which rises with (keys, order).
+
+        Written down, as another run of the exchange might draw other boundaries. Records that are equal in keys and
+        order share a segment; a NULL is a value like any other, and the first.
+        """
+        ranged = self.only(log).repartitionByRange(self.n_segments, *self.keys, *self.order)
+        return materialize(ranged.withColumn(SLICE, F.spark_partition_id()), "hot-key-segments")
 
 
 def find_hot_keys(
@@ -67,49 +76,26 @@ def find_hot_keys(
     order: Sequence[str],
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> HotKeys | None:
-    """Cut points for every key with many more than ``rows_per_slice`` records, or None without such a key.
+    """Every key with many more than ``rows_per_slice`` records, or None without such a key.
 
-    A few records per slice are sampled. Only key and order columns are scanned and only samples are
-    shuffled: one short job when there is no hot key. Otherwise the cuts are written down, so that all
-    later steps see the same ones.
+    A few records per segment are sampled. Only key and order columns are scanned and only samples are
+    shuffled: one short job when there is no hot key.
     """
     keys, order = list(keys), list(order)
-    samples = (
+    share = min(1.0, _SAMPLES_PER_SLICE / rows_per_slice)
+    places = (
         log.select(*keys, *order)
-        .filter(F.rand(_SEED) < _SAMPLES_PER_SLICE / rows_per_slice)
+        .filter(F.rand(_SEED) < share)
         .groupBy(*keys, *order)
         .agg(F.count(F.lit(1)).alias("n"))
     )
-
-    def hot(samples: DataFrame) -> DataFrame:
-        per_key = samples.groupBy(*keys).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("places"))
-        return per_key.filter(F.col("n") >= _SAMPLES_OF_HOT_KEY)
-
-    if hot(samples).agg(F.count(F.lit(1))).first()[0] == 0:
+    per_key = places.groupBy(*keys).agg(F.sum("n").alias("n"), F.max("n").alias("heaviest"))
+    hot = materialize(per_key.filter(F.col("n") >= _SAMPLES_OF_HOT_KEY), "hot-keys")
+    seen = hot.agg(F.sum("n").alias("n"), F.max("heaviest").alias("heaviest")).first()
+    if seen["n"] is None:
         return None
-    samples = materialize(samples, "cut-samples")
-    hot_keys = materialize(hot(samples), "hot-keys")
-    samples = join_by_keys(samples, hot_keys.select(*keys), keys, "left_semi")
-    heaviest = samples.agg(F.max("n")).first()[0]
-    copies = heaviest >= _SAMPLES_OF_HOT_KEY
-    # Comparing the sequence alone is cheap; the whole order is needed only for masses of equal sequences.
-    at_once = samples.groupBy(*keys, order[0]).agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0]
-    place = order if at_once >= _SAMPLES_OF_HOT_KEY else order[:1]
-
-    # Keep the table under its bound by thinning the samples: longer slices, same results.
-    stride = 1 + 2 * hot_keys.agg(F.sum("places")).first()[0] // (MAX_CUTS * _SAMPLES_PER_SLICE)
-    kept = samples.filter(F.pmod(F.xxhash64(*keys, *order), F.lit(stride)) == 0)
-    points = F.sort_array(F.collect_set(_at(place)))
-    every = F.filter(points, lambda _, i: F.pmod(i + 1, F.lit(_SAMPLES_PER_SLICE)) == 0)
-    # A search of n cuts takes the powers of two up to n, greatest first.
-    powers = F.array(*[F.lit(1 << bit) for bit in range(MAX_CUTS.bit_length(), -1, -1)])
-    steps = F.filter(powers, lambda step: step <= F.size(_CUTS))
-    cuts = kept.groupBy(*keys).agg(every.alias(_CUTS)).withColumn(_STEPS, steps)
-    return HotKeys(materialize(cuts, "hot-key-cuts"), tuple(place), copies)
-
-
-def _at(place: Sequence[str]) -> Column:
-    return F.col(place[0]) if len(place) == 1 else F.struct(*place)
+    n_segments = 1 + int(seen["n"] / share / rows_per_slice)
+    return HotKeys(hot.select(*keys), tuple(keys), tuple(order), n_segments, seen["heaviest"] >= _SAMPLES_OF_HOT_KEY)
 
 
 def spread_copies(df: DataFrame) -> DataFrame:
@@ -123,18 +109,3 @@ def spread_copies(df: DataFrame) -> DataFrame:
         .withColumn("__copy", F.explode(in_chunk))
         .drop("__chunk", "__copy", COPIES)
     )
-
-
-def assign_slices(log: DataFrame, hot: HotKeys, keys: Sequence[str]) -> DataFrame:
-    """Add the slice number of every record, the number of cuts at or before it, found by binary search.
-
-    Records of ordinary keys get ``COLD``.
-    """
-    row = _at(hot.place)
-    number = F.aggregate(
-        _STEPS,
-        F.lit(0),
-        lambda at, step: F.when(F.get(F.col(_CUTS), at + step - 1) <= row, at + step).otherwise(at),
-    )
-    sliced = join_by_keys(log, F.broadcast(hot.cuts), keys, "left")
-    return sliced.withColumn(SLICE, F.coalesce(number, F.lit(COLD))).drop(_CUTS, _STEPS)
