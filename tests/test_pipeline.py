@@ -88,18 +88,29 @@ def test_batch_layers(spark, batch, raw):
 
 
 def test_counts_reconcile(spark, batch, raw):
+    n = checks.count_rows()
+    measures = [
+        checks.measure(batch.table("bronze", "raw_sales"), raw_sales=n),
+        checks.measure(batch.table("silver", "customers_current"), customers=n),
+        checks.measure(raw["customers"], raw_keys=F.count_distinct("customer_id")),
+        checks.measure(spark.range(0), nothing=F.max("id")),
+    ]
     report = checks.reconcile(
+        measures,
         [
-            checks.Check("raw_sales", checks.count_of(batch.table("bronze", "raw_sales")), 200),
-            checks.Check("customers", checks.count_of(batch.table("silver", "customers_current")),
-                         raw["customers"].select(F.count_distinct("customer_id"))),
-            checks.Check("too_many", checks.count_of(batch.table("bronze", "raw_sales")), 201, ">="),
-            checks.Check("nothing", spark.range(0).agg(F.max("id")), 0),
-        ]
+            checks.Check("raw_sales", "raw_sales", 200),
+            checks.Check("customers", "customers", "raw_keys"),
+            checks.Check("too_many", "raw_sales", 201, ">="),
+            checks.Check("nothing", "nothing", 0),
+        ],
     )
     assert {r["label"]: r["passed"] for r in report.collect()} == {
         "raw_sales": True, "customers": True, "too_many": False, "nothing": False,
     }
+    with pytest.raises(Exception, match="no metric absent"):
+        checks.reconcile(measures, [checks.Check("absent", "absent", 0)]).collect()
+    with pytest.raises(Exception, match="(?i)duplicate"):
+        checks.reconcile([*measures, measures[0]], [checks.Check("twice", "raw_sales", 200)]).collect()
 
 
 def test_health_check(raw):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import checks, history
 from tidemark.operators.sales import enrich, sales_transactions
 from tidemark.plans import gold
+from tidemark.plans.reports import QUERIES
 from tidemark.plans.star import Star
 
 
@@ -63,6 +64,26 @@ def test_missing_keys_are_counted_per_key_first(spark, star):
     assert plan.index("LeftAnti") < plan.rindex("HashAggregate(keys=[customer_id")
 
 
+def test_all_metrics_of_a_frame_need_one_scan(star):
+    sales = star.sales(with_order=False)
+    metrics = checks.measure(
+        sales, rows=checks.count_rows(), stores=F.count_distinct("store_id"), units=F.sum("quantity"),
+        products=F.count_distinct("product_id"),
+    )
+    lines = [checks.Check("rows", "rows", 1, ">="), checks.Check("stores", "stores", 1, ">="),
+             checks.Check("units", "units", "products", ">=")]
+    report = checks.reconcile([metrics], lines)
+    assert executed(report).count("FileScan parquet") == 1
+    assert [r["label"] for r in report.collect()] == ["rows", "stores", "units"]
+
+
+def test_reconciliation_reads_a_frame_once(star):
+    """Facts and sales are two frames of the report, each over lineitem; the gold table is a third."""
+    for name, scans in (("reconcile_counts", 2), ("reconcile_metrics", 3)):
+        plan = executed(QUERIES[name](star.spark, star.directory))
+        assert len(re.findall(r"FileScan parquet .*lineitem\.parquet", plan)) == scans
+
+
 def test_every_change_history_has_one_window_and_one_exchange(star):
     plan = executed(
         history.history_of_every_change(star.customer_changes(), ["customer_id"], "changed_at", ["change_id"])

@@ -1,4 +1,4 @@
-"""Reconciliation and referential-integrity reports. Each report is one DataFrame, so one Spark job."""
+"""Reconciliation and referential-integrity reports. Each report is one DataFrame."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -88,45 +88,54 @@ def health_check(
 
 @dataclass(frozen=True)
 class Check:
-    """``actual`` is a one-row, one-column frame; ``expected`` a number or another such frame."""
+    """``actual`` names a metric; ``expected`` is a number or names another metric."""
 
     label: str
-    actual: DataFrame
-    expected: int | DataFrame
+    actual: str
+    expected: int | str
     comparison: str = "="
 
 
-def count_of(df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)))
+def count_rows() -> Column:
+    return F.count(F.lit(1))
 
 
-def reconcile(checks: Sequence[Check]) -> DataFrame:
-    """(label, actual, comparison, expected, passed) for every check, exact or lower bound."""
+def measure(df: DataFrame, **metrics: Column) -> DataFrame:
+    """(metric, value) for all named aggregates of a frame, which is read once for all of them."""
+    named = df.agg(*[value.cast("bigint").alias(name) for name, value in metrics.items()])
+    lines = [F.struct(F.lit(name).alias("metric"), F.col(name).alias("value")) for name in metrics]
+    return named.select(F.inline(F.array(*lines)))
 
-    def tagged(check: Check, side: str, value: DataFrame) -> DataFrame:
-        return value.toDF("value").select(
-            F.lit(check.label).alias("label"),
-            F.lit(check.comparison).alias("comparison"),
-            F.lit(side).alias("side"),
-            F.col("value").cast("bigint"),
-        )
 
-    sides = []
-    for check in checks:
-        expected = check.expected
-        if not isinstance(expected, DataFrame):
-            expected = check.actual.sparkSession.range(1).select(F.lit(expected))
-        sides += [tagged(check, "actual", check.actual), tagged(check, "expected", expected)]
-    both = _union(sides).groupBy("label", "comparison").agg(
-        *[F.max(F.when(F.col("side") == side, F.col("value"))).alias(side) for side in ("actual", "expected")]
-    )
-    passed = (
-        F.when(F.col("comparison") == "=", F.col("actual") == F.col("expected"))
-        .when(F.col("comparison") == ">=", F.col("actual") >= F.col("expected"))
-    )
-    return both.select(
-        "label", "actual", "comparison", "expected", F.coalesce(passed, F.lit(False)).alias("passed")
-    )
+def reconcile(measures: Sequence[DataFrame], expectations: Sequence[Check]) -> DataFrame:
+    """(label, actual, comparison, expected, passed) for every check, exact or lower bound.
+
+    ``measures`` come from :func:`measure`, one for each frame. A metric that is NULL fails its checks; a name that
+    nothing measures, or that two frames do, is an error.
+    """
+    # A handful of rows: one for each metric. A name that occurs twice is refused by the map.
+    entries = F.collect_list(F.struct("metric", "value"))
+    known = _union(measures).agg(F.map_from_entries(entries).alias("known"))
+
+    def value(metric: int | str) -> Column:
+        if isinstance(metric, int):
+            return F.lit(metric).cast("bigint")
+        missing = F.raise_error(F.lit(f"no metric {metric}")).cast("bigint")
+        return F.when(F.map_contains_key("known", F.lit(metric)), F.col("known")[metric]).otherwise(missing)
+
+    def line(check: Check) -> Column:
+        actual, expected = value(check.actual), value(check.expected)
+        passed = actual >= expected if check.comparison == ">=" else actual == expected
+        columns = {
+            "label": F.lit(check.label),
+            "actual": actual,
+            "comparison": F.lit(check.comparison),
+            "expected": expected,
+            "passed": F.coalesce(passed, F.lit(False)),
+        }
+        return F.struct(*[column.alias(name) for name, column in columns.items()])
+
+    return known.select(F.inline(F.array(*[line(check) for check in expectations])))
 
 
 def key_inventory(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:

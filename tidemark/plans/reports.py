@@ -441,19 +441,24 @@ def health_check(star: Star) -> DataFrame:
 def reconcile_counts(star: Star) -> DataFrame:
     changes, sales = star.customer_changes(), _sales(star)
     versions = history.history_of_every_change(changes, ["customer_id"], "changed_at", ["change_id"])
-    keys = changes.select("customer_id").distinct()
     facts = enrich(sales, star.stores(), star.customers(), star.products())
+    n = checks.count_rows()
     return checks.reconcile(
         [
-            checks.Check("versions_equal_changes", checks.count_of(versions), checks.count_of(changes)),
-            checks.Check(
-                "one_current_row_per_key", checks.count_of(history.current(versions)), checks.count_of(keys)
-            ),
-            checks.Check("facts_equal_sales", checks.count_of(facts), checks.count_of(sales)),
-            checks.Check("at_least_a_hundred_sales", checks.count_of(sales), 100, ">="),
-            checks.Check("as_many_stores_as_products", checks.count_of(star.stores()),
-                         checks.count_of(star.products())),
-        ]
+            checks.measure(changes, changes=n, keys=F.count_distinct("customer_id")),
+            checks.measure(versions, versions=n, current=F.count_if(history.CURRENT)),
+            checks.measure(sales, sales=n),
+            checks.measure(facts, facts=n),
+            checks.measure(star.stores(), stores=n),
+            checks.measure(star.products(), products=n),
+        ],
+        [
+            checks.Check("versions_equal_changes", "versions", "changes"),
+            checks.Check("one_current_row_per_key", "current", "keys"),
+            checks.Check("facts_equal_sales", "facts", "sales"),
+            checks.Check("at_least_a_hundred_sales", "sales", 100, ">="),
+            checks.Check("as_many_stores_as_products", "stores", "products"),
+        ],
     )
 
 
@@ -461,17 +466,21 @@ def reconcile_counts(star: Star) -> DataFrame:
 def reconcile_metrics(star: Star) -> DataFrame:
     sales = _sales(star)
     facts = enrich(sales, customers=star.customers())
-    revenue = F.round(F.sum(F.col("total_amount").cast("decimal(20,4)"))).cast("bigint")
+    revenue = F.round(F.sum(F.col("total_amount").cast("decimal(20,4)")))
+    customers = F.count_distinct("customer_id")
+    closed = history.closed(_tracked(star))
     return checks.reconcile(
         [
-            checks.Check("total_revenue", facts.agg(revenue), sales.agg(revenue)),
-            checks.Check(
-                "customers_with_sales",
-                gold.customer_value(facts).agg(F.count_distinct("customer_id")),
-                sales.agg(F.count_distinct("customer_id")),
-            ),
-            checks.Check("history_rows", checks.count_of(history.closed(_tracked(star))), 1, ">="),
-        ]
+            checks.measure(facts, facts_revenue=revenue),
+            checks.measure(gold.customer_value(facts), facts_customers=customers),
+            checks.measure(sales, sales_revenue=revenue, sales_customers=customers),
+            checks.measure(closed, closed_versions=checks.count_rows()),
+        ],
+        [
+            checks.Check("total_revenue", "facts_revenue", "sales_revenue"),
+            checks.Check("customers_with_sales", "facts_customers", "sales_customers"),
+            checks.Check("history_rows", "closed_versions", 1, ">="),
+        ],
     )
 
 
