@@ -30,6 +30,8 @@ from tidemark.llm.vectors import matrix, norms, vectors_of
 from tidemark.session import materialize, settle
 
 ROWS_PER_BLOCK = 1024
+#: Bytes of a bucket's code, the first being the highest: enough for the most planes.
+CODE_BYTES = 3
 SEED = 20240607
 
 
@@ -80,29 +82,33 @@ def _near_duplicates(embeddings: DataFrame, id_col: str, vector_col: str, thresh
                 at = np.flatnonzero(lengths == length)
                 x = matrix(batch["vector"].take(pa.array(at)))
                 sign = x @ _planes(int(length), planes, tables) > 0
-                code = sign.reshape(len(at), tables, planes) @ weights
-                for i, c in zip(at, code.astype(np.int32), strict=True):
-                    codes[i] = c
-            arrays = [batch["id"], batch["vector"], batch["n"], pa.array(codes, pa.list_(pa.int32()))]
+                code = (sign.reshape(len(at), tables, planes) @ weights).astype(">u4")
+                for i, c in zip(at, code, strict=True):
+                    codes[i] = c.view(np.uint8).reshape(tables, 4)[:, 1:].tobytes()
+            arrays = [batch["id"], batch["vector"], batch["n"], pa.array(codes, pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, names=["id", "vector", "n", "codes"])
 
     # Codes are computed once and kept, so that all later steps see the same ones.
     classes = materialize(
         classes.select("id", "vector", "n").mapInArrow(
-            sides, "id long, vector array<double>, n long, codes array<int>"
+            sides, "id long, vector array<double>, n long, codes binary"
         ),
         "vector-classes",
     )
-    keyed = classes.select("id", F.size("vector").alias("length"), F.posexplode("codes").alias("t", "code"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(tables - 1)))
+    keyed = classes.select("id", F.size("vector").alias("length"), "codes", every.alias("t"))
     keyed = keyed.select(_bucket(tables, planes).alias("key"), "id")
-    blocks = in_blocks(shared_buckets(keyed, ROWS_PER_BLOCK).join(classes, "id"))
+    # A row takes along only the codes of the tables before its own: they tell whether a pair has met already.
+    before = F.substring("codes", F.lit(1), (F.shiftright("key", planes) % tables).cast("int") * CODE_BYTES)
+    shared = shared_buckets(keyed, ROWS_PER_BLOCK).join(classes, "id")
+    blocks = in_blocks(shared.withColumn("codes", before))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest = Forest()
         for table in sorted_groups(batches, KEYS):
             ids = table["id"].to_numpy()
             number = (table["key"].to_numpy() >> planes) % tables
-            codes, n = matrix(table["codes"]), table["n"].to_numpy()
+            codes, n = _by_table(table["codes"].to_pylist(), tables), table["n"].to_numpy()
             vectors = table["vector"].combine_chunks()
             lengths = np.array(vectors.value_lengths())
             counts = np.zeros(table.num_rows, np.int64)
@@ -117,7 +123,7 @@ def _near_duplicates(embeddings: DataFrame, id_col: str, vector_col: str, thresh
                     cosine = np.einsum("ij,ij->i", x[a], x[b]) / (size[a] * size[b])
                     near = np.flatnonzero(cosine >= threshold)
                     a, b = of_length[a[near]], of_length[b[near]]
-                    first = (codes[a] == codes[b]).argmax(axis=1) == number[a]
+                    first = ~((codes[a] == codes[b]) & (codes[a] >= 0)).any(axis=1)
                     a, b = a[first], b[first]
                     np.add.at(counts, a, n[b])
                     np.add.at(counts, b, n[a])
@@ -151,4 +157,14 @@ def _near_duplicates(embeddings: DataFrame, id_col: str, vector_col: str, thresh
 
 
 def _bucket(tables: int, planes: int):
-    return F.shiftleft(F.col("length").cast("long") * tables + F.col("t"), planes).bitwiseOR(F.col("code").cast("long"))
+    code = F.conv(F.hex(F.substring("codes", F.col("t") * CODE_BYTES + 1, F.lit(CODE_BYTES))), 16, 10).cast("long")
+    return F.shiftleft(F.col("length").cast("long") * tables + F.col("t"), planes).bitwiseOR(code)
+
+
+def _by_table(codes: list[bytes], tables: int) -> np.ndarray:
+    """The codes of rows by table; those after the given ones are -1."""
+    out = np.full((len(codes), tables), -1, np.int32)
+    sizes = np.array([len(c) // CODE_BYTES for c in codes], np.int64)
+    flat = np.frombuffer(b"".join(codes), np.uint8).reshape(-1, CODE_BYTES).astype(np.int32)
+    out[np.arange(tables) < sizes[:, None]] = flat[:, 0] << 16 | flat[:, 1] << 8 | flat[:, 2]
+    return out
