@@ -90,12 +90,13 @@ def find_hot_keys(
         .agg(F.count(F.lit(1)).alias("n"))
     )
     per_key = places.groupBy(*keys).agg(F.sum("n").alias("n"), F.max("n").alias("heaviest"))
-    hot = materialize(per_key.filter(F.col("n") >= _SAMPLES_OF_HOT_KEY), "hot-keys")
+    hot = per_key.filter(F.col("n") >= _SAMPLES_OF_HOT_KEY)
     seen = hot.agg(F.sum("n").alias("n"), F.max("heaviest").alias("heaviest")).first()
     if seen["n"] is None:
         return None
     n_segments = 1 + int(seen["n"] / share / rows_per_slice)
-    return HotKeys(hot.select(*keys), tuple(keys), tuple(order), n_segments, seen["heaviest"] >= _SAMPLES_OF_HOT_KEY)
+    values = materialize(hot.select(*keys), "hot-keys")
+    return HotKeys(values, tuple(keys), tuple(order), n_segments, seen["heaviest"] >= _SAMPLES_OF_HOT_KEY)
 
 
 def spread_copies(df: DataFrame) -> DataFrame:
