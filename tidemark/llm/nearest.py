@@ -179,23 +179,27 @@ def _near(codes: Codes, group: pa.Table, masks: dict, k: int) -> Iterator[tuple[
     if spot != ALL:
         j, errors, radius = spot >> BITS, codes.errors[length], codes.radius[length]
         words = _stacked(group["words"], np.uint16)
-        rows_words = words[asks:]
-        order = np.argsort(rows_words[:, j], kind="stable")
-        values = rows_words[order, j]
+        wide = np.pad(words, ((0, 0), (0, -words.shape[1] % 4))).view(np.uint64)
+        rows_words, rows_wide = words[asks:], wide[asks:]
+        values = rows_words[:, j]
+        looked_up = len(masks[length]) < len(values)
+        if looked_up:
+            order = np.argsort(values, kind="stable")
+            starts = np.concatenate([[0], np.cumsum(np.bincount(values, minlength=1 << BITS))])
     for i in range(asks):
         near = every
         if spot != ALL:
             own = words[i]
-            if len(masks[length]) < len(values):
-                wanted = masks[length] ^ own[j]
-                low, high = np.searchsorted(values, wanted), np.searchsorted(values, wanted, "right")
-                count = high - low
+            if looked_up:
+                wanted = (masks[length] ^ own[j]).astype(np.int64)
+                high = starts[wanted + 1]
+                count = high - starts[wanted]
                 near = order[np.repeat(high - np.cumsum(count), count) + np.arange(count.sum())]
             else:
-                near = np.flatnonzero(np.bitwise_count(rows_words[:, j] ^ own[j]) <= errors)
-            differ = np.bitwise_count(rows_words[near] ^ own)
+                near = np.flatnonzero(np.bitwise_count(values ^ own[j]) <= errors)
+            near = near[np.bitwise_count(rows_wide[near] ^ wide[i]).sum(axis=1) <= radius]
             # A pair that several tables retrieve counts in the first of them.
-            near = near[(differ.sum(axis=1) <= radius) & ~(differ[:, :j] <= errors).any(axis=1)]
+            near = near[(np.bitwise_count(rows_words[near, :j] ^ own[:j]) > errors).all(axis=1)]
         near = near[row_ids[near] != ids[i]]
         rough = rows_unit[near] @ unit[i]
         most = k * repeats
