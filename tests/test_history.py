@@ -185,6 +185,18 @@ def test_latest(spark):
     )
 
 
+@pytest.mark.parametrize("sentinel", [True, False])
+def test_current_without_history(spark, sentinel):
+    rows = make_log(5, True)
+    rows += [(None, EPOCH, 1, "a", "x", 1), (None, None, 2, "b", "y", 2), (99, None, 0, "c", None, 3)]
+    rows += [(98, EPOCH, 0, "d", None, 4)] * 3
+    log = spark.createDataFrame(rows, DDL)
+    whole = H.history_of_every_change(log, ["k"], "seq", ["tie"], sentinel=sentinel)
+    got = H.current_of_every_change(log, ["k"], "seq", ["tie"], sentinel=sentinel)
+    assert [(f.name, f.dataType) for f in got.schema] == [(f.name, f.dataType) for f in whole.schema]
+    assert collect(got) == collect(H.current(whole))
+
+
 def test_one_exchange_without_hot_keys(spark):
     log = spark.createDataFrame(make_log(1, False), DDL)
     versions = H.history_of_tracked_columns(log, ["k"], "seq", ["name"], ["tie"])

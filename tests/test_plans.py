@@ -54,6 +54,12 @@ def test_latest_keeps_one_row_per_key_before_the_shuffle(star):
     assert plan.count("WindowGroupLimit") == 2
 
 
+def test_current_versions_need_no_history(star):
+    plan = executed(QUERIES["dim_current"](star.spark, "/root/testdata/sf0.001"))
+    assert plan.count("WindowGroupLimit") == 2 and plan.count("Exchange hashpartitioning") == 1
+    assert "lead(" not in plan
+
+
 def test_missing_keys_are_counted_per_key_first(spark, star):
     """With a small dimension the join is broadcast and goes first, which needs no shuffle either."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

@@ -306,6 +306,21 @@ def current(history: DataFrame) -> DataFrame:
     return history.filter(F.col(CURRENT))
 
 
+def current_of_every_change(
+    log: DataFrame, keys: Sequence[str], sequence: str, tiebreak: Sequence[str] = (), *, sentinel: bool = True
+) -> DataFrame:
+    """The open versions of :func:`history_of_every_change`, without making the closed ones.
+
+    Only one record per key and task is shuffled, so a hot key needs no care of its own.
+    """
+    end = F.lit(None).cast(log.schema[sequence].dataType)
+    if sentinel:
+        # The branch that is never taken gives the column the type that it has in the history.
+        end = F.when(F.lit(True), F.lit(FAR_FUTURE).cast("timestamp")).otherwise(F.col(sequence))
+    newest = latest(log, keys, sequence, tiebreak)
+    return newest.withColumns({START: F.col(sequence), END: end, CURRENT: F.lit(True)})
+
+
 def open_ended(history: DataFrame) -> DataFrame:
     """Open versions of a history whose open end is NULL."""
     return history.filter(F.col(END).isNull())

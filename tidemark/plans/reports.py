@@ -270,11 +270,7 @@ def scd2_ignore_nulls(star: Star) -> DataFrame:
 
 @report
 def dim_current(star: Star) -> DataFrame:
-    return history.current(
-        history.history_of_every_change(
-            star.customer_changes(), ["customer_id"], "changed_at", ["change_id"]
-        )
-    )
+    return history.current_of_every_change(star.customer_changes(), ["customer_id"], "changed_at", ["change_id"])
 
 
 @report
