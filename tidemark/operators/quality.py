@@ -60,6 +60,15 @@ def enforce(df: DataFrame, rules: Sequence[Rule], observe: str | Observation | N
     return df
 
 
+def _observed_rows(dataset: str, rules: Sequence[Rule], seen: Mapping[str, int]) -> list[tuple[str, str, str, int, int]]:
+    return [(dataset, r.name, r.action, seen["n_rows"], seen[r.name]) for r in rules]
+
+
+def metrics_frame(spark: SparkSession, dataset: str, rules: Sequence[Rule], seen: Mapping[str, int]) -> DataFrame:
+    """What an ``Observation`` given to :func:`enforce` has counted, in the shape of :func:`rule_metrics`."""
+    return spark.createDataFrame(_observed_rows(dataset, rules, seen), METRICS_DDL)
+
+
 class RuleCounts:
     """Violations in several datasets, counted by the writes that their rows go through, so without another scan."""
 
@@ -85,7 +94,7 @@ class RuleCounts:
                 # Without rows Spark may drop a plan along with its counters; then there is nothing to scan either.
                 found += [tuple(row) for row in rule_metrics(df, dataset, rules).collect()]
                 continue
-            found += [(dataset, r.name, r.action, seen["n_rows"], seen[r.name]) for r in rules]
+            found += _observed_rows(dataset, rules, seen)
         return found
 
     def frame(self, spark: SparkSession) -> DataFrame:
