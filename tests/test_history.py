@@ -145,6 +145,18 @@ def test_segments_are_not_limited_in_number(spark):
     assert "ResolvedHint" not in got._jdf.queryExecution().analyzed().toString()
 
 
+def test_many_short_segments_take_few_tasks(spark):
+    """Tasks and files follow from the rows and the session's partitions, not from the number of segments."""
+    log = spark.range(4000).selectExpr("id % 2 AS k", "timestamp_seconds(id) AS seq", "id AS tie", "id div 7 AS v")
+    segments = find_hot_keys(log, ["k"], ["seq", "tie"], 4).segments(log)
+    sizes = [r["count"] for r in segments.groupBy(SLICE).count().collect()]
+    assert len(sizes) >= 1000 and max(sizes) <= 4 and sum(sizes) == 4000
+    assert len(segments.inputFiles()) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    whole = H.history_of_every_change(log, ["k"], "seq", ["tie"])
+    sliced = H.history_of_every_change(log, ["k"], "seq", ["tie"], rows_per_slice=4)
+    assert collect(sliced, whole.columns) == collect(whole, whole.columns)
+
+
 def test_invariants_and_views(spark):
     log = spark.createDataFrame(make_log(11, True), DDL)
     versions = H.history_of_tracked_columns(log, ["k"], "seq", ["name"], ["tie"])

@@ -1,8 +1,10 @@
 """Splitting the change log of a hot key into ordered segments.
 
 A window over a key runs in one task, however many rows the key has. History operators therefore range-partition
-the records of hot keys by (key, order), work on each (key, partition) separately, and carry a small summary over
-the boundaries of partitions. Where the boundaries fall changes only how the work is spread, never a result.
+the records of hot keys by (key, order), cut each sorted partition into segments, work on each (key, segment)
+separately, and carry a small summary over the boundaries of segments. Where the boundaries fall changes only how the
+work is spread, never a result. A partition holds many short segments, so the number of tasks and files follows from
+the rows and from the session's partitions, not from the number of segments.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ _SAMPLES_PER_SLICE = 8
 _SAMPLES_OF_HOT_KEY = 2 * _SAMPLES_PER_SLICE
 _SEED = 20_240_101
 _ROWS_PER_COPY_CHUNK = 100_000
+# The row number of monotonically_increasing_id stands in these bits, the partition above them.
+_ROW_BITS = 33
 
 
 def join_by_keys(rows: DataFrame, others: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -46,7 +50,8 @@ class HotKeys:
     values: DataFrame
     keys: tuple[str, ...]
     order: tuple[str, ...]
-    n_segments: int
+    n_records: int
+    rows_per_slice: int
     copies: bool
 
     def only(self, log: DataFrame) -> DataFrame:
@@ -61,13 +66,21 @@ class HotKeys:
         return join_by_keys(log, self.values, self.keys, "left_anti")
 
     def segments(self, log: DataFrame) -> DataFrame:
-        """The records of hot keys with the number of their range partition, which rises with (keys, order).
+        """The records of hot keys with the number of their segment, which rises with (keys, order).
 
-        Written down, as another run of the exchange might draw other boundaries. Records that are equal in keys and
-        order share a segment; a NULL is a value like any other, and the first.
+        Written down, as another run of the exchange might draw other boundaries. A NULL is a value like any other,
+        and the first.
         """
-        ranged = self.only(log).repartitionByRange(self.n_segments, *self.keys, *self.order)
-        return materialize(ranged.withColumn(SLICE, F.spark_partition_id()), "hot-key-segments")
+        at_once = int(log.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        n_segments = 1 + self.n_records // self.rows_per_slice
+        n_partitions = max(min(n_segments, at_once), 1 + self.n_records // ROWS_PER_SLICE)
+        place = [*self.keys, *self.order]
+        ranged = self.only(log).repartitionByRange(n_partitions, *place).sortWithinPartitions(*place)
+        numbered = ranged.withColumn("__row", F.monotonically_increasing_id())
+        in_partition = F.col("__row").bitwiseAND((1 << _ROW_BITS) - 1)
+        before = F.col("__row") - in_partition
+        cut = numbered.withColumn(SLICE, before + F.floor(in_partition / self.rows_per_slice)).drop("__row")
+        return materialize(cut, "hot-key-segments")
 
 
 def find_hot_keys(
@@ -94,9 +107,10 @@ def find_hot_keys(
     seen = hot.agg(F.sum("n").alias("n"), F.max("heaviest").alias("heaviest")).first()
     if seen["n"] is None:
         return None
-    n_segments = 1 + int(seen["n"] / share / rows_per_slice)
+    n_records = int(seen["n"] / share)
     values = materialize(hot.select(*keys), "hot-keys")
-    return HotKeys(values, tuple(keys), tuple(order), n_segments, seen["heaviest"] >= _SAMPLES_OF_HOT_KEY)
+    copies = seen["heaviest"] >= _SAMPLES_OF_HOT_KEY
+    return HotKeys(values, tuple(keys), tuple(order), n_records, rows_per_slice, copies)
 
 
 def spread_copies(df: DataFrame) -> DataFrame:
