@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import random
 import re
+import time
 
 import pytest
 from pyspark.errors import PySparkException
@@ -141,3 +142,15 @@ def test_damage_is_found(spark, tmp_path):
     stored.where(F.length("payload") < 1000).write.parquet(f"{path}-lost/payloads")
     with pytest.raises(PySparkException, match="no payload of record"):
         warc.digest(spark, f"{path}-lost").collect()
+
+
+def test_shuffled_payloads_go_with_their_write(spark, tmp_path):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {n for f in disk.getAllFiles().mkString(",").split(",") if (n := f.split("/")[-1]).startswith("shuffle_")}
+    before = shuffled()
+    warc.write_archive(pages(spark, ODD), f"{tmp_path}/archive")
+    for _ in range(50):
+        if shuffled() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffled() <= before

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import materialize, new_dir, scratch_tables
+from tidemark.session import materialize, new_dir, scratch_tables, write_and_clean
 
 RESPONSE, REVISIT = "response", "revisit"
 #: Line ends, the profile of a revisit record, the base 32 alphabet.
@@ -106,9 +106,10 @@ def write_archive(
         first = facts.where(F.col("bytes") >= revisit_from).groupBy("digest").agg(F.min(order).alias("first"), F.count("*").alias("n"))
         shared = materialize(first.where("n > 1").select("digest", "first"), "warc-first")
         headers = facts.join(shared.hint("merge"), "digest", "left")
-        headers.select("number", "digest", "bytes", _header(date).alias("header")).write.parquet(f"{path}/headers")
+        write_and_clean(headers.select("number", "digest", "bytes", _header(date).alias("header")), f"{path}/headers")
     contents = pages.select(payload.alias("payload")).select(*_addressed(F.col("payload")), "payload")
-    contents.dropDuplicates(["digest"]).write.parquet(f"{path}/payloads")
+    # The shuffled payloads go before those of the next join come.
+    write_and_clean(contents.dropDuplicates(["digest"]), f"{path}/payloads")
 
 
 def read_headers(spark: SparkSession, path: str) -> DataFrame:

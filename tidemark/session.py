@@ -74,10 +74,10 @@ _scratch = threading.local()
 _CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def _write_once(df: DataFrame, label: str) -> str:
-    spark, path = df.sparkSession, new_dir(df.sparkSession, label)
+def write_and_clean(df: DataFrame, path: str) -> None:
+    """Write a table whose rows no later step makes again, and drop the shuffle files that made them."""
+    spark = df.sparkSession
     before = spark.conf.get(_CLEAN_UP, None)
-    # The rows are in the table then, so nothing needs the shuffle files that made them any more.
     spark.conf.set(_CLEAN_UP, "true")
     try:
         df.write.parquet(path)
@@ -86,6 +86,11 @@ def _write_once(df: DataFrame, label: str) -> str:
             spark.conf.unset(_CLEAN_UP)
         else:
             spark.conf.set(_CLEAN_UP, before)
+
+
+def _write_once(df: DataFrame, label: str) -> str:
+    path = new_dir(df.sparkSession, label)
+    write_and_clean(df, path)
     return path
 
 
