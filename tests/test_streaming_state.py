@@ -12,7 +12,7 @@ from tests.test_streaming import files_of, same, sale
 from tidemark.model import SALES_DDL
 from tidemark.operators.history import latest
 from tidemark.operators.sales import enrich
-from tidemark.plans import gold
+from tidemark.plans import gold, reports
 from tidemark.sources import tables
 from tidemark.sources.tables import append, write_batch
 from tidemark.streaming import refresh
@@ -157,3 +157,14 @@ def test_daily_sales_in_state_equal_batch_but_for_late_rows(spark, tmp_path):
     assert sorted(map(tuple, told.collect()), key=str) == [
         (date(2024, 3, 1), 1, 2), (date(2024, 3, 2), 77, 1), (date(2024, 3, 2), None, 1),
     ]
+
+
+def test_arrivals_are_landed_by_many_tasks(spark, tmp_path):
+    """As many files for each, also where tasks have no rows, so that a stream takes them one after the other."""
+    rows = spark.range(0, 30, 1, 3)
+    arrivals = [rows.where("id % 2 = 0"), rows.where("id < 5"), rows.where("false"), rows]
+    assert reports._land(arrivals, f"{tmp_path}/landing") == 3
+    files = sorted(glob.glob(f"{tmp_path}/landing/*.parquet"), key=lambda f: os.stat(f).st_mtime_ns)
+    assert len(files) == 12
+    for i, arrival in enumerate(arrivals):
+        assert sorted(spark.read.parquet(*files[3 * i : 3 * i + 3]).collect()) == sorted(arrival.collect())

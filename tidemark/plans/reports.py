@@ -611,6 +611,19 @@ def stream_latest(star: Star) -> DataFrame:
     return table.read()
 
 
+def _land(arrivals: Sequence[DataFrame], path: str) -> int:
+    """Write each frame after the one before, all as the same number of files, which is returned: a stream that takes so
+    many at once takes a frame for each micro-batch."""
+    spark = arrivals[0].sparkSession
+    n_files = max(1, *(rows.rdd.getNumPartitions() for rows in arrivals))
+    for i, rows in enumerate(arrivals, 1):
+        rows.write.mode("append").parquet(path)
+        # A task without rows leaves no file; an empty table is one.
+        for _ in range(i * n_files - len(spark.read.schema(rows.schema).parquet(path).inputFiles())):
+            rows.limit(0).write.mode("append").parquet(path)
+    return n_files
+
+
 @report
 def stream_daily_store_sales(star: Star) -> DataFrame:
     """Closed days of web sales that come in the order of their weeks, but some of the first week with the last: those
@@ -618,10 +631,8 @@ def stream_daily_store_sales(star: Star) -> DataFrame:
     root, sales = new_dir(star.spark, "daily-sales"), star.web_sales()
     week = F.expr("int((day(event_time) - 1) / 7)")
     arrival = F.when((week == 0) & (F.col("transaction_id") % 10 == 0), F.lit(4)).otherwise(week)
-    for i in range(5):
-        # A file for each micro-batch, written one after the other.
-        sales.where(arrival == i).coalesce(1).write.mode("append").parquet(f"{root}/landing")
-    stream = stream_parquet(star.spark, f"{root}/landing", sales.schema.toDDL(), 1)
+    n_files = _land([sales.where(arrival == i) for i in range(5)], f"{root}/landing")
+    stream = stream_parquet(star.spark, f"{root}/landing", sales.schema.toDDL(), n_files)
     append_stream(daily_store_sales_stream(stream), f"{root}/daily", f"{root}/c1").awaitTermination()
     count_arrivals(stream, f"{root}/arrivals", f"{root}/c2").awaitTermination()
     daily = star.spark.read.parquet(f"{root}/daily")
