@@ -258,12 +258,13 @@ class _TrackedHistory:
             ),
             "segment-neighbours",
         )
-        # A record with nothing after it in its slice is followed by the head of the next slice.
+        # A record with nothing after it in its slice is followed by the head of the next slice. A NULL in _NEXT alone
+        # does not tell that, as the record after it may have no sequence value.
         joined = join_by_keys(edges, neighbours, place, "left").withColumns(
             {
                 _STARTED: F.coalesce(_STARTED, "__open"),
                 _NEXT_CHANGED: F.coalesce(_NEXT_CHANGED, "__head_changed"),
-                _NEXT: F.coalesce(_NEXT, "__head"),
+                _NEXT: F.when(F.col(_NEXT_CHANGED).isNull(), F.col("__head")).otherwise(F.col(_NEXT)),
             }
         )
         return self._versions(joined)
