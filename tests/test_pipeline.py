@@ -10,6 +10,7 @@ from tidemark.model import CUSTOMERS_DDL, PRODUCTS_DDL, SALES_DDL, SCHEMAS, STOR
 from tidemark.operators import checks
 from tidemark.operators.history import current, duplicate_keys
 from tidemark.plans import sql_models
+from tidemark.sources.tables import overwrite_table
 from tidemark.plans.pipeline import Pipeline
 from tidemark.sources.tables import append, create_table
 from tidemark.streaming.pipeline import StreamingPipeline
@@ -176,3 +177,13 @@ def test_declared_table_is_left_alone(spark):
     create_table(spark, "decl.t", "other INT")
     assert spark.table("decl.t").columns[0] == "product_id" and spark.table("decl.t").count() == 0
     assert len(CUSTOMERS_DDL) and len(SALES_DDL)
+
+
+def test_tables_are_packed(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS packed_tables")
+    stored = overwrite_table(spark.range(1000), "packed_tables.numbers")
+    try:
+        assert stored.count() == 1000
+        assert stored.inputFiles() and all(f.endswith(".zstd.parquet") for f in stored.inputFiles())
+    finally:
+        spark.sql("DROP DATABASE packed_tables CASCADE")
