@@ -10,9 +10,8 @@ from tidemark.model import CUSTOMERS_DDL, PRODUCTS_DDL, SALES_DDL, SCHEMAS, STOR
 from tidemark.operators import checks
 from tidemark.operators.history import current, duplicate_keys
 from tidemark.plans import sql_models
-from tidemark.sources.tables import overwrite_table
 from tidemark.plans.pipeline import Pipeline
-from tidemark.sources.tables import append, create_table
+from tidemark.sources.tables import append, create_table, overwrite_table
 from tidemark.streaming.pipeline import StreamingPipeline
 
 T0 = datetime(2024, 3, 1, 8)
